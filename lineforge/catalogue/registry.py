@@ -65,6 +65,10 @@ def lakehouse_for(spark: SparkSession, folder: str) -> Lakehouse:
 # --- raw lines --------------------------------------------------------------------------
 
 
+def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lakehouse_for(spark, folder).source
+
+
 def file_header(column: str) -> str:
     """A header as a source system would write it, for the column it normalises to."""
     special = {
@@ -78,7 +82,7 @@ def file_header(column: str) -> str:
 
 def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Write the lines as Latin-1 files with free-text headers, and ingest those."""
-    lines = order_lines(spark, folder)
+    lines = raw_lines(spark, folder)
     path = new_path(spark, "csv-ingest")
     headed = lines.toDF(*[file_header(c) for c in lines.columns])
     headed.write.options(header=True, encoding="ISO-8859-1").csv(path)
@@ -88,7 +92,7 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def date_parse(spark: SparkSession, folder: str) -> DataFrame:
-    lines = order_lines(spark, folder)
+    lines = raw_lines(spark, folder)
     order = parse_timestamp(F.col("order_date_dateorders"), TABLE_SETTINGS.date_format)
     ship = parse_timestamp(F.col("shipping_date_dateorders"), TABLE_SETTINGS.date_format)
     parsed = lines.select(GRAIN, order.alias("order_ts"), ship.alias("ship_ts"))
@@ -100,18 +104,18 @@ def silver_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The surviving copy of each order line, by what tells the copies apart."""
     kept = [GRAIN, "order_date_dateorders", "shipping_date_dateorders"]
     order = ["product_card_id", "order_item_quantity", "sales", "order_item_discount_rate"]
-    lines = order_lines(spark, folder).select(*kept, *order, "tie_suppkey")
+    lines = raw_lines(spark, folder).select(*kept, *order, "tie_suppkey")
     clean, _ = clean_orders(lines, TABLE_SETTINGS)
     return clean.select(GRAIN, "ship_ts", *order)
 
 
 def silver_clean(spark: SparkSession, folder: str) -> DataFrame:
-    clean, _ = clean_orders(order_lines(spark, folder), TABLE_SETTINGS)
+    clean, _ = clean_orders(raw_lines(spark, folder), TABLE_SETTINGS)
     return clean
 
 
 def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
-    _, rejected = clean_orders(order_lines(spark, folder), TABLE_SETTINGS)
+    _, rejected = clean_orders(raw_lines(spark, folder), TABLE_SETTINGS)
     return rejected.select(GRAIN, "_faults").withColumnRenamed("_faults", "faults")
 
 
@@ -203,7 +207,7 @@ def csv_export_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _raw(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: build(order_lines(spark, folder))
+    return lambda spark, folder: build(raw_lines(spark, folder))
 
 
 def _silver(build: Callable[[DataFrame], DataFrame]) -> Query:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lineforge.operators.joins import BROADCAST_ROWS
 from lineforge.settings import History, Settings
 
 MONEY = T.DecimalType(18, 2)
@@ -84,23 +88,53 @@ def _date_text(ts: Column) -> Column:
     return F.concat(day, F.lit(" "), F.hour(ts), F.lit(":"), minute)
 
 
+def count_rows(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows per stored table, from the file footers, in one job."""
+    counted = [
+        df.agg(F.count("*").alias("n_rows")).withColumn("name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    return {row["name"]: row["n_rows"] for row in reduce(DataFrame.unionByName, counted).collect()}
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Deal out an input that has fewer splits than there are cores.
+
+    Such an input is small, less than one split's bytes per core, so moving it costs less
+    than leaving cores idle in all that follows. A larger one is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Flat order lines from the parquet tables in ``folder``.
 
-    Plain inner joins on the natural keys, none hinted: Spark broadcasts the sides whose file
-    size allows it, and splits skewed shuffle partitions of the others at run time.
+    Customers join orders before the far more numerous lines do, so the lines move only for
+    orders and parts. A table is broadcast if its counted rows allow it. Larger ones meet in
+    a shuffle, whose skewed partitions Spark splits at run time; every join is inner and is
+    followed by another exchange, so that split is always open to it.
     """
-    table = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
-    places = table("nation").join(table("region"), F.expr("n_regionkey = r_regionkey"))
-    buyers = table("customer").join(places, F.expr("c_nationkey = n_nationkey"))
-    orders = table("orders").join(buyers, F.expr("o_custkey = c_custkey"))
-    lines = (
-        table("lineitem")
-        .join(orders, F.expr("l_orderkey = o_orderkey"))
-        .join(table("part"), F.expr("l_partkey = p_partkey"))
-    )
+    tables = {
+        name: spark.read.parquet(f"{folder}/{name}.parquet")
+        for name in ("lineitem", "orders", "part", "customer", "nation", "region")
+    }
+    rows = count_rows({name: df for name, df in tables.items() if name != "lineitem"})
+
+    def meet(left: DataFrame, right: DataFrame, name: str, on: str) -> DataFrame:
+        small = rows[name] <= BROADCAST_ROWS
+        return left.join(F.broadcast(right) if small else right, F.expr(on))
+
+    places = meet(tables["nation"], tables["region"], "region", "n_regionkey = r_regionkey")
+    buyers = meet(tables["customer"], places, "nation", "c_nationkey = n_nationkey")
+    orders = meet(tables["orders"], buyers, "customer", "o_custkey = c_custkey")
+    lines = use_all_cores(tables["lineitem"])
+    lines = meet(lines, orders, "orders", "l_orderkey = o_orderkey")
+    lines = meet(lines, tables["part"], "part", "l_partkey = p_partkey")
+
+    def text(prefix: str, n: int) -> Column:
+        return F.concat(F.lit(prefix), (F.col("c_custkey") % n).cast("string"))
 
-    text = lambda prefix, n: F.concat(F.lit(prefix), (F.col("c_custkey") % n).cast("string"))
     null_text = F.lit(None).cast("string")
     lines = lines.withColumns(
         {
