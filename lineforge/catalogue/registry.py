@@ -66,7 +66,7 @@ def lakehouse_for(spark: SparkSession, folder: str) -> Lakehouse:
 
 
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return lakehouse_for(spark, folder).source
+    return lakehouse_for(spark, folder).bronze()
 
 
 def file_header(column: str) -> str:

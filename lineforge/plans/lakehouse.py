@@ -1,6 +1,6 @@
 """The layered lakehouse: every table is built from the layer below, written, and read back.
 
-Writing cuts the lineage once per table, so the costly steps (joining and deduplicating the
+Writing cuts the lineage once per table, so the costly steps (reading and deduplicating the
 raw lines, the six lookups) run once, not once per report, and a lost executor costs a
 re-read of files. It also gives each dimension a counted size for the join that uses it.
 """
@@ -27,7 +27,7 @@ from lineforge.plans.silver import clean_orders, rejected_orders
 from lineforge.settings import CUSTOMER_COLUMNS, GEO_COLUMNS, PRODUCT_COLUMNS, Settings
 from lineforge.sinks import create_layers, export_csv, write_table
 from lineforge.sources import ingest_csv
-from lineforge.storage import work_folder
+from lineforge.storage import fit_shuffle, work_folder
 
 DIMENSIONS = ("dim_customer", "dim_product", "dim_geo", "dim_shipping_mode", "dim_date")
 KPIS = ("kpi_delivery_by_market", "kpi_sales_by_segment")
@@ -81,12 +81,10 @@ class Lakehouse:
         prefix: str,
         settings: Settings | None = None,
         location: str | None = None,
-        keep_bronze: bool = True,
     ) -> None:
         self.spark: SparkSession = source.sparkSession
         self.source = source
         self.settings = settings or Settings()
-        self.keep_bronze = keep_bronze
         self.schemas = {layer: f"{prefix}_{layer}" for layer in ("bronze", "silver", "gold")}
         self.counts: dict[str, int] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
@@ -124,11 +122,11 @@ class Lakehouse:
             if table not in self.counts:
                 stored = write_table(self._builders[table](), self.name(table))
                 self.counts[table] = stored.count()
+                fit_shuffle(self.spark, self.counts[table])
         return self.spark.table(self.name(table))
 
     def bronze(self) -> DataFrame:
-        """Raw lines; not copied where the source is a stored table already."""
-        return self.table("bronze.order_lines") if self.keep_bronze else self.source
+        return self.table("bronze.order_lines")
 
     def silver(self) -> DataFrame:
         return self.table("silver.order_lines")
@@ -159,10 +157,9 @@ class Lakehouse:
         the dimensions do not leave the cluster idle in turn. A table waits for its inputs,
         which stand before it in the list.
         """
-        wanted = [t for t in self._builders if t != "bronze.order_lines" or self.keep_bronze]
-        with ThreadPoolExecutor(len(wanted)) as pool:
-            list(pool.map(self.table, wanted))
-        return {table: self.counts[table] for table in wanted}
+        with ThreadPoolExecutor(len(self._builders)) as pool:
+            list(pool.map(self.table, self._builders))
+        return {table: self.counts[table] for table in self._builders}
 
     def refresh(self) -> None:
         """Forget what was built; the source is read anew on the next use."""
@@ -187,6 +184,5 @@ class Lakehouse:
 
 
 def shared_lakehouse(source: DataFrame, prefix: str, settings: Settings) -> Lakehouse:
-    """A lakehouse in this application's work folder, over a source that is stored already."""
-    location = work_folder(source.sparkSession)
-    return Lakehouse(source, prefix, settings, location=location, keep_bronze=False)
+    """A lakehouse in this application's work folder."""
+    return Lakehouse(source, prefix, settings, location=work_folder(source.sparkSession))

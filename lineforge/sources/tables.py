@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lineforge.operators.joins import BROADCAST_ROWS
 from lineforge.settings import History, Settings
+from lineforge.storage import fit_shuffle
 
 MONEY = T.DecimalType(18, 2)
 FINE_MONEY = T.DecimalType(18, 4)
@@ -97,17 +98,19 @@ def count_rows(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     return {row["name"]: row["n_rows"] for row in reduce(DataFrame.unionByName, counted).collect()}
 
 
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """Deal out an input that has fewer splits than there are cores.
+def use_all_cores(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Deal out an input that has fewer splits than there are cores, by columns that vary.
 
     Such an input is small, less than one split's bytes per core, so moving it costs less
     than leaving cores idle in all that follows. A larger one is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
 
 
-def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+def order_lines(
+    spark: SparkSession, folder: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Flat order lines from the parquet tables in ``folder``.
 
     Customers join orders before the far more numerous lines do, so the lines move only for
@@ -119,16 +122,19 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         name: spark.read.parquet(f"{folder}/{name}.parquet")
         for name in ("lineitem", "orders", "part", "customer", "nation", "region")
     }
-    rows = count_rows({name: df for name, df in tables.items() if name != "lineitem"})
+    rows = count_rows(tables)
+    fit_shuffle(spark, rows["lineitem"])
 
     def meet(left: DataFrame, right: DataFrame, name: str, on: str) -> DataFrame:
-        small = rows[name] <= BROADCAST_ROWS
+        small = rows[name] <= broadcast_rows
         return left.join(F.broadcast(right) if small else right, F.expr(on))
 
     places = meet(tables["nation"], tables["region"], "region", "n_regionkey = r_regionkey")
     buyers = meet(tables["customer"], places, "nation", "c_nationkey = n_nationkey")
     orders = meet(tables["orders"], buyers, "customer", "o_custkey = c_custkey")
-    lines = use_all_cores(tables["lineitem"])
+    lines = use_all_cores(
+        tables["lineitem"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    )
     lines = meet(lines, orders, "orders", "l_orderkey = o_orderkey")
     lines = meet(lines, tables["part"], "part", "l_partkey = p_partkey")
 

@@ -6,11 +6,17 @@ can read, so a lost executor never costs more than its running tasks.
 
 from __future__ import annotations
 
+import math
 import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows of an order line that one shuffle task handles without effort, and the number of
+# tasks beyond which the bookkeeping of a shuffle costs more than larger tasks do.
+ROWS_PER_TASK = 2_000_000
+MAX_SHUFFLE_TASKS = 40_000
+
 _own_folders: dict[str, str] = {}
 
 
@@ -46,3 +52,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fit_shuffle(spark: SparkSession, rows: int) -> None:
+    """Let shuffles start with enough partitions for ``rows``; never with fewer than now.
+
+    Adaptive execution merges partitions that turn out small, but cannot cut a large one
+    outside of joins: 200 of them would be hopeless for 100 TB.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = min(math.ceil(rows / ROWS_PER_TASK), MAX_SHUFFLE_TASKS)
+    if wanted > int(now):
+        spark.conf.set(key, str(wanted))
