@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from lineforge.functions import parse_timestamp
 from lineforge.operators import (
+    Spread,
     current_versions,
     date_bounds,
     date_spine,
@@ -164,10 +165,9 @@ def _foreign_key(
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         lake = lakehouse_for(spark, folder)
-        dim = lake.gold(dimension)
-        rows = lake.counts[f"gold.{dimension}"]
-        spread = fact.Spread(counted=lake.silver(), by=GRAIN)
-        lines = add_key(lake.silver(), dim, dim_rows=rows, spread=spread, **options)
+        silver, dim, rows = lake.silver(), lake.gold(dimension), lake.rows()
+        spread = Spread(silver, by=[GRAIN], rows=rows["silver"])
+        lines = add_key(silver, dim, dim_rows=rows[dimension], spread=spread, **options)
         return lines.select(GRAIN, *columns)
 
     return run

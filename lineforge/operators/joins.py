@@ -1,44 +1,61 @@
-"""Left joins from a fact-sized table to dimensions that are unique on their key.
+"""Joins from a fact-sized table to tables that are unique on their key.
 
-A dimension whose counted rows fit is broadcast and the fact stays where it is. A larger one
+A table whose counted rows fit is broadcast and the fact stays where it is. A larger one
 meets the fact in a shuffle, and there a key with too many fact rows is cut into slices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many counted rows of a few key columns go to every executor (about 100 MB).
+from lineforge.storage import materialise, shuffle_tasks
+
+# Up to this many counted rows of a few columns go to every executor (about 100 MB).
 BROADCAST_ROWS = 500_000
 
-# A key with more fact rows than this is cut: what one shuffle task should hold at most.
-SLICE_ROWS = 2_000_000
+# Fewer rows of one key than this are no burden, whatever the other tasks hold.
+LEAST_HOT_ROWS = 100_000
+
+# A hot key is cut finer than a task's share, so that slices which meet in a task add little.
+SLICES_PER_TASK = 4
+
+# Hot keys are found in a sample that holds about this many rows of the smallest of them.
+SAMPLED_PER_KEY = 2_000
 
 
 @dataclass(frozen=True)
 class Spread:
-    """How hot keys are found and cut.
+    """How hot keys of a fact are found and cut.
 
-    ``counted`` is a stored table with the fact's key columns, cheap to scan once more;
-    ``by`` is a fact column with many values that deals rows out to slices, the same way
-    when a task is run again.
+    ``counted`` is a stored table of ``rows`` rows with the fact's key columns, to be scanned
+    once more. ``by`` are fact columns that tell rows of one key apart: they deal the rows
+    out to slices, in the same way when a lost task runs again. Unless ``hot_rows`` is given,
+    a key is hot if it alone exceeds what a shuffle task would hold on average.
     """
 
     counted: DataFrame
-    by: str
-    slice_rows: int = SLICE_ROWS
+    by: Sequence[str]
+    rows: int
+    hot_rows: int | None = None
+
+    def hot_from(self) -> int:
+        if self.hot_rows is not None:
+            return self.hot_rows
+        average = math.ceil(self.rows / shuffle_tasks(self.counted.sparkSession))
+        return max(average, LEAST_HOT_ROWS)
 
 
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     on: Mapping[str, str],
-    take: Mapping[str, str],
+    take: Mapping[str, str] | Sequence[str],
     null_safe: bool = False,
     dim_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
@@ -46,17 +63,19 @@ def lookup_join(
     during: tuple[str, str, str] | None = None,
     how: str = "left",
 ) -> DataFrame:
-    """Fact plus the dimension columns ``take`` (source to result name), matched by ``on``.
+    """Fact plus the dimension columns ``take`` (or source to result name), matched by ``on``.
 
     ``on`` maps fact to dimension columns. Null keys match only if ``null_safe``. ``during``
-    names a fact date and the dimension's two ends of validity, both included.
+    names a fact date and the dimension's two ends of validity, both included. With
+    ``dim_rows`` unknown, Spark chooses the join by file size.
     """
+    taken = dict(take) if isinstance(take, Mapping) else {name: name for name in take}
     side = {column: f"_dim_{column}" for column in on.values()}
     if during is not None:
         side |= {column: f"_dim_{column}" for column in during[1:]}
     right = dim.select(
         *[F.col(column).alias(alias) for column, alias in side.items()],
-        *[F.col(column).alias(alias) for column, alias in take.items()],
+        *[F.col(column).alias(alias) for column, alias in taken.items()],
     )
     pairs = [(left, side[column]) for left, column in on.items()]
     matches = [_equal(F.col(a), F.col(b), null_safe) for a, b in pairs]
@@ -68,10 +87,12 @@ def lookup_join(
     if dim_rows is not None and dim_rows <= broadcast_rows:
         right = F.broadcast(right)
     elif spread is not None:
-        fact, right = _cut_hot_keys(fact, right, pairs, spread)
-        matches.append(F.col("_slice") == F.col("_dim_slice"))
+        hot = hot_keys(spread, [left for left, _ in pairs])
+        if not hot.isEmpty():
+            fact, right = _cut(fact, right, pairs, hot, spread.by)
+            matches.append(F.col("_slice") == F.col("_dim_slice"))
     joined = fact.join(right, reduce(Column.__and__, matches), how)
-    return joined.select(*columns, *take.values())
+    return joined.select(*columns, *taken.values())
 
 
 def temporal_join(
@@ -81,7 +102,7 @@ def temporal_join(
     at: str,
     start: str,
     end: str,
-    take: Mapping[str, str],
+    take: Mapping[str, str] | Sequence[str],
     how: str = "left",
     **options,
 ) -> DataFrame:
@@ -90,38 +111,47 @@ def temporal_join(
 
 
 def hot_keys(spread: Spread, keys: list[str]) -> DataFrame:
-    """Keys with more rows than a slice, and into how many slices each is cut.
+    """Keys with too many rows for one task, and into how many slices each is cut.
 
-    There are at most rows / slice_rows of them, 250,000 for 500 billion rows, so the table
-    can be broadcast. Counting adds up map-side and reads the key columns only.
+    A sample of the key columns finds them: only the balance of the join depends on it, the
+    result does not. There are about as many as shuffle tasks at most, since that many shares
+    hold all rows, so they can be broadcast. They are written out, because both sides of the
+    join must cut the same keys.
     """
-    counts = spread.counted.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    slices = F.ceil(F.col("_rows") / spread.slice_rows).cast("int")
-    return counts.filter(F.col("_rows") > spread.slice_rows).select(
-        *[F.col(key).alias(f"_hot_{key}") for key in keys], slices.alias("_slices")
-    )
+    hot_from = spread.hot_from()
+    fraction = min(1.0, SAMPLED_PER_KEY / hot_from)
+    seen = spread.counted.select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
+    if fraction < 1:
+        seen = seen.sample(fraction, seed=1)
+    counts = seen.groupBy(*seen.columns).agg((F.count("*") / fraction).alias("_rows"))
+    slices = F.ceil(F.col("_rows") * SLICES_PER_TASK / hot_from).cast("int").alias("_slices")
+    hot = counts.filter(F.col("_rows") > hot_from).select(*seen.columns, slices)
+    return materialise(hot, "hot-keys")
 
 
 def _equal(a: Column, b: Column, null_safe: bool) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 
 
-def _cut_hot_keys(
-    fact: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], spread: Spread
+def _cut(
+    fact: DataFrame,
+    right: DataFrame,
+    pairs: list[tuple[str, str]],
+    hot: DataFrame,
+    by: Sequence[str],
 ) -> tuple[DataFrame, DataFrame]:
     """Give each fact row a slice of its key, and each dimension row one copy per slice."""
-    hot = F.broadcast(hot_keys(spread, [left for left, _ in pairs]))
 
     def with_slices(df: DataFrame, columns: list[str]) -> DataFrame:
         same = [
             F.col(column).eqNullSafe(F.col(f"_hot_{left}"))
             for column, (left, _) in zip(columns, pairs)
         ]
-        return df.join(hot, reduce(Column.__and__, same), "left")
+        return df.join(F.broadcast(hot), reduce(Column.__and__, same), "left")
 
     slices = F.coalesce(F.col("_slices"), F.lit(1))
     left_side = with_slices(fact, [left for left, _ in pairs])
-    dealt = F.pmod(F.xxhash64(spread.by), slices).cast("int")
+    dealt = F.pmod(F.xxhash64(*by), slices).cast("int")
     left_side = left_side.select(*fact.columns, dealt.alias("_slice"))
     right_side = with_slices(right, [column for _, column in pairs])
     copies = F.explode(F.sequence(F.lit(0), slices - 1)).alias("_dim_slice")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineforge.operators.joins import BROADCAST_ROWS, SLICE_ROWS, Spread, lookup_join, temporal_join
+from lineforge.operators.joins import BROADCAST_ROWS, Spread, lookup_join, temporal_join
 from lineforge.settings import GEO_COLUMNS
 
 # The 21 columns of the fact, as result name and source where they differ.
@@ -84,14 +84,16 @@ def build_fact(
     null_safe_geo: bool = False,
     rows: Mapping[str, int] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
-    slice_rows: int = SLICE_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """All six lookups over a stored silver table; row count stays that of silver.
 
-    ``rows`` gives counted dimension sizes by name. The smallest dimensions come first: they
-    are broadcast, and swap wide natural keys for a key of four bytes before any dimension
-    that is too large makes the lines move. Without a count Spark decides by file size.
+    ``rows`` gives the counted rows of ``silver`` and of the dimensions by name. The smallest
+    dimensions come first: they are broadcast, and swap wide natural keys for a key of four
+    bytes before any dimension that is too large makes the lines move. Without counts Spark
+    decides by file size.
     """
+    counted = rows is not None
     rows = rows or {}
     lookups = {
         "dim_customer": (customer_fk, dim_customer, {}),
@@ -100,7 +102,9 @@ def build_fact(
         "dim_shipping_mode": (shipping_fk, dim_shipping_mode, {}),
         "dim_date": (date_fk, dim_date, {}),
     }
-    spread = Spread(counted=silver, by="order_item_id", slice_rows=slice_rows)
+    spread = None
+    if counted:
+        spread = Spread(silver, by=["order_item_id"], rows=rows["silver"], hot_rows=hot_rows)
     lines = silver
     for name in sorted(lookups, key=lambda n: rows.get(n, broadcast_rows + 1)):
         add_key, dim, options = lookups[name]
@@ -109,7 +113,7 @@ def build_fact(
             dim,
             dim_rows=rows.get(name),
             broadcast_rows=broadcast_rows,
-            spread=spread if name in rows else None,
+            spread=spread,
             **options,
         )
     return lines.select(*[F.col(source).alias(name) for name, source in FACT_COLUMNS.items()])

@@ -140,15 +140,16 @@ class Lakehouse:
     def dimensions(self) -> dict[str, DataFrame]:
         return {name: self.gold(name) for name in DIMENSIONS}
 
-    def dimension_rows(self) -> dict[str, int]:
-        """Counted size of every dimension: what decides how it is joined."""
+    def rows(self) -> dict[str, int]:
+        """Counted rows of silver and every dimension: what decides how they are joined."""
         self.dimensions()
-        return {name: self.counts[f"gold.{name}"] for name in DIMENSIONS}
+        dimensions = {name: self.counts[f"gold.{name}"] for name in DIMENSIONS}
+        return {"silver": self.counts["silver.order_lines"], **dimensions}
 
     def plan_fact(self, **options) -> DataFrame:
         """The fact as a plan over silver and the dimensions."""
         dims = self.dimensions()
-        return build_fact(self.silver(), **dims, rows=self.dimension_rows(), **options)
+        return build_fact(self.silver(), **dims, rows=self.rows(), **options)
 
     def build(self) -> dict[str, int]:
         """Build every table; row counts by table.

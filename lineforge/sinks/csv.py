@@ -6,6 +6,13 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
+# Text leaves as it is; by default Spark would trim it on the way out.
+CSV_OPTIONS = {
+    "header": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def export_csv(tables: Mapping[str, DataFrame], folder: str, single_file: Collection[str] = ()) -> None:
     """Write every table to ``folder/<name>`` with a header, all tasks writing in parallel.
@@ -15,4 +22,4 @@ def export_csv(tables: Mapping[str, DataFrame], folder: str, single_file: Collec
     """
     for name, df in tables.items():
         rows = df.coalesce(1) if name in single_file else df
-        rows.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{folder}/{name}")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lineforge.operators.joins import BROADCAST_ROWS
+from lineforge.operators.joins import BROADCAST_ROWS, Spread, lookup_join
 from lineforge.settings import History, Settings
 from lineforge.storage import fit_shuffle
 
@@ -67,6 +67,9 @@ LINE_SCHEMA = T.StructType(
     ]
 )
 
+# Columns that tell the lines of one order, part or customer apart.
+LINE_PARTS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+
 # Parameters that fit the order tables: their dates and segments differ from the file's.
 TABLE_SETTINGS = Settings(
     tie_break=(
@@ -114,9 +117,7 @@ def order_lines(
     """Flat order lines from the parquet tables in ``folder``.
 
     Customers join orders before the far more numerous lines do, so the lines move only for
-    orders and parts. A table is broadcast if its counted rows allow it. Larger ones meet in
-    a shuffle, whose skewed partitions Spark splits at run time; every join is inner and is
-    followed by another exchange, so that split is always open to it.
+    orders and parts. How each table is joined follows from its counted rows.
     """
     tables = {
         name: spark.read.parquet(f"{folder}/{name}.parquet")
@@ -125,21 +126,34 @@ def order_lines(
     rows = count_rows(tables)
     fit_shuffle(spark, rows["lineitem"])
 
-    def meet(left: DataFrame, right: DataFrame, name: str, on: str) -> DataFrame:
-        small = rows[name] <= broadcast_rows
-        return left.join(F.broadcast(right) if small else right, F.expr(on))
-
-    places = meet(tables["nation"], tables["region"], "region", "n_regionkey = r_regionkey")
-    buyers = meet(tables["customer"], places, "nation", "c_nationkey = n_nationkey")
-    orders = meet(tables["orders"], buyers, "customer", "o_custkey = c_custkey")
-    lines = use_all_cores(
-        tables["lineitem"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    def spread(name: str, by: Sequence[str]) -> Spread:
+        return Spread(counted=tables[name], by=by, rows=rows[name])
+
+    def meet(left: DataFrame, right: DataFrame, name: str, on: dict[str, str], spread=None):
+        take = [column for column in right.columns if column not in on.values()]
+        return lookup_join(
+            left,
+            right,
+            on,
+            take,
+            dim_rows=rows[name],
+            broadcast_rows=broadcast_rows,
+            spread=spread,
+            how="inner",
+        )
+
+    places = meet(tables["nation"], tables["region"], "region", {"n_regionkey": "r_regionkey"})
+    buyers = meet(tables["customer"], places, "nation", {"c_nationkey": "n_nationkey"})
+    orders = meet(
+        tables["orders"], buyers, "customer", {"o_custkey": "c_custkey"}, spread("orders", ["o_orderkey"])
     )
-    lines = meet(lines, orders, "orders", "l_orderkey = o_orderkey")
-    lines = meet(lines, tables["part"], "part", "l_partkey = p_partkey")
+    lines = use_all_cores(tables["lineitem"], LINE_PARTS)
+    by_line = spread("lineitem", LINE_PARTS)
+    lines = meet(lines, orders, "orders", {"l_orderkey": "o_orderkey"}, by_line)
+    lines = meet(lines, tables["part"], "part", {"l_partkey": "p_partkey"}, by_line)
 
     def text(prefix: str, n: int) -> Column:
-        return F.concat(F.lit(prefix), (F.col("c_custkey") % n).cast("string"))
+        return F.concat(F.lit(prefix), (F.col("o_custkey") % n).cast("string"))
 
     null_text = F.lit(None).cast("string")
     lines = lines.withColumns(
@@ -185,7 +199,7 @@ def order_lines(
         "customer_city": text("CITY_", 40),
         "customer_state": text("STATE_", 8),
         "customer_country": F.col("n_name"),
-        "customer_zipcode": F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0"),
+        "customer_zipcode": F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0"),
         "product_card_id": F.col("l_partkey"),
         "product_name": F.col("p_name"),
         "category_id": F.col("p_size"),
@@ -194,9 +208,9 @@ def order_lines(
         "department_name": F.col("p_brand"),
         "product_price": F.col("price"),
         "market": F.col("r_name"),
-        "order_region": F.expr("concat(r_name, '-', string(n_nationkey % 2))"),
+        "order_region": F.expr("concat(r_name, '-', string(c_nationkey % 2))"),
         "order_country": F.col("n_name"),
-        "order_state": F.when(F.col("n_nationkey") % 7 != 3, text("STATE_", 8)),
+        "order_state": F.when(F.col("c_nationkey") % 7 != 3, text("STATE_", 8)),
         "order_city": text("CITY_", 40),
         "customer_email": F.lit("XXXX"),
         "customer_password": F.lit("XXXX"),

@@ -54,14 +54,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_START_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Number of partitions a shuffle starts with."""
+    return int(spark.conf.get(_START_KEY, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fit_shuffle(spark: SparkSession, rows: int) -> None:
     """Let shuffles start with enough partitions for ``rows``; never with fewer than now.
 
     Adaptive execution merges partitions that turn out small, but cannot cut a large one
     outside of joins: 200 of them would be hopeless for 100 TB.
     """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    now = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
     wanted = min(math.ceil(rows / ROWS_PER_TASK), MAX_SHUFFLE_TASKS)
-    if wanted > int(now):
-        spark.conf.set(key, str(wanted))
+    if wanted > shuffle_tasks(spark):
+        spark.conf.set(_START_KEY, str(wanted))
