@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from hashlib import sha1
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,16 +52,18 @@ HISTORY = TABLE_SETTINGS.history
 GRAIN = TABLE_SETTINGS.grain
 
 _lakehouses: dict[tuple[str, str], Lakehouse] = {}
+_lakehouses_lock = Lock()
 
 
 def lakehouse_for(spark: SparkSession, folder: str) -> Lakehouse:
     """The lakehouse over the tables in ``folder``: a snapshot, kept for this application."""
     key = (application_id(spark), folder)
-    if key not in _lakehouses:
-        prefix = "lines_" + sha1("|".join(key).encode()).hexdigest()[:12]
-        source = order_lines(spark, folder)
-        _lakehouses[key] = shared_lakehouse(source, prefix, TABLE_SETTINGS)
-    return _lakehouses[key]
+    with _lakehouses_lock:
+        if key not in _lakehouses:
+            prefix = "lines_" + sha1("|".join(key).encode()).hexdigest()[:12]
+            source = order_lines(spark, folder)
+            _lakehouses[key] = shared_lakehouse(source, prefix, TABLE_SETTINGS)
+        return _lakehouses[key]
 
 
 # --- raw lines --------------------------------------------------------------------------

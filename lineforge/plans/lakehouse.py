@@ -33,6 +33,15 @@ DIMENSIONS = ("dim_customer", "dim_product", "dim_geo", "dim_shipping_mode", "di
 KPIS = ("kpi_delivery_by_market", "kpi_sales_by_segment")
 GOLD_TABLES = ("fact_order_line", *DIMENSIONS, *KPIS)
 
+# Tables of one step need none of each other.
+STEPS = (
+    ("bronze.order_lines",),
+    ("silver.order_lines", "silver.rejected_lines"),
+    tuple(f"gold.{name}" for name in DIMENSIONS),
+    ("gold.fact_order_line",),
+    tuple(f"gold.{name}" for name in KPIS),
+)
+
 
 def latest_customers(silver: DataFrame, grain: str) -> DataFrame:
     """Customer attributes as of each customer's latest order line."""
@@ -154,18 +163,24 @@ class Lakehouse:
     def build(self) -> dict[str, int]:
         """Build every table; row counts by table.
 
-        Tables that do not need each other are built side by side, so that the small jobs of
-        the dimensions do not leave the cluster idle in turn. A table waits for its inputs,
-        which stand before it in the list.
+        The tables of a step are built side by side, so that the small jobs of the dimensions
+        do not leave the cluster idle in turn.
         """
-        with ThreadPoolExecutor(len(self._builders)) as pool:
-            list(pool.map(self.table, self._builders))
-        return {table: self.counts[table] for table in self._builders}
+        for step in STEPS:
+            with ThreadPoolExecutor(len(step)) as pool:
+                list(pool.map(self.table, step))
+        return dict(self.counts)
 
     def refresh(self) -> None:
         """Forget what was built; the source is read anew on the next use."""
         self.counts.clear()
 
+    def drop(self) -> None:
+        """Remove all tables with their files."""
+        self.refresh()
+        for schema in self.schemas.values():
+            self.spark.sql("DROP SCHEMA IF EXISTS IDENTIFIER(:schema) CASCADE", {"schema": schema})
+
     def layer_counts(self) -> DataFrame:
         """Rows per table: raw lines, silver and all of gold."""
         tables = {"bronze.order_lines": self.bronze(), "silver.order_lines": self.silver()}

@@ -141,6 +141,8 @@ def test_lakehouse_from_files(spark, tmp_path, lake):
     assert same_rows(built.fact(), lake.fact())
     assert {"_ingested_at", "_source_file"} <= set(built.bronze().columns)
     assert not {"_ingested_at", "_source_file"} & set(built.silver().columns)
+    built.drop()
+    assert not spark.catalog.databaseExists("from_files_gold")
 
 
 def test_default_parameters_fit_the_public_file(lake):
