@@ -16,6 +16,7 @@ JUNK_COLUMNS = (
 # Audit columns that ingest adds.
 AUDIT_COLUMNS = ("_ingested_at", "_source_file")
 
+# The attributes of the dimensions, natural keys first.
 PRODUCT_COLUMNS = (
     "product_card_id",
     "product_name",
@@ -40,8 +41,13 @@ CUSTOMER_COLUMNS = (
 
 @dataclass(frozen=True)
 class History:
-    """How the simulated customer history is cut into versions."""
+    """How the simulated customer history is cut into versions.
 
+    A customer whose id divides by ``modulus``, and whose segment is not ``base_value`` now,
+    had that segment from ``floor`` to the day before ``cutoff``.
+    """
+
+    # Fixed values for the public order-line source file.
     base_value: str = "Consumer"
     modulus: int = 20
     floor: str = "2000-01-01"
