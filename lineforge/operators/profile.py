@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# So many columns go into one aggregate; the code generated for more is too long to be
+# compiled well. A columnar source reads each column once all the same.
+COLUMNS_PER_GROUP = 12
 
 
 def profile_distinct(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
@@ -21,19 +27,44 @@ def profile_distinct(df: DataFrame, columns: Sequence[str], approx: bool = False
 def profile_constant_columns(df: DataFrame) -> DataFrame:
     """One row per column: values present, and whether there is at most one distinct value.
 
-    Smallest equals largest settles that in one pass with no shuffle of values, where a
-    distinct count would multiply the rows by the number of columns.
+    A column is constant if its smallest value is its largest, which takes one pass and no
+    shuffle of values, where distinct counts would multiply the rows by the number of
+    columns. For text, whose running extremes are costly to keep, the pass compares
+    fingerprints: two different ones prove the column varied. The few text columns with a
+    single fingerprint are then settled by their values. What is fetched in between is one
+    row per column.
     """
-    numbered = {c: (f"_low_{i}", f"_high_{i}", f"_count_{i}") for i, c in enumerate(df.columns)}
-    parts = []
-    for column, (low, high, count) in numbered.items():
-        parts += [F.min(column).alias(low), F.max(column).alias(high), F.count(column).alias(count)]
-    entries = [
-        F.struct(
-            F.lit(column).alias("column_name"),
-            F.col(count).alias("non_null_rows"),
-            ((F.col(count) == 0) | F.col(low).eqNullSafe(F.col(high))).alias("is_constant"),
+    columns = df.columns
+    groups = [columns[i : i + COLUMNS_PER_GROUP] for i in range(0, len(columns), COLUMNS_PER_GROUP)]
+    printed = [_extremes(df, group, lambda c: _fingerprint(df, c)) for group in groups]
+    seen = reduce(DataFrame.unionAll, printed)
+    found = seen.collect()
+    open_text = [r["column_name"] for r in found if r["is_constant"] and _is_wide(df, r["column_name"])]
+    settled = [r for r in found if r["column_name"] not in open_text]
+    result = df.sparkSession.createDataFrame(settled, seen.schema)
+    return result.unionAll(_extremes(df, open_text, F.col)) if open_text else result
+
+
+def _extremes(df: DataFrame, columns: Sequence[str], value: Callable[[str], Column]) -> DataFrame:
+    entries = []
+    for column in columns:
+        smallest, largest = F.min(value(column)), F.max(value(column))
+        entries.append(
+            F.struct(
+                F.lit(column).alias("column_name"),
+                F.count(column).alias("non_null_rows"),
+                smallest.eqNullSafe(largest).alias("is_constant"),
+            )
         )
-        for column, (low, high, count) in numbered.items()
-    ]
-    return df.agg(*parts).select(F.inline(F.array(*entries)))
+    return df.agg(F.array(*entries).alias("_columns")).select(F.inline("_columns"))
+
+
+def _is_wide(df: DataFrame, column: str) -> bool:
+    """Whether the size of a value varies, so that an aggregate cannot update it in place."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return not isinstance(df.schema[column].dataType, fixed)
+
+
+def _fingerprint(df: DataFrame, column: str) -> Column:
+    value = F.col(column)
+    return F.when(value.isNotNull(), F.xxhash64(value)) if _is_wide(df, column) else value
