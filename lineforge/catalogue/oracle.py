@@ -7,7 +7,7 @@ global windows, deduplicates with ``row_number`` and joins the fact line by line
 from __future__ import annotations
 
 from lineforge.settings import JUNK_COLUMNS
-from lineforge.sources.tables import LINE_SCHEMA
+from lineforge.sources.schemas import LINE_SCHEMA
 
 RAW = """
 lines AS (

@@ -43,7 +43,8 @@ from lineforge.plans.silver import clean_orders
 from lineforge.settings import GEO_COLUMNS, JUNK_COLUMNS
 from lineforge.sinks import export_csv, write_table
 from lineforge.sources import ingest_csv, order_lines
-from lineforge.sources.tables import LINE_SCHEMA, TABLE_SETTINGS
+from lineforge.sources.schemas import LINE_SCHEMA
+from lineforge.sources.tables import TABLE_SETTINGS
 from lineforge.storage import application_id, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -26,7 +26,7 @@ from lineforge.plans.kpi import delivery_kpi, segment_kpi
 from lineforge.plans.silver import clean_orders, rejected_orders
 from lineforge.settings import CUSTOMER_COLUMNS, GEO_COLUMNS, PRODUCT_COLUMNS, Settings
 from lineforge.sinks import create_layers, export_csv, write_table
-from lineforge.sources import ingest_csv
+from lineforge.sources import FILE_SCHEMA, ingest_csv
 from lineforge.storage import fit_shuffle, work_folder
 
 DIMENSIONS = ("dim_customer", "dim_product", "dim_geo", "dim_shipping_mode", "dim_date")
@@ -116,7 +116,12 @@ class Lakehouse:
 
     @classmethod
     def from_csv(
-        cls, spark: SparkSession, path: str, prefix: str, schema: T.StructType, **options
+        cls,
+        spark: SparkSession,
+        path: str,
+        prefix: str,
+        schema: T.StructType = FILE_SCHEMA,
+        **options,
     ) -> Lakehouse:
         """Over delimited files, as they come from the source system."""
         return cls(ingest_csv(spark, path, schema), prefix, **options)

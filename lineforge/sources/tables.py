@@ -7,66 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lineforge.operators.joins import BROADCAST_ROWS, Spread, lookup_join
 from lineforge.settings import History, Settings
+from lineforge.sources.schemas import FINE_MONEY, LINE_SCHEMA, MONEY, RATE
 from lineforge.storage import fit_shuffle
 
-MONEY = T.DecimalType(18, 2)
-FINE_MONEY = T.DecimalType(18, 4)
-RATE = T.DecimalType(4, 2)
-
-# Name and type of every column of the flat view, in file order.
-LINE_SCHEMA = T.StructType(
-    [
-        T.StructField("order_item_id", T.LongType()),
-        T.StructField("order_id", T.LongType()),
-        T.StructField("order_date_dateorders", T.StringType()),
-        T.StructField("shipping_date_dateorders", T.StringType()),
-        T.StructField("days_for_shipping_real", T.IntegerType()),
-        T.StructField("days_for_shipment_scheduled", T.IntegerType()),
-        T.StructField("late_delivery_risk", T.IntegerType()),
-        T.StructField("delivery_status", T.StringType()),
-        T.StructField("order_status", T.StringType()),
-        T.StructField("shipping_mode", T.StringType()),
-        T.StructField("sales", MONEY),
-        T.StructField("order_item_quantity", T.IntegerType()),
-        T.StructField("order_item_discount", FINE_MONEY),
-        T.StructField("order_item_discount_rate", RATE),
-        T.StructField("order_item_profit_ratio", T.DoubleType()),
-        T.StructField("order_profit_per_order", FINE_MONEY),
-        T.StructField("benefit_per_order", FINE_MONEY),
-        T.StructField("order_item_total", FINE_MONEY),
-        T.StructField("customer_id", T.LongType()),
-        T.StructField("customer_fname", T.StringType()),
-        T.StructField("customer_lname", T.StringType()),
-        T.StructField("customer_segment", T.StringType()),
-        T.StructField("customer_city", T.StringType()),
-        T.StructField("customer_state", T.StringType()),
-        T.StructField("customer_country", T.StringType()),
-        T.StructField("customer_zipcode", T.StringType()),
-        T.StructField("product_card_id", T.LongType()),
-        T.StructField("product_name", T.StringType()),
-        T.StructField("category_id", T.IntegerType()),
-        T.StructField("category_name", T.StringType()),
-        T.StructField("department_id", T.IntegerType()),
-        T.StructField("department_name", T.StringType()),
-        T.StructField("product_price", MONEY),
-        T.StructField("market", T.StringType()),
-        T.StructField("order_region", T.StringType()),
-        T.StructField("order_country", T.StringType()),
-        T.StructField("order_state", T.StringType()),
-        T.StructField("order_city", T.StringType()),
-        T.StructField("customer_email", T.StringType()),
-        T.StructField("customer_password", T.StringType()),
-        T.StructField("product_description", T.StringType()),
-        T.StructField("product_status", T.IntegerType()),
-        T.StructField("product_image", T.StringType()),
-        T.StructField("tie_suppkey", T.LongType()),
-    ]
-)
-
 # Columns that tell the lines of one order, part or customer apart.
 LINE_PARTS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 

@@ -126,7 +126,7 @@ def test_rebuild_overwrites_and_gives_the_same_keys(lake, spark):
 def test_lakehouse_from_files(spark, tmp_path, lake):
     """Files in, star schema out, with the parameters of the public source file."""
     from lineforge.catalogue.registry import file_header
-    from lineforge.sources.tables import LINE_SCHEMA
+    from lineforge.sources.schemas import LINE_SCHEMA
 
     lines = lake.bronze()
     path = str(tmp_path / "in")
