@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from hashlib import sha1
 from threading import Lock
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -183,7 +184,7 @@ def _foreign_key(
 def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The fact, written as one more managed table and read back."""
     lake = lakehouse_for(spark, folder)
-    return write_table(lake.plan_fact(), lake.name("gold.fact_copy"))
+    return write_table(lake.plan_fact(), lake.name(f"gold.fact_copy_{uuid4().hex}"))
 
 
 def csv_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
