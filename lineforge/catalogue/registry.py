@@ -37,7 +37,6 @@ from lineforge.plans.lakehouse import (
     geo_dimension,
     latest_customers,
     product_dimension,
-    shared_lakehouse,
     shipping_dimension,
 )
 from lineforge.plans.silver import clean_orders
@@ -46,7 +45,7 @@ from lineforge.sinks import export_csv, write_table
 from lineforge.sources import ingest_csv, order_lines
 from lineforge.sources.schemas import LINE_SCHEMA
 from lineforge.sources.tables import TABLE_SETTINGS
-from lineforge.storage import application_id, new_path
+from lineforge.storage import application_id, new_path, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,8 +62,13 @@ def lakehouse_for(spark: SparkSession, folder: str) -> Lakehouse:
     with _lakehouses_lock:
         if key not in _lakehouses:
             prefix = "lines_" + sha1("|".join(key).encode()).hexdigest()[:12]
-            source = order_lines(spark, folder)
-            _lakehouses[key] = shared_lakehouse(source, prefix, TABLE_SETTINGS)
+            _lakehouses[key] = Lakehouse(
+                spark,
+                lambda: order_lines(spark, folder),
+                prefix,
+                TABLE_SETTINGS,
+                location=work_folder(spark),
+            )
         return _lakehouses[key]
 
 

@@ -27,7 +27,7 @@ from lineforge.plans.silver import clean_orders, rejected_orders
 from lineforge.settings import CUSTOMER_COLUMNS, GEO_COLUMNS, PRODUCT_COLUMNS, Settings
 from lineforge.sinks import create_layers, export_csv, write_table
 from lineforge.sources import FILE_SCHEMA, ingest_csv
-from lineforge.storage import fit_shuffle, work_folder
+from lineforge.storage import fit_shuffle
 
 DIMENSIONS = ("dim_customer", "dim_product", "dim_geo", "dim_shipping_mode", "dim_date")
 KPIS = ("kpi_delivery_by_market", "kpi_sales_by_segment")
@@ -80,24 +80,25 @@ def customer_dimension(silver: DataFrame, settings: Settings) -> DataFrame:
 class Lakehouse:
     """Tables of one source, each built on first use and kept.
 
-    ``prefix`` names the schemas ``<prefix>_bronze``, ``_silver`` and ``_gold``. The tables
-    are a snapshot: ``refresh`` forgets what was built, and the next use overwrites it.
+    ``source`` gives the raw lines whenever bronze is built. ``prefix`` names the schemas
+    ``<prefix>_bronze``, ``_silver`` and ``_gold``. The tables are a snapshot: ``refresh``
+    forgets what was built, and the next use overwrites it.
     """
 
     def __init__(
         self,
-        source: DataFrame,
+        spark: SparkSession,
+        source: Callable[[], DataFrame],
         prefix: str,
         settings: Settings | None = None,
         location: str | None = None,
     ) -> None:
-        self.spark: SparkSession = source.sparkSession
-        self.source = source
+        self.spark = spark
         self.settings = settings or Settings()
         self.schemas = {layer: f"{prefix}_{layer}" for layer in ("bronze", "silver", "gold")}
         self.counts: dict[str, int] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
-            "bronze.order_lines": lambda: self.source,
+            "bronze.order_lines": source,
             "silver.order_lines": lambda: clean_orders(self.bronze(), self.settings)[0],
             "silver.rejected_lines": lambda: rejected_orders(self.bronze(), self.settings),
             "gold.dim_product": lambda: product_dimension(self.silver(), self.settings.grain),
@@ -124,7 +125,7 @@ class Lakehouse:
         **options,
     ) -> Lakehouse:
         """Over delimited files, as they come from the source system."""
-        return cls(ingest_csv(spark, path, schema), prefix, **options)
+        return cls(spark, lambda: ingest_csv(spark, path, schema), prefix, **options)
 
     def name(self, table: str) -> str:
         """Catalog name of ``layer.table``."""
@@ -202,8 +203,3 @@ class Lakehouse:
     def export(self, folder: str) -> None:
         """All gold tables as CSV; the two reports of a few rows as one file each."""
         export_csv({name: self.gold(name) for name in GOLD_TABLES}, folder, single_file=KPIS)
-
-
-def shared_lakehouse(source: DataFrame, prefix: str, settings: Settings) -> Lakehouse:
-    """A lakehouse in this application's work folder."""
-    return Lakehouse(source, prefix, settings, location=work_folder(source.sparkSession))

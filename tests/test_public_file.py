@@ -113,3 +113,19 @@ def test_reports(lake, spark):
     assert [(r.market, r.orders, r.total_sales) for r in summary.collect()] == [
         ("LATAM", 3, Decimal(801)), ("Europe", 1, Decimal(300)),
     ]
+
+
+def test_refresh_reads_new_files(spark, tmp_path):
+    def write(name, *lines):
+        with open(tmp_path / name, "w", encoding="latin-1", newline="") as out:
+            csv.writer(out).writerows([HEADER, *lines])
+
+    write("a.csv", _line(11, 7, "Consumer", "1/1/2018 1:00", "LATAM", 0, 2, "1", "1"))
+    built = Lakehouse.from_csv(spark, f"{tmp_path}/*.csv", "growing", location=f"{tmp_path}/lake")
+    assert built.fact().count() == 1
+    write("b.csv", _line(12, 8, "Consumer", "1/2/2018 1:00", "Europe", 0, 2, "1", "1"))
+    assert built.fact().count() == 1
+    built.refresh()
+    assert built.build()["gold.fact_order_line"] == 2
+    assert built.gold("dim_geo").count() == 2
+    built.drop()

@@ -51,7 +51,8 @@ def test_flat_view_is_the_same_when_hot_keys_are_cut(spark, skewed, large_tables
 
 
 def test_star_schema_is_the_same_when_hot_keys_are_cut(spark, skewed, large_tables, tmp_path):
-    lake = Lakehouse(order_lines(spark, skewed), "skewed", TABLE_SETTINGS, str(tmp_path))
+    source = lambda: order_lines(spark, skewed)
+    lake = Lakehouse(spark, source, "skewed", TABLE_SETTINGS, str(tmp_path))
     lake.build()
     cut = lake.plan_fact(broadcast_rows=0, hot_rows=100)
     assert "_slice" in cut._jdf.queryExecution().optimizedPlan().toString()
