@@ -14,7 +14,15 @@ from lineforge.sources.schemas import FINE_MONEY, LINE_SCHEMA, MONEY, RATE
 from lineforge.storage import fit_shuffle
 
 # Columns that tell the lines of one order, part or customer apart.
-LINE_PARTS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+LINE_PARTS = (
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_shipdate",
+    "l_quantity",
+    "l_extendedprice",
+)
 
 # Parameters that fit the order tables: their dates and segments differ from the file's.
 TABLE_SETTINGS = Settings(
