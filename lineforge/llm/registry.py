@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineforge.llm import bpe, naming, packing, quality, topk, warc
+from lineforge.llm import bpe, naming, packing, quality, secrets, topk, warc
 from lineforge.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, folder, "documents"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Query]:
         for f in (
             op1_warc,
             op2_quality,
+            op4_secrets,
             op6_packing,
             op8_bpe,
             op9_naming,
