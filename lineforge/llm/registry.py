@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineforge.llm import bpe, naming, packing, quality, secrets, topk, warc
+from lineforge.llm import bpe, chat, naming, packing, quality, secrets, topk, warc
 from lineforge.llm.shipping import ship_package
+from lineforge.llm.tables import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,19 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    windows = chat.format_chats(turns.unionByName(more), public_tokenizers.path("byte_bpe_50k.json"))
+    return chat.read_chats(written(windows, "chats"))
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digest(table(spark, folder, "documents"))
 
@@ -61,6 +75,7 @@ def queries() -> dict[str, Query]:
         for f in (
             op1_warc,
             op2_quality,
+            op3_chat,
             op4_secrets,
             op6_packing,
             op8_bpe,
