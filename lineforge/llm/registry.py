@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineforge.llm import bpe, chat, naming, packing, quality, secrets, topk, warc
+from lineforge.llm import bpe, chat, minhash, naming, packing, quality, secrets, topk, warc
 from lineforge.llm.shipping import ship_package
 from lineforge.llm.tables import written
 
@@ -57,6 +57,12 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    settings = minhash.NearSettings(width=3, percent=85)
+    marked = minhash.mark_near_copies(table(spark, folder, "documents"), settings)
+    return marked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -78,6 +84,7 @@ def queries() -> dict[str, Query]:
             op3_chat,
             op4_secrets,
             op6_packing,
+            op7_minhash,
             op8_bpe,
             op9_naming,
             op10_topk,
