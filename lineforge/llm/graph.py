@@ -67,16 +67,19 @@ def components(edges: DataFrame) -> DataFrame:
 def connect(
     members: DataFrame,
     verified: Callable[[DataFrame], DataFrame],
+    possible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     first: Column | None = None,
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Components (node, root) and tested links (a, b) of written ``members`` (bucket, node, center).
+    """Components (node, root) and links (a, b) of written ``members`` (bucket, node, center, weight, ...).
 
     ``center`` says whether a node may be the left side of a pair in that bucket; pairs of two nodes
-    that may not are no candidates. ``verified`` keeps the true links of pairs (a, b). ``first``
-    picks the buckets of an opening round, a few that hold most links, so that later rounds find
-    most nodes connected. Both results are None without any link.
+    that may not are no candidates. Centers of small ``weight`` come first. ``possible(x, y)`` is a
+    necessary condition on two members' columns, ``verified`` keeps the true links of pairs (a, b).
+    ``first`` picks the buckets of an opening round, a few that hold most links, so that later rounds
+    find most nodes connected. Both results are None without any link.
     """
     roots = links = tested = None
+    carried = [c for c in members.columns if c not in ("bucket", "center")]
     salts = 1
     while True:
         now = members if first is None else members.where(first)
@@ -84,21 +87,19 @@ def connect(
             now = now.withColumn("root", F.col("node"))
         else:
             now = now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        now = written(now, "members")
-        salt = F.pmod(F.xxhash64("node"), F.lit(salts))
-        open_buckets = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        several = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        now = written(now.join(several.select("bucket"), "bucket", "left_semi"), "members")
         centers = (
             now.where("center")
-            .groupBy("bucket", salt.alias("salt"))
-            .agg(F.min("node").alias("c"), F.min_by("root", "node").alias("c_root"), F.count_distinct("node").alias("n"))
-            .join(open_buckets.select("bucket"), "bucket", "left_semi")
+            .groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
+            .agg(F.min(F.struct("weight", *[c for c in carried if c != "weight"], "root")).alias("c"), F.count("*").alias("n"))
         )
         centers = written(centers, "centers")
-        more = first is not None or not centers.where("n > 1").isEmpty()
+        last = first is None and centers.where("n > 1").isEmpty()
         pairs = (
-            now.join(centers, "bucket")
-            .where("root <> c_root")
-            .select(F.greatest("node", "c").alias("a"), F.least("node", "c").alias("b"))
+            now.join(centers.select("bucket", "c"), "bucket")
+            .where((F.col("root") != F.col("c.root")) & possible(F.col, lambda name: F.col(f"c.{name}")))
+            .select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b"))
             .distinct()
         )
         if tested is not None:
@@ -110,7 +111,7 @@ def connect(
             if not found.isEmpty():
                 links = found if links is None else links.unionAll(found)
                 roots = written(components(links), "roots")
-        if not more:
+        if last:
             return roots, links
         # Rounds: the opening buckets, then one center in each, then GROWTH, GROWTH squared, ...
         salts, first = (salts if first is not None else salts * GROWTH), None

@@ -8,8 +8,9 @@ need. Two sets meet in some table exactly if they agree in at least one half ban
 ``halves`` is chosen from the threshold so that a pair right at it is missed with at most
 ``miss`` probability (pairs above it far less).
 
-Documents with equal sets are one node from the start. Tables' buckets go to ``graph.connect``; a
-pair is a link only if its full sets pass the integer test ``100 * both >= percent * either``.
+Documents with equal sets are one node from the start. Nodes whose shingles are too rarely shared to
+be in any link are dropped by an exact bound. The tables' other buckets go to ``graph.connect``; a pair
+is a link only if its full sets pass the integer test ``100 * both >= percent * either``.
 
 Scale: sets are hashed in NumPy from Arrow buffers where they are read. One shuffle sorts the bucket
 keys; tables of a single node vanish there. Full sets are made again only for nodes in buckets.
@@ -24,7 +25,7 @@ that share an id are judged by their own texts; extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -219,36 +220,56 @@ def _similar(both: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * both >= percent * (a + b - both)
 
 
+def with_support(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``members`` with size and support, without those that cannot be in any link of their bucket.
+
+    A node's support is the number of its shingles that any other node holds, too: it shares no more
+    than these with anyone. So the similarity of two nodes is at most m / (a + b - m) for their sizes a,
+    b and the smaller support m, and a partner has at least the size of the bucket's smallest node.
+    """
+    shingles = sets.select(F.explode("shingles").alias("bucket"), "node")
+    support = shared_buckets(shingles).groupBy("node").agg(F.count("*").alias("support"))
+    known = written(sizes.join(support, "node"), "support")
+    members = written(members.join(known, "node"), "supported")
+    smallest = members.groupBy("bucket").agg(F.min("size").alias("least"))
+    partner = F.greatest("least", "support", F.ceil(F.col("size") * percent / 100))
+    able = _similar(F.col("support"), F.col("size"), partner, percent)
+    able = members.join(smallest, "bucket").where(able).select(*members.columns)
+    # Centers: those with the smallest share of shingles of their own.
+    weight = F.round(1 - F.col("support") / F.col("size"), 3)
+    return written(able.withColumn("center", F.lit(True)).withColumn("weight", weight), "able")
+
+
 def mark_near_copies(docs: DataFrame, settings: NearSettings = NearSettings()) -> DataFrame:
     """Per document doc_id, text_hash, n_shingles, component_id, kept. Runs jobs."""
     texts = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), "text")
     named = written(name_sets(texts, settings), "named")
-    members = written(shared_buckets(table_keys(texts, settings)), "buckets").withColumn("center", F.lit(True))
+    members = written(shared_buckets(table_keys(texts, settings)), "buckets")
     # Full sets again, of one document for each node that shares a bucket.
     nodes = members.select("node").distinct()
     one = (
         named.join(nodes, "node", "left_semi")
         .groupBy("node", "n_shingles")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
-        .select("node", F.col("n_shingles").cast("long").alias("size"), "key.*")
+        .select("node", F.col("n_shingles").alias("size"), "key.*")
     )
     one = written(one, "representatives")
     keys = one.select(F.col("doc_id").alias("one_id"), F.col("text_hash").alias("one_hash"))
     chosen = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash"))
     sets = written(full_sets(texts.join(if_small(keys, 64), chosen, "left_semi"), settings).dropDuplicates(["node"]), "sets")
-    sizes = one.select("node", "size")
+    able = with_support(members, one.select("node", "size"), sets, settings.percent)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        def of(table: DataFrame, side: str) -> DataFrame:
-            return table.toDF(*[side if c == "node" else f"{c}_{side}" for c in table.columns])
+    def possible(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+        return _similar(F.least(x("support"), y("support")), x("size"), y("size"), settings.percent) & _similar(
+            F.least(x("size"), y("size")), x("size"), y("size"), settings.percent
+        )
 
-        near = pairs.join(of(sizes, "a"), "a").join(of(sizes, "b"), "b")
-        near = near.where(_similar(F.least("size_a", "size_b"), F.col("size_a"), F.col("size_b"), settings.percent))
-        near = near.join(of(sets, "a"), "a").join(of(sets, "b"), "b")
-        both = F.size(F.array_intersect("shingles_a", "shingles_b"))
-        return near.where(_similar(both, F.col("size_a"), F.col("size_b"), settings.percent)).select("a", "b")
+    def verified(pairs: DataFrame) -> DataFrame:
+        near = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        both = F.size(F.array_intersect("set_a", "set_b"))
+        return near.where(_similar(both, F.size("set_a"), F.size("set_b"), settings.percent)).select("a", "b")
 
-    roots, _ = connect(members, verified, first=F.col("bucket").bitwiseAND(F.lit(255)) == 0)
+    roots, _ = connect(able, verified, possible, first=F.col("bucket").bitwiseAND(F.lit(255)) == 0)
     if roots is None:
         placed = named.withColumn("root", F.col("node"))
     else:
