@@ -13,7 +13,8 @@ so broadcasting it is bounded by a parameter.
 
 Defined results: null text counts as empty; a text without tokens has the score of the bias
 alone; rows with a null label or text are not trained on; without any label, or with only one
-class among them, every score is 0.5; input columns beyond the named ones pass through.
+class among them, every score is 0.5; input columns beyond the named ones pass through, but for one
+that has the score's name.
 """
 
 from __future__ import annotations
@@ -203,12 +204,13 @@ def fit_quality(labelled: DataFrame, settings: QualitySettings = QualitySettings
     return weights
 
 
-def score_quality(docs: DataFrame, weights: np.ndarray, settings: QualitySettings = QualitySettings()) -> DataFrame:
-    """``docs`` with a column ``score`` from the whole of ``text``."""
+def score_quality(
+    docs: DataFrame, weights: np.ndarray, settings: QualitySettings = QualitySettings(), name: str = "score"
+) -> DataFrame:
+    """``docs`` with a column ``name``, the score of the whole of ``text``; it replaces one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    if "score" in docs.columns:
-        docs = docs.withColumnRenamed("score", "input_score")
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    docs = docs.drop(name)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     at = docs.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,3 +248,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: QualitySettings
         .limit(settings.sample_rows)
     )
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings()) -> DataFrame:
+    """``docs`` without the documents whose score is below the threshold. Runs jobs to train."""
+    name = "score"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    weights = fit_quality(training_rows(docs, labels, settings), settings)
+    return score_quality(docs, weights, settings, name).where(F.col(name) >= settings.threshold).drop(name)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineforge.llm import bpe, chat, minhash, naming, packing, quality, secrets, topk, warc
+from lineforge.llm import bpe, chat, lines, minhash, naming, packing, quality, secrets, topk, warc
 from lineforge.llm.shipping import ship_package
 from lineforge.llm.tables import written
 
@@ -53,6 +53,12 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digest(table(spark, folder, "documents"))
 
 
+def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
+    return cleaned.select("doc_id", "n_lines", "n_removed", "n_links", "classes", digest)
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -83,6 +89,7 @@ def queries() -> dict[str, Query]:
             op2_quality,
             op3_chat,
             op4_secrets,
+            op5_lines,
             op6_packing,
             op7_minhash,
             op8_bpe,

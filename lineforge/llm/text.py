@@ -81,12 +81,15 @@ class SpanHasher:
         if len(self._power) < n:
             self._power, self._inverse = powers(_BASE, n), powers(_INVERSE, n)
 
-    def piece(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """For spans all within ``data``, in any order."""
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """Prefix sums of ``data``, from which ``spans`` takes any of its spans."""
         self._grow(len(data) + 1)
         sums = np.empty(len(data) + 1, np.uint64)
         sums[0] = 0
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self._power[: len(data)], out=sums[1:])
+        return sums
+
+    def spans(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((sums[ends] - sums[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64))
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -95,7 +98,8 @@ class SpanHasher:
         while first < len(starts):
             low = starts[first]
             last = max(first + 1, int(np.searchsorted(ends, low + PIECE, "right")))
-            out[first:last] = self.piece(data[low : ends[last - 1]], starts[first:last] - low, ends[first:last] - low)
+            sums = self.sums(data[low : ends[last - 1]])
+            out[first:last] = self.spans(sums, starts[first:last] - low, ends[first:last] - low)
             first = last
         return out
 
