@@ -15,6 +15,8 @@ aggregated or met by a join that adaptive execution can split.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,11 @@ from lineforge.llm.tables import written
 GROWTH = 64
 
 
+def differing_bits(x: Column, y: Column, words: int) -> Column:
+    """In how many places two bitmaps, arrays of ``words`` longs, differ."""
+    return reduce(add, [F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(words)])
+
+
 def _same(left: DataFrame, right: DataFrame) -> bool:
     """Whether two tables of distinct edges are equal, by their number and two sums of hashes."""
     totals = [

@@ -14,8 +14,8 @@ segments would be a few letters. Others are never removed.
 
 Scale: rows are batch-distinct lines times a dozen keys of three numbers; one shuffle sorts them and
 keys of a single line vanish there. A line that occurs in a third of all documents is one node, and
-``graph.connect`` tests large buckets by centers; pairs whose counts of characters or neighbouring
-pairs differ by more than the edits could are no candidates, so their texts never meet. Lines are known by 64-bit hashes of their whole
+``graph.connect`` tests large buckets by centers; two lines whose bitmaps of neighbouring characters
+differ in more places than the edits could change are no candidates, so their texts never meet. Lines are known by 64-bit hashes of their whole
 content; their texts are fetched only for buckets.
 
 Defined results: a line ends at ``\\n`` or at the end of its text; a null text stays null and has no
@@ -27,19 +27,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lineforge.llm.graph import connect
+from lineforge.llm.graph import connect, differing_bits
 from lineforge.llm.minhash import shared_buckets
 from lineforge.llm.tables import if_small, written
-from lineforge.llm.text import PIECE, SpanHasher, mix, row_slices, signed
+from lineforge.llm.text import PIECE, SpanHasher, mix, parity_sketch, row_slices, signed
 
 
 @dataclass(frozen=True)
@@ -107,42 +105,34 @@ def line_keys(lines: DataFrame, s: LineSettings) -> DataFrame:
     return lines.select("node", "line").mapInArrow(keys, "bucket long, node long, center int")
 
 
-# Classes of characters and of neighbouring pairs whose counts describe a line.
-CHARS, PAIRS = 16, 32
+# Words of a line's bitmap.
+SKETCH = 4
 
 
-def class_counts(units: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Per line, how many characters and neighbouring pairs fall in each class."""
-    n = len(offsets) - 1
-    line = np.repeat(np.arange(n), np.diff(offsets))
-    h = mix(units.astype(np.uint64))
-    chars = np.bincount(line * CHARS + (h % CHARS).astype(np.int64), minlength=n * CHARS).reshape(n, CHARS)
+def pair_elements(units: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, element): neighbouring characters, the k-th occurrence of the same two as its own element."""
+    line = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     inside = line[1:] == line[:-1]
-    pair = (mix(h[:-1] + mix(h[1:]))[inside] % PAIRS).astype(np.int64)
-    pairs = np.bincount(line[1:][inside] * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS)
-    return np.hstack([chars, pairs])
+    line, pair = line[1:][inside], mix((units[:-1].astype(np.uint64) << np.uint64(32)) | units[1:])[inside]
+    order = np.lexsort((pair, line))
+    line, pair = line[order], pair[order]
+    fresh = np.ones(len(line), bool)
+    fresh[1:] = (line[1:] != line[:-1]) | (pair[1:] != pair[:-1])
+    first = np.flatnonzero(fresh)
+    again = np.arange(len(line)) - np.repeat(first, np.diff(np.append(first, len(line))))
+    return line, mix(pair + again.astype(np.uint64))
 
 
-def with_counts(texts: DataFrame) -> DataFrame:
-    """(node, counts) of (node, line)."""
+def with_sketch(texts: DataFrame) -> DataFrame:
+    """(node, sketch) of (node, line)."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = class_counts(*code_points(batch.column(1).to_pylist())).astype(np.int32)
-            places = np.arange(batch.num_rows + 1, dtype=np.int32) * (CHARS + PAIRS)
-            lists = pa.ListArray.from_arrays(pa.array(places), pa.array(counts.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "counts"])
+            line, element = pair_elements(*code_points(batch.column(1).to_pylist()))
+            bitmap = parity_sketch(line, element, batch.num_rows, SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), bitmap], names=["node", "sketch"])
 
-    return texts.select("node", "line").mapInArrow(count, "node long, counts array<int>")
-
-
-def may_be_close(x: Column, y: Column, edits: int) -> Column:
-    """Necessary: an edit changes at most two counts of characters by one, and four of pairs."""
-
-    def apart(first: int, last: int) -> Column:
-        return reduce(add, [F.abs(x[k] - y[k]) for k in range(first, last)])
-
-    return (apart(0, CHARS) <= 2 * edits) & (apart(CHARS, CHARS + PAIRS) <= 4 * edits)
+    return texts.select("node", "line").mapInArrow(sketch, "node long, sketch array<long>")
 
 
 def within_edits(left: list[str], right: list[str], edits: int) -> np.ndarray:
@@ -230,13 +220,14 @@ def line_classes(docs: DataFrame, s: LineSettings = LineSettings()) -> DataFrame
     nodes = written(members.select("node").distinct(), "nodes")
     texts = lines.select("node", "line").join(if_small(nodes, 24), "node", "left_semi").dropDuplicates(["node"])
     texts = written(texts, "texts")
-    members = members.join(with_counts(texts), "node").select(
-        "bucket", "node", (F.col("center") == 1).alias("center"), F.lit(0).alias("weight"), "counts"
+    members = members.join(with_sketch(texts), "node").select(
+        "bucket", "node", (F.col("center") == 1).alias("center"), F.lit(0).alias("weight"), "sketch"
     )
     roots, _ = connect(
-        written(members, "counted"),
+        written(members, "members"),
         lambda pairs: close_lines(pairs, texts, s.edits),
-        lambda x, y: may_be_close(x("counts"), y("counts"), s.edits),
+        # Necessary: an edit takes away at most two pairs of neighbours and adds at most two.
+        lambda x, y: differing_bits(x("sketch"), y("sketch"), SKETCH) <= 4 * s.edits,
     )
     places = lines.select("doc_id", "text_hash", "line_no", F.col("node").alias("class"))
     if roots is not None:

@@ -8,9 +8,9 @@ need. Two sets meet in some table exactly if they agree in at least one half ban
 ``halves`` is chosen from the threshold so that a pair right at it is missed with at most
 ``miss`` probability (pairs above it far less).
 
-Documents with equal sets are one node from the start. Nodes whose shingles are too rarely shared to
-be in any link are dropped by an exact bound. The tables' other buckets go to ``graph.connect``; a pair
-is a link only if its full sets pass the integer test ``100 * both >= percent * either``.
+Documents with equal sets are one node from the start. The tables' buckets go to ``graph.connect``; a
+pair whose sets' parity bitmaps differ in more places than similar sets could is no candidate, and
+it is a link only if the full sets pass the integer test ``100 * both >= percent * either``.
 
 Scale: sets are hashed in NumPy from Arrow buffers where they are read. One shuffle sorts the bucket
 keys; tables of a single node vanish there. Full sets are made again only for nodes in buckets.
@@ -34,9 +34,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lineforge.llm.graph import connect
+from lineforge.llm.graph import connect, differing_bits
 from lineforge.llm.tables import if_small, written
-from lineforge.llm.text import PIECE, SpanHasher, mix, row_slices, runs, signed, utf8
+from lineforge.llm.text import PIECE, SpanHasher, mix, parity_sketch, row_slices, runs, signed, utf8
 
 
 @dataclass(frozen=True)
@@ -204,72 +204,61 @@ def shared_buckets(keys: DataFrame) -> DataFrame:
     return dealt.mapInArrow(shared, keys.schema)
 
 
+# Words of a set's bitmap.
+SKETCH = 8
+
+
 def full_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """(node, shingles) of each row that has any."""
+    """(node, size, shingles, sketch) of each row that has any."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, h, bounds in shingle_sets(batch.column(0), settings.width):
+            for first, last, h, bounds in shingle_sets(batch.column(0), settings.width):
+                size = np.diff(bounds)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), signed(h))
-                yield pa.RecordBatch.from_arrays([signed(_sums(h, bounds)), lists], names=["node", "shingles"])
+                sketch = parity_sketch(np.repeat(np.arange(last - first), size), h, last - first, SKETCH)
+                yield pa.RecordBatch.from_arrays(
+                    [signed(_sums(h, bounds)), pa.array(size), lists, sketch], names=["node", "size", "shingles", "sketch"]
+                )
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(sets, "node long, shingles array<long>").where("node <> 0")
+    schema = "node long, size long, shingles array<long>, sketch array<long>"
+    return docs.select(F.col("text").cast("string")).mapInArrow(sets, schema).where("node <> 0")
 
 
 def _similar(both: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * both >= percent * (a + b - both)
 
 
-def with_support(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``members`` with size and support, without those that cannot be in any link of their bucket.
-
-    A node's support is the number of its shingles that any other node holds, too: it shares no more
-    than these with anyone. So the similarity of two nodes is at most m / (a + b - m) for their sizes a,
-    b and the smaller support m, and a partner has at least the size of the bucket's smallest node.
-    """
-    shingles = sets.select(F.explode("shingles").alias("bucket"), "node")
-    support = shared_buckets(shingles).groupBy("node").agg(F.count("*").alias("support"))
-    known = written(sizes.join(support, "node"), "support")
-    members = written(members.join(known, "node"), "supported")
-    smallest = members.groupBy("bucket").agg(F.min("size").alias("least"))
-    partner = F.greatest("least", "support", F.ceil(F.col("size") * percent / 100))
-    able = _similar(F.col("support"), F.col("size"), partner, percent)
-    able = members.join(smallest, "bucket").where(able).select(*members.columns)
-    # Centers: those with the smallest share of shingles of their own.
-    weight = F.round(1 - F.col("support") / F.col("size"), 3)
-    return written(able.withColumn("center", F.lit(True)).withColumn("weight", weight), "able")
-
-
 def mark_near_copies(docs: DataFrame, settings: NearSettings = NearSettings()) -> DataFrame:
     """Per document doc_id, text_hash, n_shingles, component_id, kept. Runs jobs."""
     texts = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), "text")
     named = written(name_sets(texts, settings), "named")
     members = written(shared_buckets(table_keys(texts, settings)), "buckets")
-    # Full sets again, of one document for each node that shares a bucket.
-    nodes = members.select("node").distinct()
-    one = (
-        named.join(nodes, "node", "left_semi")
-        .groupBy("node", "n_shingles")
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
-        .select("node", F.col("n_shingles").alias("size"), "key.*")
-    )
-    one = written(one, "representatives")
-    keys = one.select(F.col("doc_id").alias("one_id"), F.col("text_hash").alias("one_hash"))
+    # Full sets again, of one document for each node that shares a bucket. The more buckets a node
+    # shares, the more central it is.
+    nodes = written(members.groupBy("node").agg((-F.count("*")).alias("weight")), "nodes")
+    one = named.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
+    keys = written(one.select(F.col("key.doc_id").alias("one_id"), F.col("key.text_hash").alias("one_hash")), "representatives")
     chosen = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash"))
     sets = written(full_sets(texts.join(if_small(keys, 64), chosen, "left_semi"), settings).dropDuplicates(["node"]), "sets")
-    able = with_support(members, one.select("node", "size"), sets, settings.percent)
+    members = members.join(nodes, "node").join(sets.select("node", "size", "sketch"), "node").withColumn("center", F.lit(True))
+    members = written(members, "members")
 
     def possible(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
-        return _similar(F.least(x("support"), y("support")), x("size"), y("size"), settings.percent) & _similar(
-            F.least(x("size"), y("size")), x("size"), y("size"), settings.percent
+        # Sets of sizes a and b that are similar enough differ in at most this share of a + b elements.
+        total, percent = x("size") + y("size"), settings.percent
+        apart = differing_bits(x("sketch"), y("sketch"), SKETCH)
+        return ((100 + percent) * apart <= (100 - percent) * total) & (
+            100 * F.least(x("size"), y("size")) >= percent * F.greatest(x("size"), y("size"))
         )
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        own = sets.select("node", "shingles")
+        near = pairs.join(own.toDF("a", "set_a"), "a").join(own.toDF("b", "set_b"), "b")
         both = F.size(F.array_intersect("set_a", "set_b"))
         return near.where(_similar(both, F.size("set_a"), F.size("set_b"), settings.percent)).select("a", "b")
 
-    roots, _ = connect(able, verified, possible, first=F.col("bucket").bitwiseAND(F.lit(255)) == 0)
+    roots, _ = connect(members, verified, possible, first=F.col("bucket").bitwiseAND(F.lit(255)) == 0)
     if roots is None:
         placed = named.withColumn("root", F.col("node"))
     else:

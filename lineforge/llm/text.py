@@ -107,3 +107,16 @@ class SpanHasher:
 def signed(x: np.ndarray) -> pa.Array:
     """Unsigned 64-bit values as Spark's longs."""
     return pa.array(x.view(np.int64))
+
+
+def parity_sketch(row: np.ndarray, element: np.ndarray, rows: int, words: int) -> pa.Array:
+    """Per row a bitmap as ``words`` longs; each element of the row's set flips one of the bits.
+
+    Elements that two sets share flip the same bits, so the bitmaps of two sets differ in no more
+    places than the sets differ in elements: a lossless filter for sets that are to differ little.
+    """
+    bits = 64 * words
+    place = (mix(element ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(row * bits + place, minlength=rows * bits) & 1).astype(np.uint8).reshape(rows, bits)
+    longs = np.packbits(odd, axis=1, bitorder="little").reshape(-1).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * words), pa.array(longs))
