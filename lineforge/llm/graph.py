@@ -3,9 +3,9 @@
 ``connect`` takes buckets (groups of nodes, each pair of which may be linked) and a test for pairs. To
 know who is connected, not every pair of a large group must be tested: in each round a few *centers*
 per bucket are tested against the bucket's nodes of other components, what is linked becomes one
-component, and only buckets that still hold several components go on, with many times the centers. In
-the last round that a bucket can see, every node has been a center, so every pair of it has been
-tested or was connected already: no link between different components is lost, whatever the bucket's
+component, and only buckets that still hold several components go on, with more centers. In the last
+round every node is a center, so every pair of a bucket has been tested or ruled out by a necessary
+condition, or was connected already: no link between different components is lost, whatever the bucket's
 size, and a group of n nodes that are all linked costs n tests instead of n squared.
 
 Every step is a join or a grouping of written tables; a bucket or component of any size is only ever
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from lineforge.llm.tables import written
 
-# Centers per bucket grow by this factor from round to round.
-GROWTH = 64
+# Centers per bucket in the rounds before the last one, in which every node is a center.
+CENTERS = (1, 64)
 
 
 def differing_bits(x: Column, y: Column, words: int) -> Column:
@@ -32,43 +32,34 @@ def differing_bits(x: Column, y: Column, words: int) -> Column:
     return reduce(add, [F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(words)])
 
 
-def _same(left: DataFrame, right: DataFrame) -> bool:
-    """Whether two tables of distinct edges are equal, by their number and two sums of hashes."""
-    totals = [
-        edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
-        for edges in (left, right)
-    ]
-    return totals[0] == totals[1]
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every edge (a, b) leads from a node with no other edge up to a root without one."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    nodes = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.min("e.up").alias("least"))
+    return nodes.where("up > 1 or (up = 1 and least = 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): root is the component's smallest node. Runs jobs.
 
-    Alternates two steps until nothing changes: all larger neighbours of a node move to its smallest
-    neighbour, then all smaller ones do. The number of rounds is logarithmic in the nodes.
+    Alternates two steps until all nodes point at roots: all larger neighbours of a node move to its
+    smallest neighbour, then all smaller ones do. The number of rounds is logarithmic in the nodes.
     """
-    now = written(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
-    )
-    while True:
-        before = now
+    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = written(now, "edges")
+    while not _is_done(now):
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = written(both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low")).withColumn("low", F.least("n", "low")), "lowest")
+        lowest = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
+        # Written, so that the join can split a node with very many neighbours.
+        lowest = written(lowest.withColumn("low", F.least("n", "low")), "lowest")
         large = now.join(lowest, F.col("b") == F.col("n")).select("a", F.col("low").alias("b")).where("a <> b").distinct()
         large = written(large, "edges")
-        lowest = written(large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low")), "lowest")
+        lowest = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
         small = large.join(lowest, F.col("a") == F.col("n"))
-        now = written(
-            small.select("b", "low")
-            .unionAll(small.select("a", "low"))
-            .toDF("a", "b")
-            .where("a <> b")
-            .distinct(),
-            "edges",
-        )
-        if _same(before, now):
-            nodes = now.toDF("node", "root")
-            return nodes.unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        small = small.select("b", "low").unionAll(small.select("a", "low")).toDF("a", "b")
+        now = written(small.where("a <> b").distinct(), "edges")
+    roots = now.select(F.col("b").alias("node")).distinct()
+    return now.toDF("node", "root").unionAll(roots.select("node", F.col("node").alias("root")))
 
 
 def connect(
@@ -87,22 +78,23 @@ def connect(
     """
     roots = links = tested = None
     carried = [c for c in members.columns if c not in ("bucket", "center")]
-    salts = 1
-    while True:
-        now = members if first is None else members.where(first)
+    rounds = [(first, CENTERS[0])] * (first is not None) + [(None, n) for n in CENTERS] + [(None, None)]
+    for picked, salts in rounds:
+        now = members if picked is None else members.where(picked)
         if roots is None:
             now = now.withColumn("root", F.col("node"))
         else:
             now = now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         several = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
         now = written(now.join(several.select("bucket"), "bucket", "left_semi"), "members")
+        salt = F.col("node") if salts is None else F.pmod(F.xxhash64("node"), F.lit(salts))
         centers = (
             now.where("center")
-            .groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
+            .groupBy("bucket", salt.alias("salt"))
             .agg(F.min(F.struct("weight", *[c for c in carried if c != "weight"], "root")).alias("c"), F.count("*").alias("n"))
         )
         centers = written(centers, "centers")
-        last = first is None and centers.where("n > 1").isEmpty()
+        last = picked is None and centers.where("n > 1").isEmpty()
         pairs = (
             now.join(centers.select("bucket", "c"), "bucket")
             .where((F.col("root") != F.col("c.root")) & possible(F.col, lambda name: F.col(f"c.{name}")))
@@ -119,6 +111,5 @@ def connect(
                 links = found if links is None else links.unionAll(found)
                 roots = written(components(links), "roots")
         if last:
-            return roots, links
-        # Rounds: the opening buckets, then one center in each, then GROWTH, GROWTH squared, ...
-        salts, first = (salts if first is not None else salts * GROWTH), None
+            break
+    return roots, links
