@@ -257,21 +257,21 @@ def drop_repeated_lines(docs: DataFrame, s: LineSettings = LineSettings()) -> Da
     removed = (
         line_classes(docs, s)
         .where("n > 1")
-        .groupBy(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"))
+        .groupBy(F.col("doc_id").alias("__key_id"), F.col("text_hash").alias("__key_hash"))
         .agg(
-            F.collect_set(F.when(~F.col("stays"), F.col("line_no"))).alias("gone"),
-            F.sum(F.col("n") - 1).alias("links"),
-            F.array_distinct(F.transform(F.array_sort(F.collect_set(F.struct("line_no", "class"))), lambda x: x["class"])).alias("shared"),
+            F.collect_set(F.when(~F.col("stays"), F.col("line_no"))).alias("__gone"),
+            F.sum(F.col("n") - 1).alias("__links"),
+            F.array_distinct(F.transform(F.array_sort(F.collect_set(F.struct("line_no", "class"))), lambda x: x["class"])).alias("__shared"),
         )
     )
     marked = docs.withColumn("text", F.col("text").cast("string"))
-    same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.xxhash64("text") == F.col("key_hash"))
-    marked = marked.join(written(removed, "removed"), same, "left").select(*[marked[c] for c in docs.columns], "gone", "links", "shared")
+    same = F.col("doc_id").eqNullSafe(F.col("__key_id")) & (F.xxhash64("text") == F.col("__key_hash"))
+    marked = marked.join(written(removed, "removed"), same, "left").select(*[marked[c] for c in docs.columns], "__gone", "__links", "__shared")
     added = T.StructType.fromDDL("n_lines long, n_removed long, n_links long, classes array<long>").fields
     # An input column of one of these names gives way to the new one.
     new = {f.name for f in added}
     others = [f for f in marked.schema.fields[: len(docs.columns)] if f.name.lower() not in new]
-    marked = marked.select(*[f.name for f in others], "gone", "links", "shared")
+    marked = marked.select(*[f.name for f in others], "__gone", "__links", "__shared")
     schema = T.StructType([*others, *added])
     at = [f.name for f in others].index("text")
 

@@ -282,6 +282,6 @@ def drop_near_copies(docs: DataFrame, settings: NearSettings = NearSettings()) -
 
     Rows that are equal in id and text are one document here and stay or go together.
     """
-    gone = mark_near_copies(docs, settings).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("gone_hash"))
+    gone = mark_near_copies(docs, settings).where("not kept").select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__gone_hash"))
     return docs.join(if_small(written(gone.distinct(), "gone"), 64), same, "left_anti")

@@ -125,10 +125,10 @@ def rule_spans(text: Column, rule: Rule, number: int) -> Column:
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with a column ``spans``: all matches by start, then by rule. Runs a job for the index."""
-    keyed = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn(
-        "text_hash", F.xxhash64("text")
-    )
+    """``docs`` with a column ``spans`` (in place of any of that name): all matches by start, then by rule. Runs a job for the index."""
+    plain = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # The input's row is kept as a whole, so that none of its names can clash.
+    keyed = docs.select("doc_id", plain.alias("text"), F.struct("*").alias("row")).withColumn("text_hash", F.xxhash64("text"))
     found, everywhere = candidates(keyed, rules)
     if found is not None:
         marks = written(found, "candidates").withColumnsRenamed({"doc_id": "mark_id", "text_hash": "mark_hash"})
@@ -139,7 +139,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for number, rule in enumerate(rules):
         may = F.col("text").rlike(rule.pattern) if rule.kind in everywhere else F.coalesce(f"may_{rule.kind}", F.lit(False))
         spans.append(F.when(may, rule_spans(F.col("text"), rule, number)).otherwise(none))
-    return keyed.select(*docs.columns, F.array_sort(F.concat(*spans)).alias("spans"))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() != "spans"]
+    return keyed.select(*kept, F.array_sort(F.concat(*spans)).alias("spans"))
 
 
 def as_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -178,4 +179,4 @@ def masked(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     rest = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
     clean = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(F.col("text"))
-    return found.select(*[clean.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return found.select(*[clean.alias("text") if c == "text" else F.col(c) for c in found.columns if c != "spans"])

@@ -1,0 +1,448 @@
+"""Each operator against brute force or an exact round trip, on rows made to be awkward."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from lineforge.llm import bpe, chat, graph, lines, minhash, naming, packing, quality, registry, secrets, topk, warc
+from lineforge.llm.tables import written
+from lineforge.llm.tokens import fast_tokenizer, read_ranks
+from lineforge.llm.trigrams import trigram_query
+
+BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+LONG = " ".join(f"word{i} of a very long text" for i in range(9000))
+ODD = "x\x85y  　日本語 <|endoftext|> \U0001f600 ẞ\x00\x1c end"
+TEXTS = [None, "", " ", "one", "A  b\tC\n", "a b C ", "a b C ", LONG, LONG + "!", ODD, "tie tie tie tie", "tie tie tie tie"]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, n int, root long, bucket long"
+
+
+def make_docs(spark, texts=TEXTS, ids=None):
+    ids = list(range(len(texts))) if ids is None else ids
+    rows = [(i, t, "en", "s", len(t or ""), 9.0, 1, 2, 3) for i, t in zip(ids, texts, strict=True)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return make_docs(spark)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- 1: web archives ----------------------------------------------------------------------
+
+
+def test_archives_come_back_and_repeat_nothing(spark):
+    big, other = "b" * 1000, "o" * 999
+    rows = [(1, "u", big), (5, None, big), (3, "a b", big), (5, "u", big), (7, "u", None), (8, "u", other), (9, "u", other)]
+    rows += [(None, "u", "n" * 2000), (11, "u", "é" * 700 + "\r\n\r\nWARC/1.1\r\n"), (12, "u", LONG)]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, digest string")
+    got = sorted(map(tuple, warc.archive_pages(pages).collect()), key=repr)
+    want = []
+    for page, _, html in rows:
+        raw = (html or "").encode()
+        revisit = html == big and page != 5
+        want.append((page, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", 5 if revisit else None))
+    assert got == sorted(want, key=repr)
+
+
+def test_normalised_archive_has_one_member_per_record(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * i) for i in range(50)], "page_id long, url string, html string")
+    warc.write_warc(pages, f"{tmp_path}/in")
+    index = warc.normalise(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    read = {r.record_id: bytes(r.payload).decode() for r in warc.read_records(index, with_payload=True).collect()}
+    assert read == {f"<urn:page:{i}>": f"page {i} " * i for i in range(50)}
+    sidecar = sum(len(p.read_text().splitlines()) for p in (tmp_path / "out").glob("*.idx"))
+    assert index.count() == 50 == sidecar
+
+
+def test_no_pages(spark):
+    assert warc.archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+# --- 2: quality ---------------------------------------------------------------------------
+
+
+def test_quality_on_held_out_rows(spark, small_dir):
+    folder = small_dir.replace("sf0.001", "sf0.01")
+    scored = registry.op2_quality(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    rows = scored.join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 50
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
+    assert scored.count() == 1000
+
+
+def test_quality_of_awkward_rows(spark, docs, none):
+    weights = quality.fit_quality(none.select("text", F.lit(1).alias("label")))
+    assert not weights.any()
+    weights[-1] = 1.0
+    scored = quality.score_quality(docs, weights).collect()
+    assert len(scored) == len(TEXTS)
+    assert {round(r.score, 6) for r in scored} == {round(float(quality.sigmoid(1.0)), 6)}
+    assert quality.score_quality(none, weights).count() == 0
+
+
+# --- 3: chats -----------------------------------------------------------------------------
+
+
+def test_escaping_is_exact():
+    draw = random.Random(1)
+    parts = [*chat.CONTROL, "<", "[", "\\", "|", "/", "s>", "a\n", "INST]"]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 8)))
+        assert chat.unescape(chat.escape(text)) == text
+        assert not any(c in chat.escape(text) for c in chat.CONTROL)
+        assert chat.parse(chat.render(text, text)) == [(text, text)]
+
+
+def test_chats_come_back_from_windows(spark):
+    draw = random.Random(2)
+    rows = [(1, i, "system" if i == 0 else ("user", "assistant")[i % 2], f"{i} " + "word " * draw.randint(0, 60)) for i in range(300)]
+    rows += [(2, 0, "user", None), (2, None, "assistant", "</s>"), (2, 0, "user", None), (None, 1, None, "x<|im_end|>"), (3, 0, "assistant", LONG)]
+    turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, prefix long")
+    settings = chat.ChatSettings(budget=200, history=50, segment=3, block=16)
+    windows = chat.format_chats(turns, BPE_JSON, settings).cache()
+    encode = fast_tokenizer(BPE_JSON)
+    for w in windows.where("conv_id = 1").collect():
+        first = chat.parse(w.formatted)
+        assert first[0][0] == "system"
+        assert len(encode(w.formatted)) <= 200 + len(first) and w.tokens <= 200
+    got = {r[0]: tuple(r)[1:5] for r in chat.read_chats(windows).collect()}
+    for conv in (1, 2, 3, None):
+        own = [(-1 if t is None else t, r or "", x or "") for c, t, r, x in rows if c == conv]
+        own.sort()
+        learned = "".join(x for _, r, x in own if r == "assistant")
+        assert got[conv] == (len(own), sha("".join(f"{r}\n{x}\n" for _, r, x in own)), len(learned), sha(learned))
+
+
+def test_no_chats(spark):
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.read_chats(chat.format_chats(turns, BPE_JSON)).count() == 0
+
+
+# --- 4: secrets ---------------------------------------------------------------------------
+
+ASSIGN = re.compile(secrets.BASE_RULES[0].pattern)
+
+
+def test_trigram_queries_are_necessary():
+    query = trigram_query(secrets.BASE_RULES[0].pattern)
+    assert all(query)
+    for text in ("api_key='abcdefg", "PASSWD: xyzxyz", "Token=123456"):
+        low = text.lower()
+        assert any(all(g in low for g in clause) for clause in query)
+    assert trigram_query(r"[0-9a-f]{24,}") == [frozenset()]
+    assert trigram_query(r"(abc|ab)?x") == [frozenset()]
+
+
+def test_secrets_against_re(spark, none):
+    draw = random.Random(4)
+    parts = ["token", "password", "PASSWD", "api_key", "apikey", "secret", "=", ":", " ", '"', "abcdef", "é", "AKIA", "0123456789abcdef", "ABCDEFGHIJKLMNOP", "\n", "x/y"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 25))) for _ in range(400)] + TEXTS
+    found = {r.doc_id: r for r in secrets.secret_digest(make_docs(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        t = text or ""
+        spans = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 6]
+        spans += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        joined = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+        assert (found[i].base_sha256, found[i].spans) == (sha(joined), joined)
+        assert [found[i].n_assign, found[i].n_access, found[i].n_hex] == [sum(s[1] == k for s in spans) for k in range(3)]
+    clean = secrets.masked(make_docs(spark, texts))
+    assert clean.columns == none.columns
+    assert secrets.secret_digest(clean).where("n_access + n_hex > 0").count() == 0
+    assert clean.where("text is null").count() == 1
+    assert secrets.secret_digest(none).count() == 0
+
+
+def test_secret_scan_stays_in_the_jvm(spark, docs):
+    plan = secrets.secret_digest(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan.replace("ArrowColumnar", "")
+
+
+# --- 5: lines -----------------------------------------------------------------------------
+
+
+def distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j + 1] + 1, new[j] + 1, row[j] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def changed(draw: random.Random, text: str, edits: int, letters: str) -> str:
+    out = list(text)
+    for _ in range(edits):
+        at = draw.randint(0, len(out))
+        kind = draw.randint(0, 2)
+        if kind == 0 or at == len(out):
+            out.insert(at, draw.choice(letters))
+        elif kind == 1:
+            out.pop(at)
+        else:
+            out[at] = draw.choice(letters)
+    return "".join(out)
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_banded_distance_and_segments(edits):
+    draw = random.Random(edits)
+    pairs = [(a, changed(draw, a, draw.randint(0, edits + 2), "abé")) for a in ("".join(draw.choices("abé", k=draw.randint(0, 16))) for _ in range(1500))]
+    near = lines.within_edits([a for a, _ in pairs], [b for _, b in pairs], edits)
+    assert near.tolist() == [distance(a, b) <= edits for a, b in pairs]
+    s = lines.LineSettings(edits=edits, least_chars=6)
+    for a, b in pairs[:500]:
+        if a != b and min(len(a), len(b)) >= 6 and distance(a, b) <= edits:
+            keys: list[list[set]] = [[set(), set()], [set(), set()]]
+            for line, key, kind in lines.segment_keys(*lines.code_points([a, b]), s):
+                for n, k in zip(line.tolist(), key.tolist(), strict=True):
+                    keys[n][kind].add(k)
+            assert any(keys[i][1] & (keys[1 - i][0] | keys[1 - i][1]) for i in (0, 1))
+
+
+def test_repeated_lines_go(spark, none):
+    draw = random.Random(5)
+    base = ["".join(draw.choices("abcdefghij klmnop", k=draw.randint(30, 80))) for _ in range(40)]
+    texts = ["\n".join(["short", *(changed(draw, draw.choice(base), draw.randint(0, 3), "xyz") for _ in range(5))]) for _ in range(60)]
+    texts += [t and t[:300] for t in TEXTS]
+    ids = [*range(len(texts) - 1), None]
+    got = {(r.doc_id, r.n_lines): (r.n_removed, r.text) for r in lines.drop_repeated_lines(make_docs(spark, texts, ids)).collect()}
+    places: dict[str, list] = {}
+    for i, text in enumerate(texts):
+        for k, line in enumerate((text or "").split("\n")):
+            if len(line) >= 30:
+                places.setdefault(line, []).append((ids[i] is None, i, k))
+    found = list(places)
+    label = list(range(len(found)))
+    for a in range(len(found)):
+        for b in range(a):
+            if abs(len(found[a]) - len(found[b])) <= 2 and distance(found[a], found[b]) <= 2:
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    gone = set()
+    for x in set(label):
+        gone |= set(sorted(p for n, line in enumerate(found) if label[n] == x for p in places[line])[1:])
+    assert len(gone) > 100
+    for i, text in enumerate(texts):
+        kept = [line for k, line in enumerate((text or "").split("\n")) if (ids[i] is None, i, k) not in gone]
+        total = 0 if text is None else len(text.split("\n"))
+        assert got[ids[i], total] == (total - len(kept) if text is not None else 0, None if text is None else "\n".join(kept))
+    assert lines.drop_repeated_lines(none).count() == 0
+
+
+# --- 6: packing ---------------------------------------------------------------------------
+
+
+def test_packing_loses_nothing_and_keeps_limits():
+    draw = np.random.default_rng(6)
+    limits = packing.PackingLimits(tokens=128, segments=6, loss_tokens=100, least_cut=4)
+    for n in (0, 1, 7, 400):
+        lengths = draw.integers(1, 300, n)
+        losses = (lengths * draw.random(n)).astype(int)
+        seen = [[] for _ in range(n)]
+        packed = packing.pack_pool(lengths, losses, limits)
+        for sequence in packed:
+            assert sum(p[2] for p in sequence) <= 128 and len(sequence) <= 6
+            assert sum(min(p[2], max(0, p[1] + p[2] - (lengths[p[0]] - losses[p[0]]))) for p in sequence) <= 100
+            for example, start, length in sequence:
+                seen[example].append((start, length))
+        for pieces, total in zip(seen, lengths, strict=True):
+            at = 0
+            for start, length in sorted(pieces):
+                assert start == at and length > 0
+                at += length
+            assert at == total
+
+
+def test_pieces_of_documents(spark, docs, none):
+    import zlib
+
+    rows = packing.pack_documents(docs, BPE_JSON, packing.PackingLimits(pool_tokens=5000)).collect()
+    plain = Tokenizer.from_file(BPE_JSON)
+    for i, text in enumerate(TEXTS):
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 1]
+        at = 0
+        for r in sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    by_sequence: dict[int, list] = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert packing.pack_documents(none, BPE_JSON).count() == 0
+
+
+# --- 7: near copies -----------------------------------------------------------------------
+
+
+def shingles(text: str | None, width: int) -> set:
+    words = re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + width]) for k in range(len(words) - width + 1)}
+
+
+@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80)])
+def test_near_copies_against_all_pairs(spark, none, width, percent):
+    draw = random.Random(width)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(25):
+        words = draw.choices(vocabulary, k=draw.randint(3, 200))
+        for _ in range(draw.randint(1, 12)):
+            copy = list(words)
+            for _ in range(draw.randint(0, 6)):
+                copy[draw.randrange(len(copy))] = draw.choice(vocabulary)
+            texts.append(" ".join(copy).upper() if draw.random() < 0.2 else "\n".join(copy))
+    texts += TEXTS
+    sets = [shingles(t, width) for t in texts]
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                high, low = max(label[a], label[b]), min(label[a], label[b])
+                label = [low if x == high else x for x in label]
+    settings = minhash.NearSettings(width=width, percent=percent)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.mark_near_copies(make_docs(spark, texts), settings).collect()}
+    assert got == {i: (len(sets[i]), label[i], label[i] == i) for i in range(len(texts))}
+    kept = minhash.drop_near_copies(make_docs(spark, texts), settings)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
+    assert kept.columns == none.columns
+    assert minhash.mark_near_copies(none, settings).count() == 0
+
+
+def test_shared_buckets_over_batches(spark, conf):
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="3")
+    draw = random.Random(8)
+    rows = [(draw.randint(0, 30), draw.randint(0, 3), draw.randint(0, 1)) for _ in range(200)]
+    got = minhash.shared_buckets(spark.createDataFrame(rows, "bucket long, node long, center int")).collect()
+    many = {b for b, n, _ in rows if any(b == c and n != m for c, m, _ in rows)}
+    assert sorted(map(tuple, got)) == sorted({r for r in rows if r[0] in many})
+
+
+def test_components(spark):
+    draw = random.Random(9)
+    edges = [(draw.randint(0, 80), draw.randint(0, 80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)]
+    label = {n: n for e in edges if e[0] != e[1] for n in e}
+    for _ in range(200):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == label
+
+
+# --- 8: byte pairs ------------------------------------------------------------------------
+
+
+def test_byte_pairs_as_tiktoken(spark, docs, none):
+    own = bpe.coder(RANKS)
+    other = tiktoken.Encoding("o", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
+    draw = random.Random(10)
+    texts = ["".join(draw.choices(pool, k=draw.randint(0, 60))) for pool in ("ab ", "thein ", "日本語é 1", "\n \t'sll") for _ in range(300)]
+    for text in [*texts, *(t or "" for t in TEXTS), "ab" * 5000]:
+        ids = own.encode(text)
+        assert ids == other.encode_ordinary(text)
+        assert own.decode(ids) == text.encode()
+    for r in bpe.round_trip(docs, RANKS).collect():
+        ids = other.encode_ordinary(TEXTS[r.doc_id] or "")
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(TEXTS[r.doc_id] or ""))
+    assert bpe.round_trip(none, RANKS).count() == 0
+    assert sorted(len(r.ids) for r in bpe.encode_documents(docs, RANKS).collect()) == sorted(len(own.encode(t or "")) for t in TEXTS)
+
+
+# --- 9: exact copies ----------------------------------------------------------------------
+
+
+def test_block_names_against_a_dictionary(spark, none, monkeypatch):
+    draw = random.Random(11)
+    texts = ["".join(draw.choices("ab  ", k=draw.choice([3, 40, 41, 300]))) for _ in range(150)] * 2 + TEXTS
+    ids = [*range(len(texts) - 2), None, 3]
+    monkeypatch.setattr(naming, "BLOCK_BYTES", 16)
+    got = sorted(map(tuple, naming.mark_exact_copies(make_docs(spark, texts, ids)).collect()), key=repr)
+    plain = [re.sub(r"[\x20\x09-\x0d]+", " ", t or "") for t in texts]
+    want = []
+    for i, text in zip(ids, plain, strict=True):
+        group = [j for j, t in zip(ids, plain, strict=True) if t == text]
+        keep = min((j for j in group if j is not None), default=None)
+        want.append((i, keep, len(group), i == keep, sha(text)))
+    assert got == sorted(want, key=repr)
+    assert naming.mark_exact_copies(none).count() == 0
+
+
+# --- 10: search ---------------------------------------------------------------------------
+
+
+def test_top_k_against_all_products(spark):
+    draw = np.random.default_rng(12)
+    vectors = [(i, [float(x) for x in draw.integers(-6, 7, 24) / 64]) for i in range(300)]
+    vectors += [(300, None), (320, [None] * 24), (340, [float("nan")] * 24), (360, [float("inf")] * 24), (None, [0.1] * 24), (380, [0.5, -0.25]), (400, [])]
+    df = spark.createDataFrame([(*v, 1) for v in vectors], "vec_id long, embedding array<float>, label int")
+    settings = topk.SearchSettings(k=7, query_block=4, candidate_block=50, dimensions=5)
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 20 == 0, settings).collect()))
+    used = {i: np.floor(np.pad(np.array(v), (0, 24 - len(v))) * 64) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    want = []
+    for q, v in used.items():
+        if q % 20 == 0:
+            scores = sorted((-int(v @ w), c) for c, w in used.items() if c != q)[:7]
+            want += [(q, rank, c, -s) for rank, (s, c) in enumerate(scores, 1)]
+    assert got == sorted(want)
+    assert topk.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+# --- pipeline -----------------------------------------------------------------------------
+
+
+def test_stages_keep_the_columns(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    columns, counts = docs.columns, [docs.count()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, small_dir), "stage")
+        assert docs.columns == columns
+        counts.append(docs.count())
+    assert counts[0] > counts[1] == counts[2] >= counts[3] == counts[4] > 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, small_dir)
+    assert pieces.select("doc_id").distinct().count() == counts[4]
+    assert docs.where(F.length("text") != F.col("n_chars")).count() == 0
+
+
+def test_stages_on_awkward_and_empty_rows(spark, docs, none, small_dir):
+    for frame in (docs, none):
+        for _, stage in corpus_pipeline.STAGES[1:]:
+            assert stage(spark, frame, small_dir).count() >= 0
+
+
+def test_queries_are_named_by_number():
+    names = list(registry.queries())
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert registry.oracle_sql().keys() <= set(names)
