@@ -27,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lineforge.llm.tokens import PATTERN, read_ranks
 
@@ -140,7 +141,7 @@ def encode_documents(docs: DataFrame, ranks_path: str) -> DataFrame:
             )
             for batch in batches
         ),
-        docs.select("doc_id").schema.add("ids", "array<int>"),
+        docs.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType())),
     )
 
 
