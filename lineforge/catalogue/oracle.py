@@ -402,7 +402,7 @@ def oracle_sql() -> dict[str, str]:
             """SELECT department_name, CAST(sum(sales) AS DOUBLE) AS total_sales,
                       CAST(sum(sales) AS DOUBLE) / CAST((SELECT sum(sales) FROM fact) AS DOUBLE)
                         AS sales_share
-               FROM fact JOIN dim_product USING (product_key) GROUP BY department_name"""
+               FROM fact LEFT JOIN dim_product USING (product_key) GROUP BY department_name"""
         ),
         "dash_top_units": _star(_top("quantity", "units", as_double=False)),
         "dash_top_revenue": _star(_top("sales", "sales", as_double=True)),

@@ -196,7 +196,7 @@ def csv_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "export")
     lines = lakehouse_for(spark, folder).fact()
     export_csv({"fact_order_line": lines}, path)
-    return spark.read.schema(lines.schema).csv(f"{path}/fact_order_line", header=True)
+    return spark.read.schema(lines.schema).csv(f"{path}/fact_order_line", header=True, escape='"')
 
 
 def csv_export_tables(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,7 +206,7 @@ def csv_export_tables(spark: SparkSession, folder: str) -> DataFrame:
     lake.export(path)
     counted = None
     for name in GOLD_TABLES:
-        back = spark.read.schema(lake.gold(name).schema).csv(f"{path}/{name}", header=True)
+        back = spark.read.schema(lake.gold(name).schema).csv(f"{path}/{name}", header=True, escape='"')
         one = back.agg(F.count("*").alias("n_rows")).withColumn("table_name", F.lit(name))
         counted = one if counted is None else counted.unionByName(one)
     return counted

@@ -6,9 +6,10 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
-# Text leaves as it is; by default Spark would trim it on the way out.
+# Text leaves as it is; by default Spark would trim it on the way out. A quote inside is doubled.
 CSV_OPTIONS = {
     "header": True,
+    "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }

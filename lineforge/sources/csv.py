@@ -15,14 +15,18 @@ def ingest_csv(
     schema: T.StructType | None = None,
     encoding: str = "ISO-8859-1",
     infer: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Bronze rows of the files at ``path``: clean names, file values, two audit columns.
 
     ``schema`` gives types by normalised name, in any order; columns it leaves out stay text,
     so a value such as ``00725`` keeps its zeros. Every file's header is checked against the
     first one's. ``infer`` lets Spark guess the types instead, at the price of one more pass.
+    Quotes inside a quoted value are doubled. ``multiline`` allows line breaks inside quoted
+    values; each file is then read by one task.
     """
     reader = spark.read.option("header", True).option("encoding", encoding)
+    reader = reader.option("escape", '"').option("multiLine", multiline)
     headers = reader.csv(path).columns
     names = clean_names(headers)
     if infer:

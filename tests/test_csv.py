@@ -89,7 +89,7 @@ def test_export_keeps_null_empty_and_padded_text_apart(spark, tmp_path):
     assert len(files) == 1
     written = files[0].read_text().splitlines()
     assert written[0] == "id,s" and written[1] == "1," and written[2] == '2,""'
-    back = spark.read.schema(df.schema).csv(str(tmp_path / "out" / "t"), header=True)
+    back = spark.read.schema(df.schema).csv(str(tmp_path / "out" / "t"), header=True, escape='"')
     rows = {r.id: r.s for r in back.collect()}
     assert rows[1] is None and rows[3] == " padded " and rows[4] == 'a "b", c'
 
@@ -98,3 +98,13 @@ def test_export_is_parallel_unless_asked(spark, tmp_path):
     df = spark.range(100).repartition(3)
     export_csv({"t": df}, str(tmp_path / "out"))
     assert len(list((tmp_path / "out" / "t").glob("part-*.csv"))) == 3
+
+
+def test_doubled_quotes_and_line_breaks_both_ways(spark, tmp_path):
+    rows = [("1", '5" tee, red'), ("2", 'a ""b""'), ("3", "back\\slash"), ("4", "two\nlines"), ("5", '"')]
+    df = spark.createDataFrame(rows, "id string, name string")
+    export_csv({"t": df}, str(tmp_path))
+    back = ingest_csv(spark, f"{tmp_path}/t", encoding="UTF-8", multiline=True)
+    assert sorted(map(tuple, back.select("id", "name").collect())) == rows
+    (tmp_path / "one.csv").write_text('id,name\n1,"5"" tee, red"\n')
+    assert ingest_csv(spark, f"{tmp_path}/one.csv").first().name == '5" tee, red'

@@ -111,7 +111,7 @@ def test_layer_counts_and_export(lake, tmp_path, spark):
     assert counts["silver", "order_lines"] == counts["gold", "fact_order_line"]
     lake.export(str(tmp_path))
     for name in GOLD_TABLES:
-        back = spark.read.schema(lake.gold(name).schema).csv(str(tmp_path / name), header=True)
+        back = spark.read.schema(lake.gold(name).schema).csv(str(tmp_path / name), header=True, escape='"')
         assert same_rows(lake.gold(name), back)
 
 
