@@ -122,10 +122,15 @@ class Lakehouse:
         path: str,
         prefix: str,
         schema: T.StructType = FILE_SCHEMA,
+        encoding: str = "ISO-8859-1",
+        infer: bool = False,
+        multiline: bool = False,
         **options,
     ) -> Lakehouse:
-        """Over delimited files, as they come from the source system."""
-        return cls(spark, lambda: ingest_csv(spark, path, schema), prefix, **options)
+        """Over delimited files, as they come from the source system; reader options as for ``ingest_csv``."""
+        return cls(
+            spark, lambda: ingest_csv(spark, path, schema, encoding, infer, multiline), prefix, **options
+        )
 
     def name(self, table: str) -> str:
         """Catalog name of ``layer.table``."""

@@ -63,8 +63,9 @@ LINE_COLUMNS = (
 LINE_SCHEMA = T.StructType([T.StructField(*column) for column in (*LINE_COLUMNS, ("tie_suppkey", ID))])
 
 # The public source file writes amounts with up to nine decimals. As decimals they keep them,
-# and their sums do not depend on the order of the rows.
-FILE_AMOUNT = T.DecimalType(18, 9)
+# and their sums do not depend on the order of the rows. There is room for sixteen digits before
+# the point and twelve after it; an amount beyond that is still lost.
+FILE_AMOUNT = T.DecimalType(28, 12)
 FILE_SCHEMA = T.StructType(
     [
         T.StructField(name, FILE_AMOUNT if isinstance(kind, T.DecimalType) else kind)
