@@ -313,6 +313,22 @@ def oracle_sql() -> dict[str, str]:
         "csv_ingest": _raw(
             f"SELECT * REPLACE ({RAW_DECIMALS}), TRUE AS has_source_file FROM raw"
         ),
+        "csv_ingest_faults": _raw(
+            """SELECT * FROM (
+                 SELECT order_item_id || CASE WHEN order_item_id % 13 = 3 THEN 'x' ELSE '' END
+                          AS order_item_id,
+                        CAST(order_id AS VARCHAR) AS order_id,
+                        CASE order_item_id % 7 WHEN 1 THEN 'n/a' WHEN 2 THEN sales || '1'
+                             ELSE CAST(sales AS VARCHAR) END AS sales,
+                        order_item_quantity || CASE WHEN order_item_id % 11 = 2 THEN '.0' ELSE '' END
+                          AS order_item_quantity,
+                        concat_ws(',',
+                          CASE WHEN order_item_id % 13 = 3 THEN 'order_item_id' END,
+                          CASE WHEN order_item_id % 7 IN (1, 2) THEN 'sales' END,
+                          CASE WHEN order_item_id % 11 = 2 THEN 'order_item_quantity' END) AS faults
+                 FROM raw)
+               WHERE faults <> ''"""
+        ),
         "date_parse": _with(
             (RAW, SILVER),
             """SELECT order_item_id, order_ts, ship_ts, CAST(order_ts AS DATE) AS order_date,
@@ -410,7 +426,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS lines, avg(late_delivery_risk) AS late_rate FROM fact"
         ),
         "dash_late_by_mode": _star(_late("shipping_mode", "dim_shipping_mode", "shipping_mode_key")),
-        "dash_late_by_market": _star(_late("market", "dim_geo", "geo_key")),
+        "dash_late_by_market": _silver(
+            """SELECT market, count(*) AS lines, avg(late_delivery_risk) AS late_rate
+               FROM silver GROUP BY market"""
+        ),
         "dash_unprofitable_share": _star(
             """SELECT count(*) AS lines,
                       avg(CASE WHEN profit_per_order < 0 THEN 1.0 ELSE 0.0 END) AS unprofitable_share
@@ -418,13 +437,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dash_category_margin": _star(_margin("category_name", "dim_product", "product_key")),
         "dash_segment_margin": _star(_margin("customer_segment", "dim_customer", "customer_key")),
-        "dash_market_concentration": _star(
+        "dash_market_concentration": _silver(
             """SELECT market, CAST(total_sales AS DOUBLE) AS total_sales,
                       CAST(sum(total_sales) OVER (
                         ORDER BY total_sales DESC, market
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
                       / CAST(sum(total_sales) OVER () AS DOUBLE) AS cumulative_share
-               FROM (SELECT market, sum(sales) AS total_sales
-                     FROM fact JOIN dim_geo USING (geo_key) GROUP BY market)"""
+               FROM (SELECT market, sum(sales) AS total_sales FROM silver GROUP BY market)"""
         ),
     }

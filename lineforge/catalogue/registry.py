@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from hashlib import sha1
 from threading import Lock
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,7 @@ from lineforge.plans.lakehouse import (
     product_dimension,
     shipping_dimension,
 )
-from lineforge.plans.silver import clean_orders
+from lineforge.plans.silver import clean_orders, rejected_orders
 from lineforge.settings import GEO_COLUMNS, JUNK_COLUMNS
 from lineforge.sinks import export_csv, write_table
 from lineforge.sources import ingest_csv, order_lines
@@ -101,6 +102,24 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return bronze.select(*LINE_SCHEMA.names, from_file)
 
 
+def csv_ingest_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Spoil lines by their ids, write them as a file, and list what is found to be at fault."""
+    lines = raw_lines(spark, folder)
+    line, amount, units = F.col(GRAIN), F.col("sales"), F.col("order_item_quantity")
+    spoilt = {
+        "sales": F.when(line % 7 == 1, F.lit("n/a"))
+        .when(line % 7 == 2, F.concat(amount, F.lit("1")))
+        .otherwise(amount.cast("string")),
+        "order_item_quantity": F.when(line % 11 == 2, F.concat(units, F.lit(".0"))).otherwise(units.cast("string")),
+        GRAIN: F.when(line % 13 == 3, F.concat(line, F.lit("x"))).otherwise(line.cast("string")),
+    }
+    path = new_path(spark, "csv-faults")
+    headed = lines.withColumns(spoilt).toDF(*[file_header(c) for c in lines.columns])
+    headed.write.options(header=True, encoding="ISO-8859-1").csv(path)
+    found = rejected_orders(ingest_csv(spark, path), replace(TABLE_SETTINGS, schema=LINE_SCHEMA))
+    return found.select(GRAIN, "order_id", "sales", "order_item_quantity", F.col("_faults").alias("faults"))
+
+
 def date_parse(spark: SparkSession, folder: str) -> DataFrame:
     lines = raw_lines(spark, folder)
     order = parse_timestamp(F.col("order_date_dateorders"), TABLE_SETTINGS.date_format)
@@ -269,6 +288,7 @@ def _bounds(silver: DataFrame) -> DataFrame:
 
 _QUERIES: dict[str, Query] = {
     "csv_ingest": csv_ingest,
+    "csv_ingest_faults": csv_ingest_faults,
     "date_parse": date_parse,
     "table_roundtrip": table_roundtrip,
     "csv_export_roundtrip": csv_export_roundtrip,
@@ -314,11 +334,11 @@ _QUERIES: dict[str, Query] = {
     "dash_late_by_mode": _star(
         dashboard.late_by, "dim_shipping_mode", key="shipping_mode_key", level="shipping_mode"
     ),
-    "dash_late_by_market": _star(dashboard.late_by, "dim_geo", key="geo_key", level="market"),
+    "dash_late_by_market": _silver(dashboard.late_by_market),
     "dash_unprofitable_share": _star(dashboard.unprofitable_share),
     "dash_category_margin": _star(dashboard.category_margin, "dim_product"),
     "dash_segment_margin": _star(dashboard.segment_margin, "dim_customer"),
-    "dash_market_concentration": _star(dashboard.market_concentration, "dim_geo"),
+    "dash_market_concentration": _silver(dashboard.market_concentration),
 }
 
 

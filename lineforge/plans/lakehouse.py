@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
@@ -127,9 +128,20 @@ class Lakehouse:
         multiline: bool = False,
         **options,
     ) -> Lakehouse:
-        """Over delimited files, as they come from the source system; reader options as for ``ingest_csv``."""
+        """Over delimited files, as they come from the source system; reader options as for ``ingest_csv``.
+
+        Bronze keeps the texts; silver has the types of ``schema`` and ``rejected_lines`` every
+        text that they cannot hold.
+        """
+        settings = options.pop("settings", None) or Settings()
+        if not infer:
+            settings = replace(settings, schema=schema)
         return cls(
-            spark, lambda: ingest_csv(spark, path, schema, encoding, infer, multiline), prefix, **options
+            spark,
+            lambda: ingest_csv(spark, path, None, encoding, infer, multiline),
+            prefix,
+            settings,
+            **options,
         )
 
     def name(self, table: str) -> str:
@@ -169,6 +181,7 @@ class Lakehouse:
     def plan_fact(self, **options) -> DataFrame:
         """The fact as a plan over silver and the dimensions."""
         dims = self.dimensions()
+        options = {"null_safe_geo": self.settings.null_safe_geo, **options}
         return build_fact(self.silver(), **dims, rows=self.rows(), **options)
 
     def build(self) -> dict[str, int]:

@@ -6,10 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lineforge.functions import parse_timestamp
+from lineforge.functions.casts import typed_columns, unfit
 from lineforge.operators.dedup import first_per_key
 from lineforge.settings import Settings
+from lineforge.sources.csv import MALFORMED
 
 # The two date texts and what is made of them.
 DATE_COLUMNS = {
@@ -32,23 +35,36 @@ def clean_orders(df: DataFrame, settings: Settings) -> tuple[DataFrame, DataFram
     """The clean rows, and the raw rows with a fault.
 
     Clean rows have a known grain and are unique by it. A row with an unreadable date stays
-    among them with a null date and is listed as a fault as well; a row without the grain
-    is only listed.
+    among them with a null date and is listed as a fault as well, and so is one with a text that
+    its column's type in ``settings.schema`` cannot hold; a row without the grain, or from a
+    record with too many or too few fields, is only listed.
     """
-    known = df.filter(F.col(settings.grain).isNotNull())
+    whole = df.filter(F.col(MALFORMED).isNull()) if MALFORMED in df.columns else df
+    lines = typed_columns(whole, settings.schema) if settings.schema else whole
+    known = lines.filter(F.col(settings.grain).isNotNull())
     parsed = parse_dates(known.drop(*settings.drop), settings)
     clean = first_per_key(parsed, [settings.grain], settings.tie_break).drop(*settings.helpers)
     return clean, rejected_orders(df, settings)
 
 
 def rejected_orders(df: DataFrame, settings: Settings) -> DataFrame:
-    """Raw rows with a fault, and the columns at fault as ``_faults``."""
+    """Raw rows with a fault, texts as they were, and the columns at fault as ``_faults``."""
 
     def unreadable(text: str) -> Column:
         given = F.trim(F.coalesce(F.col(text), F.lit(""))) != ""
         return given & F.try_to_date(F.col(text), settings.date_format).isNull()
 
-    faults = [(settings.grain, F.col(settings.grain).isNull())]
+    kinds = {field.name: field.dataType for field in settings.schema or ()}
+    grain = F.col(settings.grain)
+    kind = kinds.pop(settings.grain, None)
+    no_grain = grain.isNull() if kind is None else grain.try_cast(kind).isNull() | unfit(grain, kind)
+    faults = [(MALFORMED, F.col(MALFORMED).isNotNull())] if MALFORMED in df.columns else []
+    faults += [(settings.grain, no_grain)]
+    faults += [
+        (name, unfit(F.col(name), kind))
+        for name, kind in kinds.items()
+        if not isinstance(kind, T.StringType)
+    ]
     faults += [(text, unreadable(text)) for text in DATE_COLUMNS]
     named = F.concat_ws(",", *[F.when(fault, F.lit(column)) for column, fault in faults])
     any_fault = reduce(Column.__or__, [fault for _, fault in faults])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 # Columns that carry no information and leave after profiling.
 JUNK_COLUMNS = (
     "customer_email",
@@ -14,7 +16,7 @@ JUNK_COLUMNS = (
 )
 
 # Audit columns that ingest adds.
-AUDIT_COLUMNS = ("_ingested_at", "_source_file")
+AUDIT_COLUMNS = ("_malformed", "_ingested_at", "_source_file")
 
 # The attributes of the dimensions, natural keys first.
 PRODUCT_COLUMNS = (
@@ -61,7 +63,8 @@ class Settings:
 
     ``tie_break`` orders the copies of one order line; the first one survives. Copies that
     agree on all of it are ordered by the rest of their columns, so the survivor never
-    depends on how the rows were read.
+    depends on how the rows were read. ``schema`` casts a bronze of texts on the way to silver.
+    ``null_safe_geo`` lets a place with null parts find its key in the fact.
     """
 
     drop: tuple[str, ...] = JUNK_COLUMNS + AUDIT_COLUMNS
@@ -70,3 +73,5 @@ class Settings:
     tie_break: tuple[str, ...] = ()
     helpers: tuple[str, ...] = ()
     history: History = field(default_factory=History)
+    schema: T.StructType | None = None
+    null_safe_geo: bool = False

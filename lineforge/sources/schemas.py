@@ -64,7 +64,7 @@ LINE_SCHEMA = T.StructType([T.StructField(*column) for column in (*LINE_COLUMNS,
 
 # The public source file writes amounts with up to nine decimals. As decimals they keep them,
 # and their sums do not depend on the order of the rows. There is room for sixteen digits before
-# the point and twelve after it; an amount beyond that is still lost.
+# the point and twelve after it; silver lists an amount beyond that as a fault.
 FILE_AMOUNT = T.DecimalType(28, 12)
 FILE_SCHEMA = T.StructType(
     [

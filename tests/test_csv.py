@@ -27,7 +27,7 @@ def source(tmp_path):
 def test_names_values_and_audit_columns(spark, source):
     df = ingest_csv(spark, source, SCHEMA)
     assert df.columns == [
-        "order_item_id", "order_date_x", "zip", "caf_name", "empty", "_ingested_at", "_source_file",
+        "order_item_id", "order_date_x", "zip", "caf_name", "empty", "_malformed", "_ingested_at", "_source_file",
     ]
     rows = df.orderBy("order_item_id").collect()
     assert [r.order_item_id for r in rows] == [1, 2, 3, 4]

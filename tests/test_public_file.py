@@ -68,9 +68,9 @@ def lake(spark, tmp_path_factory):
 
 def test_bronze_keeps_every_column_and_value(lake):
     bronze = lake.bronze()
-    assert len(bronze.columns) == len(HEADER) + 2
+    assert len(bronze.columns) == len(HEADER) + 3
     row = bronze.filter("order_item_id = 11").first()
-    assert row.order_item_discount == Decimal("13.109999660") and row.latitude == "18.2514534"
+    assert row.order_item_discount == "13.10999966" and row.latitude == "18.2514534"
     assert row.customer_fname == "José" and row.order_state == "São Paulo"
     assert row.customer_zipcode == "00725"
 
@@ -78,6 +78,7 @@ def test_bronze_keeps_every_column_and_value(lake):
 def test_silver(lake):
     silver = lake.silver()
     assert silver.count() == 5
+    assert silver.filter("order_item_id = 11").first().order_item_discount == Decimal("13.10999966")
     assert {"type", "latitude", "order_ts", "ship_date"} <= set(silver.columns)
     assert not {"customer_email", "product_image", "order_date_dateorders"} & set(silver.columns)
     assert [r._faults for r in lake.table("silver.rejected_lines").collect()] == ["order_date_dateorders"]
@@ -129,3 +130,41 @@ def test_refresh_reads_new_files(spark, tmp_path):
     assert built.build()["gold.fact_order_line"] == 2
     assert built.gold("dim_geo").count() == 2
     built.drop()
+
+
+def test_no_value_is_lost_without_being_listed(spark, tmp_path):
+    """Texts that no type holds, too many or few fields, and a record cut by a line break."""
+    def line(item, **changes):
+        values = dict(zip(HEADER, map(str, _line(item, 7, "Consumer", "1/1/2018 1:00", "LATAM", 0, 2, "1", "1"))))
+        return [(values | changes)[name] for name in HEADER]
+
+    rows = [
+        line(1, **{"Sales": "1500000000.25", "Order Item Total": "1.12345678987"}),
+        line(2, **{"Sales": "n/a"}),
+        line(3, **{"Order Item Quantity": "2.0"}),
+        line(4) + ["surplus"],
+        line(5, **{"Order Item Id": "5x"}),
+        line(6)[:-1],
+        line(7, **{"Sales": "0.1234567890123", "Order Item Total": "12345678901234567", "Product Price": "1e-20"}),
+        line(8, **{"Sales": " ", "Product Price": "1.5E2", "Order Item Quantity": " 3 "}),
+        line(9, **{"Product Name": "cut\nhere"}),
+    ]
+    with open(tmp_path / "a.csv", "w", encoding="latin-1", newline="") as out:
+        csv.writer(out, lineterminator="\n").writerows([HEADER, *rows])
+    built = Lakehouse.from_csv(spark, f"{tmp_path}/a.csv", "faulty", location=f"{tmp_path}/lake")
+    silver = {r.order_item_id: r for r in built.silver().collect()}
+    assert set(silver) == {1, 2, 3, 7, 8}
+    assert silver[1].sales == Decimal("1500000000.25") and silver[1].order_item_total == Decimal("1.12345678987")
+    assert silver[2].sales is None and silver[3].order_item_quantity is None
+    assert silver[8].sales is None and silver[8].product_price == 150 and silver[8].order_item_quantity == 3
+    listed = built.table("silver.rejected_lines").collect()
+    faults = {r.order_item_id: r for r in listed if not r._malformed}
+    assert {item: r._faults for item, r in faults.items()} == {
+        "2": "sales", "3": "order_item_quantity", "5x": "order_item_id",
+        "7": "sales,order_item_total,product_price",
+    }
+    assert faults["2"].sales == "n/a" and faults["3"].order_item_quantity == "2.0"
+    broken = [r._malformed for r in listed if r._malformed]
+    assert all(r._faults.startswith("_malformed") for r in listed if r._malformed)
+    assert len(broken) == 4 and any(text.endswith("surplus") for text in broken)
+    built.drop()
