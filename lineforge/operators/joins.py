@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 
 from lineforge.storage import materialise, shuffle_tasks
 
-# Up to this many counted rows of a few columns go to every executor (about 100 MB).
+# Up to this many counted rows, and this many bytes of their columns, go to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 100 << 20
+
+# What a value of fixed size takes in a row, and a text beside its letters.
+VALUE_BYTES = 8
 
 # Fewer rows of one key than this are no burden, whatever the other tasks hold.
 LEAST_HOT_ROWS = 100_000
@@ -59,6 +63,7 @@ def lookup_join(
     null_safe: bool = False,
     dim_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     spread: Spread | None = None,
     during: tuple[str, str, str] | None = None,
     how: str = "left",
@@ -67,7 +72,10 @@ def lookup_join(
 
     ``on`` maps fact to dimension columns. Null keys match only if ``null_safe``. ``during``
     names a fact date and the dimension's two ends of validity, both included. With
-    ``dim_rows`` unknown, Spark chooses the join by file size.
+    ``dim_rows`` unknown, Spark chooses the join by file size. With it known, a dimension within
+    ``broadcast_rows`` and ``broadcast_bytes`` is broadcast, unless the session's threshold
+    forbids it; the lengths of its texts are added up for that, and hot keys looked for, by jobs
+    that run when this is called.
     """
     taken = dict(take) if isinstance(take, Mapping) else {name: name for name in take}
     side = {column: f"_dim_{column}" for column in on.values()}
@@ -84,7 +92,8 @@ def lookup_join(
         matches += [F.col(at) >= F.col(side[start]), F.col(at) <= F.col(side[end])]
 
     columns = fact.columns
-    if dim_rows is not None and dim_rows <= broadcast_rows:
+    small = dim_rows is not None and dim_rows <= broadcast_rows
+    if small and _may_broadcast(right, dim_rows, broadcast_bytes):
         right = F.broadcast(right)
     elif spread is not None:
         hot = hot_keys(spread, [left for left, _ in pairs])
@@ -129,6 +138,19 @@ def hot_keys(spread: Spread, keys: list[str]) -> DataFrame:
     return materialise(hot, "hot-keys")
 
 
+def _may_broadcast(df: DataFrame, rows: int, most_bytes: int) -> bool:
+    """Whether ``rows`` counted rows fit, by the lengths of their texts, and broadcasts are on."""
+    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if threshold.startswith("-"):
+        return False
+    fixed = rows * len(df.columns) * VALUE_BYTES
+    texts = [F.octet_length(name) for name, kind in df.dtypes if kind in ("string", "binary")]
+    if fixed > most_bytes or not texts:
+        return fixed <= most_bytes
+    lengths = [F.coalesce(F.sum(text.cast("long")), F.lit(0)) for text in texts]
+    return fixed + df.agg(reduce(Column.__add__, lengths)).first()[0] <= most_bytes
+
+
 def _equal(a: Column, b: Column, null_safe: bool) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 

@@ -13,6 +13,9 @@ from lineforge.storage import materialise
 # Fixed value: monotonically_increasing_id() puts the partition above this many bits.
 ROW_BITS = 33
 
+# Fixed value: the largest int.
+LARGEST_KEY = (1 << 31) - 1
+
 
 def dense_key(df: DataFrame, order_columns: Sequence[str], key_name: str) -> DataFrame:
     """Add ``key_name`` = position of the row by ``order_columns``, nulls first, from 1.
@@ -21,7 +24,8 @@ def dense_key(df: DataFrame, order_columns: Sequence[str], key_name: str) -> Dat
     since the full natural key is the sort key and hardly repeats. Each row keeps its range
     and its place there; the sorted rows are written out, because the range bounds come from
     a sample and must not be drawn twice. What is left is to add the sizes of the ranges
-    before: a table with one row per written partition.
+    before: a table with one row per written partition. The sort and the writing run when this
+    is called. More rows than an int can number are an error.
     """
     ordered = df.orderBy(*order_columns).withColumn("_seq", F.monotonically_increasing_id())
     placed = materialise(ordered, f"order-{key_name}")
@@ -37,8 +41,10 @@ def dense_key(df: DataFrame, order_columns: Sequence[str], key_name: str) -> Dat
         .agg(F.count("*").alias("_rows"))
         .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    key = (F.col("_offset") + F.col("_place") + 1).cast("int").alias(key_name)
-    return placed.join(F.broadcast(offsets), "_range").select(*df.columns, key)
+    position = F.col("_offset") + F.col("_place") + 1
+    too_many = F.raise_error(F.lit(f"{key_name}: more rows than an int can number")).cast("int")
+    key = F.when(position <= LARGEST_KEY, position.cast("int")).otherwise(too_many)
+    return placed.join(F.broadcast(offsets), "_range").select(*df.columns, key.alias(key_name))
 
 
 def key_report(df: DataFrame, order_columns: Sequence[str], key_name: str) -> DataFrame:

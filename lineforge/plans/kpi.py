@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from lineforge.functions import mean
 
+# Names and rounding places of the columns of the reports below.
+
+# Ratios are added up as decimals, whose sum does not depend on the order of the rows.
+EXACT_RATIO = "decimal(30,15)"
+
 SEGMENT_MODES = ("current", "as_was", "as_is")
 
 
@@ -57,20 +62,30 @@ def segment_of_key(dim_customer: DataFrame, mode: str) -> DataFrame:
 
 
 def segment_kpi(fact: DataFrame, dim_customer: DataFrame, mode: str = "current") -> DataFrame:
-    """Sales, profit and mean profit ratio of a line per customer segment."""
+    """Sales, profit and mean profit ratio of a line per customer segment.
+
+    Ratios count with fifteen decimals. If a segment holds one that no such decimal can hold, such
+    as an infinite one, its ratios are added up as doubles instead.
+    """
+    exact = F.col("order_item_profit_ratio").try_cast(EXACT_RATIO)
     per_customer = fact.groupBy("customer_key").agg(
         F.sum("sales").alias("sales"),
         F.sum("profit_per_order").alias("profit"),
-        F.sum("order_item_profit_ratio").alias("ratio"),
+        F.try_sum(exact).alias("ratio"),
+        F.sum("order_item_profit_ratio").alias("rough_ratio"),
+        F.count(exact).alias("exact"),
         F.count("order_item_profit_ratio").alias("rated"),
     )
+    lost = (F.col("exact") < F.col("rated")) | (F.col("ratio").isNull() & (F.col("rated") > 0))
+    ratio = F.when(F.count_if(lost) == 0, F.try_sum("ratio").cast("double"))
+    ratio = F.coalesce(ratio, F.sum("rough_ratio"))
     return (
         per_customer.join(segment_of_key(dim_customer, mode), "customer_key")
         .groupBy("customer_segment")
         .agg(
             F.round(F.sum("sales"), 2).alias("total_sales"),
             F.round(F.sum("profit"), 2).alias("total_profit"),
-            F.round(mean("ratio", "rated"), 3).alias("avg_profit_ratio"),
+            F.round(F.try_divide(ratio, F.sum("rated")), 3).alias("avg_profit_ratio"),
         )
     )
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from threading import RLock
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +29,21 @@ from lineforge.plans.silver import clean_orders, rejected_orders
 from lineforge.settings import CUSTOMER_COLUMNS, GEO_COLUMNS, PRODUCT_COLUMNS, Settings
 from lineforge.sinks import create_layers, export_csv, write_table
 from lineforge.sources import FILE_SCHEMA, ingest_csv
-from lineforge.storage import fit_shuffle
+from lineforge.storage import fit_shuffle, scratch
 
 DIMENSIONS = ("dim_customer", "dim_product", "dim_geo", "dim_shipping_mode", "dim_date")
-KPIS = ("kpi_delivery_by_market", "kpi_sales_by_segment")
+
+# The kept reports, and the column that each is exported by, largest first.
+KPI_ORDER = {"kpi_delivery_by_market": "total_orders", "kpi_sales_by_segment": "total_sales"}
+KPIS = tuple(KPI_ORDER)
 GOLD_TABLES = ("fact_order_line", *DIMENSIONS, *KPIS)
 
+# Written before any other, since all else is built from it.
+FIRST_TABLE = "bronze.order_lines"
+
 # Tables of one step need none of each other.
 STEPS = (
-    ("bronze.order_lines",),
+    (FIRST_TABLE,),
     ("silver.order_lines", "silver.rejected_lines"),
     tuple(f"gold.{name}" for name in DIMENSIONS),
     ("gold.fact_order_line",),
@@ -44,6 +51,14 @@ STEPS = (
 )
 
 
+# Parts the name of a stored table from the build that it belongs to.
+BUILD_MARK = "__"
+
+
+def _new_suffix() -> str:
+    return f"{BUILD_MARK}{uuid4().hex[:12]}"
+
+
 def latest_customers(silver: DataFrame, grain: str) -> DataFrame:
     """Customer attributes as of each customer's latest order line."""
     lines = silver.select(*CUSTOMER_COLUMNS, "order_ts", grain)
@@ -82,8 +97,11 @@ class Lakehouse:
     """Tables of one source, each built on first use and kept.
 
     ``source`` gives the raw lines whenever bronze is built. ``prefix`` names the schemas
-    ``<prefix>_bronze``, ``_silver`` and ``_gold``. The tables are a snapshot: ``refresh``
-    forgets what was built, and the next use overwrites it.
+    ``<prefix>_bronze``, ``_silver`` and ``_gold``, plain layer names if it is empty. The tables
+    are a snapshot, stored under names of their own; ``refresh`` begins another one. ``build``
+    makes every table and then lets the plain names, which are views, show that build; until then
+    they show the one before, and so they do if a build fails. So the keys of a stored fact never
+    meet a dimension of another build. ``open`` reads what the plain names show.
     """
 
     def __init__(
@@ -96,8 +114,11 @@ class Lakehouse:
     ) -> None:
         self.spark = spark
         self.settings = settings or Settings()
-        self.schemas = {layer: f"{prefix}_{layer}" for layer in ("bronze", "silver", "gold")}
+        before = f"{prefix}_" if prefix else ""
+        self.schemas = {layer: f"{before}{layer}" for layer in ("bronze", "silver", "gold")}
         self.counts: dict[str, int] = {}
+        self._opened = False
+        self._suffix = _new_suffix()
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "bronze.order_lines": source,
             "silver.order_lines": lambda: clean_orders(self.bronze(), self.settings)[0],
@@ -114,7 +135,22 @@ class Lakehouse:
             ),
         }
         self._locks = {table: RLock() for table in self._builders}
-        create_layers(self.spark, self.schemas.values(), location)
+        self._location = location
+
+    @classmethod
+    def open(cls, spark: SparkSession, prefix: str, settings: Settings | None = None) -> Lakehouse:
+        """The last build under ``prefix``, read through its plain names; nothing is built."""
+
+        def nothing() -> DataFrame:
+            raise ValueError("an opened lakehouse has no source to build from")
+
+        opened = cls(spark, nothing, prefix, settings)
+        opened._suffix = ""
+        missing = [table for step in STEPS for table in step if not spark.catalog.tableExists(opened.name(table))]
+        if missing:
+            raise ValueError(f"no build to open, missing {', '.join(missing)}")
+        opened._opened = True
+        return opened
 
     @classmethod
     def from_csv(
@@ -145,14 +181,17 @@ class Lakehouse:
         )
 
     def name(self, table: str) -> str:
-        """Catalog name of ``layer.table``."""
+        """Catalog name of this build's ``layer.table``."""
         layer, _, short = table.partition(".")
-        return f"{self.schemas[layer]}.{short}"
+        return f"{self.schemas[layer]}.{short}{self._suffix}"
 
     def table(self, table: str) -> DataFrame:
         with self._locks[table]:
-            if table not in self.counts:
-                stored = write_table(self._builders[table](), self.name(table))
+            if table not in self.counts and not self._opened:
+                if table == FIRST_TABLE:
+                    create_layers(self.spark, self.schemas.values(), self._location)
+                with scratch(self.spark):
+                    stored = write_table(self._builders[table](), self.name(table))
                 self.counts[table] = stored.count()
                 fit_shuffle(self.spark, self.counts[table])
         return self.spark.table(self.name(table))
@@ -175,6 +214,9 @@ class Lakehouse:
     def rows(self) -> dict[str, int]:
         """Counted rows of silver and every dimension: what decides how they are joined."""
         self.dimensions()
+        if self._opened:
+            for table in ("silver.order_lines", *[f"gold.{name}" for name in DIMENSIONS]):
+                self.counts.setdefault(table, self.table(table).count())
         dimensions = {name: self.counts[f"gold.{name}"] for name in DIMENSIONS}
         return {"silver": self.counts["silver.order_lines"], **dimensions}
 
@@ -193,15 +235,36 @@ class Lakehouse:
         for step in STEPS:
             with ThreadPoolExecutor(len(step)) as pool:
                 list(pool.map(self.table, step))
+        if not self._opened:
+            self._show()
         return dict(self.counts)
 
+    def _show(self) -> None:
+        """Let the plain names show this build, and remove the tables of those before."""
+        tables = [table.partition(".") for step in STEPS for table in step]
+        for layer, _, short in tables:
+            schema = self.schemas[layer]
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW `{schema}`.`{short}` "
+                f"AS SELECT * FROM `{schema}`.`{short}{self._suffix}`"
+            )
+        for layer, schema in self.schemas.items():
+            shorts = {short for of, _, short in tables if of == layer}
+            for stored in self.spark.catalog.listTables(schema):
+                short, mark, _ = stored.name.partition(BUILD_MARK)
+                if mark and short in shorts and not stored.name.endswith(self._suffix):
+                    self.spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{stored.name}`")
+
     def refresh(self) -> None:
-        """Forget what was built; the source is read anew on the next use."""
+        """Begin another build; the source is read anew on the next use."""
+        if self._opened:
+            raise ValueError("an opened lakehouse has no source to build from")
         self.counts.clear()
+        self._suffix = _new_suffix()
 
     def drop(self) -> None:
         """Remove all tables with their files."""
-        self.refresh()
+        self.counts.clear()
         for schema in self.schemas.values():
             self.spark.sql("DROP SCHEMA IF EXISTS IDENTIFIER(:schema) CASCADE", {"schema": schema})
 
@@ -219,5 +282,6 @@ class Lakehouse:
         return counted
 
     def export(self, folder: str) -> None:
-        """All gold tables as CSV; the two reports of a few rows as one file each."""
-        export_csv({name: self.gold(name) for name in GOLD_TABLES}, folder, single_file=KPIS)
+        """All gold tables as CSV; the two reports of a few rows as one file each, in their order."""
+        tables = {name: self.gold(name) for name in GOLD_TABLES}
+        export_csv(tables, folder, single_file=KPIS, largest_first=KPI_ORDER)

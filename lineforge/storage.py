@@ -7,7 +7,11 @@ can read, so a lost executor never costs more than its running tasks.
 from __future__ import annotations
 
 import math
+import re
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_TASK = 2_000_000
 MAX_SHUFFLE_TASKS = 40_000
 
+# Masters whose executors are threads of the driver.
+ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?")
+
 _own_folders: dict[str, str] = {}
+_scratch = threading.local()
 
 
 def application_id(spark: SparkSession) -> str:
@@ -29,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master").startswith("local"):
+    if not ONE_PROCESS.fullmatch(spark.conf.get("spark.master")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = application_id(spark)
     if app not in _own_folders:
@@ -51,9 +59,28 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    if getattr(_scratch, "paths", None) is not None:
+        _scratch.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``materialise`` writes inside, called by this thread, is deleted at the end.
+
+    For a block that also stores the result for which it was written.
+    """
+    outer = getattr(_scratch, "paths", None)
+    _scratch.paths = []
+    try:
+        yield
+    finally:
+        paths, _scratch.paths = _scratch.paths, outer
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _START_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 

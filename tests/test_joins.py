@@ -60,7 +60,7 @@ def test_sampling_finds_a_hot_key(spark):
 
 
 def test_small_side_is_broadcast_and_large_side_is_not(spark, conf, fact, dim):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    conf(spark__sql__autoBroadcastJoinThreshold="1")
     small = lookup_join(fact, dim, ON, ["name"], dim_rows=120)
     assert "BroadcastHashJoin" in final_plan(small) and "SortMergeJoin" not in final_plan(small)
     spread = Spread(fact, by=["id"], rows=6000, hot_rows=10**6)
@@ -91,3 +91,19 @@ def test_default_threshold_is_a_tasks_share(spark, fact):
     share = Spread(fact, by=["id"], rows=400_000_000).hot_from()
     assert share == 100_000_000
     assert Spread(fact, by=["id"], rows=10).hot_from() == 100_000
+
+
+def test_few_but_wide_rows_are_not_broadcast(spark, conf):
+    from pyspark.sql import functions as F
+
+    from lineforge.operators import lookup_join
+
+    fact = spark.range(100).withColumnRenamed("id", "k")
+    dim = spark.range(50).select("id", F.repeat(F.lit("x"), 1000).alias("name"))
+    plan = lambda **o: lookup_join(
+        fact, dim, {"k": "id"}, {"name": "name"}, dim_rows=50, **o
+    )._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan()
+    assert "broadcast" not in plan(broadcast_bytes=40_000)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert "broadcast" not in plan()

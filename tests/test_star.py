@@ -160,3 +160,74 @@ def test_helpers_keep_small_groups_small(lake):
     again = build_dimension(silver.repartition(3), attributes, ["product_card_id"], "k", "order_item_id")
     assert same_rows(once, again)
     assert first_per_key(silver, ["order_id"]).count() == silver.select("order_id").distinct().count()
+
+
+def test_a_build_shows_as_a_whole(spark, tmp_path, lake):
+    """Two objects under one name: at every step the plain names show one build, the last whole one."""
+    import os
+
+    lines = lake.bronze()
+    few = lines.filter("order_item_id % 50 = 0")
+    name, options = "switched", {"settings": lake.settings, "location": str(tmp_path / "lake")}
+
+    def shown():
+        return [spark.table(f"{name}_{t}").count() for t in ("silver.order_lines", "gold.fact_order_line")]
+
+    with pytest.raises(ValueError, match="no build to open"):
+        Lakehouse.open(spark, name)
+    first = Lakehouse(spark, lambda: few, name, **options)
+    first.build()
+    before = shown()
+    assert before[0] == before[1]
+    second = Lakehouse(spark, lambda: lines, name, **options)
+    assert second.gold("dim_geo").count() > first.gold("dim_geo").count()
+    assert shown() == before
+    broken = Lakehouse(spark, lambda: lines, name, **options)
+    broken._builders["gold.fact_order_line"] = lambda: spark.table("there_is_no_such_table")
+    with pytest.raises(Exception, match="there_is_no_such_table"):
+        broken.build()
+    assert shown() == before
+    second.build()
+    after = shown()
+    assert after[0] == after[1] > before[0]
+    assert len(os.listdir(tmp_path / "lake" / f"{name}_gold")) == len(GOLD_TABLES)
+
+    opened = Lakehouse.open(spark, name, lake.settings)
+    assert same_rows(opened.fact(), second.fact()) and same_rows(opened.plan_fact(), second.fact())
+    with pytest.raises(ValueError, match="no source"):
+        opened.refresh()
+    opened.drop()
+
+
+def test_stored_star_with_null_safe_places(spark, tmp_path, lake):
+    from dataclasses import replace
+
+    settings = replace(lake.settings, null_safe_geo=True)
+    built = Lakehouse(spark, lake.bronze, "nullsafe", settings, location=str(tmp_path / "lake"))
+    assert built.fact().filter("geo_key IS NULL").isEmpty()
+    built.drop()
+
+
+def test_mean_ratio_does_not_depend_on_row_order(lake):
+    reports = [
+        segment_kpi(lake.fact().repartition(n, column), lake.gold("dim_customer"), "as_was")
+        for n, column in ((1, "sales"), (3, "quantity"), (7, "order_id"))
+    ]
+    rows = [sorted(map(str, report.collect())) for report in reports]
+    assert rows[0] == rows[1] == rows[2]
+    odd = lake.fact().withColumn("order_item_profit_ratio", F.lit(float("inf")))
+    assert segment_kpi(odd, lake.gold("dim_customer")).first().avg_profit_ratio == float("inf")
+
+
+def test_build_leaves_only_layer_tables(spark, tmp_path, lake):
+    import os
+
+    from lineforge.storage import work_folder
+
+    folder = work_folder(spark)
+    kept = lambda: {f for f in os.listdir(folder) if f.startswith(("order-", "hot-keys-"))}
+    before = kept()
+    built = Lakehouse(spark, lake.bronze, "tidy", lake.settings, location=str(tmp_path / "lake"))
+    built.build()
+    assert kept() == before
+    built.drop()

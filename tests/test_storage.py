@@ -57,3 +57,9 @@ def test_layers_and_full_refresh(spark, tmp_path):
     table = write_table(spark.createDataFrame([("x",)], "other string"), "t_silver.numbers")
     assert table.columns == ["other"] and table.count() == 1
     assert (tmp_path / "t_silver" / "numbers").is_dir()
+
+
+def test_a_cluster_on_one_machine_is_a_cluster():
+    session = FakeSession(**{"spark.master": "local-cluster[2,1,512]", "spark.app.id": "b"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(session)
