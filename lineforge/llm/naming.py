@@ -1,15 +1,15 @@
 """Exact duplicates by deterministic block naming.
 
-A normalised text is cut into blocks of a fixed number of bytes. All blocks are sorted, and equal
-ones get one integer, their *name*: the rank in the sorted order. Then neighbouring names are
+A normalised text is cut into blocks of a fixed number of bytes. All blocks are dealt into parts and
+sorted there, and equal ones get one integer, their *name*: part and rank in it. Then neighbouring names are
 paired, the pairs sorted and named in the same way, until each document is down to one name. Texts
 are equal exactly if they took the same number of rounds and ended with the same name: contents
 are compared by sorting, no hash decides.
 
 Scale: before the sort every task gathers the equal blocks of its batch into one row with the list
-of places, so a block that a third of all rows share is one row per batch. The sort is by range of
-content and each range is named in one streaming pass; a name is the range's number and the running
-number in it, so nothing needs a global count. Later rounds carry integers only, and only of
+of places, so a block that a third of all rows share is one row per batch. A hash only chooses the
+part, which needs no sample of contents at the driver; each sorted part is named in one streaming
+pass, so nothing needs a global count. Later rounds carry integers only, and only of
 documents with more than one block left. Blocks are cut by byte positions, linear in the text.
 
 Defined results: null counts as empty; the empty text is one empty block and all empty texts are
@@ -54,7 +54,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One name per run of equal blocks in a sorted range; all that is held is the last block."""
+    """One name per run of equal blocks in a sorted part; all that is held is the last block."""
     name, last = (TaskContext.get().partitionId() << 40) - 1, None
     for batch in batches:
         if not batch.num_rows:
@@ -75,8 +75,8 @@ def name_blocks(blocks: DataFrame) -> DataFrame:
     listed = T.StructType([blocks.schema["block"], T.StructField("at", T.ArrayType(kind))])
     named = T.StructType([*kind.fields, T.StructField("name", T.LongType())])
     tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = blocks.mapInArrow(_gather, listed).repartitionByRange(tasks, "block").sortWithinPartitions("block")
-    return written(ranges.mapInArrow(_name, named), "names")
+    parts = blocks.mapInArrow(_gather, listed).repartition(tasks, "block").sortWithinPartitions("block")
+    return written(parts.mapInArrow(_name, named), "names")
 
 
 def identities(rows: DataFrame) -> DataFrame:
