@@ -32,7 +32,7 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove lines that occur before, also with few edits; every document stays."""
     ship_package(spark)
-    return _counted(lines.drop_repeated_lines(docs), docs.columns)
+    return _counted(lines.drop_repeated_lines(docs, lines.EVERY_LINE), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ verified by edit distance in a band of ``2 * edits + 1`` diagonals, a word of bi
 pairs at a time. Connected lines are a class. The first occurrence of a class (by doc_id, then line
 number) stays in its text, all others are removed.
 
-Only lines of at least ``least_chars`` characters take part: short ones repeat by chance, and their
-segments would be a few letters. Others are never removed.
+Exact repeats are a class whatever their length, from ``exact_from`` characters on (``EVERY_LINE``: all
+that are not empty); they need no keys, only the hash. Links by edits are between lines of at least
+``least_chars`` characters: two edits make another line of a short one ("Part 1", "Part 23").
 
 Scale: rows are batch-distinct lines times a dozen keys of three numbers; one shuffle sorts them and
 keys of a single line vanish there. A line that occurs in a third of all documents is one node, and
@@ -42,8 +43,15 @@ from lineforge.llm.text import PIECE, SpanHasher, mix, parity_sketch, row_slices
 
 @dataclass(frozen=True)
 class LineSettings:
+    """Edits and the least characters of lines that edits link; the least of lines whose exact repeats go."""
+
     edits: int = 2
     least_chars: int = 30
+    exact_from: int = 30
+
+
+# What the query and the pipeline use: exact repeats of every line that is not empty.
+EVERY_LINE = LineSettings(exact_from=1)
 
 
 _hasher = SpanHasher()
@@ -210,9 +218,10 @@ def line_classes(docs: DataFrame, s: LineSettings = LineSettings()) -> DataFrame
     lines = (
         _keyed(docs)
         .select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-        .where(F.length("line") >= s.least_chars)
+        .where(F.length("line") >= min(s.exact_from, s.least_chars))
         .withColumn("node", F.xxhash64("line"))
     )
+    every, lines = lines, lines.where(F.length("line") >= s.least_chars)
     members = written(shared_buckets(line_keys(lines, s)), "buckets")
     # Only buckets that some line is indexed in hold candidates.
     indexed = members.groupBy("bucket").agg(F.max("center").alias("some")).where("some = 1").select("bucket")
@@ -229,7 +238,7 @@ def line_classes(docs: DataFrame, s: LineSettings = LineSettings()) -> DataFrame
         # Necessary: an edit takes away at most two pairs of neighbours and adds at most two.
         lambda x, y: differing_bits(x("sketch"), y("sketch"), SKETCH) <= 4 * s.edits,
     )
-    places = lines.select("doc_id", "text_hash", "line_no", F.col("node").alias("class"))
+    places = every.select("doc_id", "text_hash", "line_no", F.col("node").alias("class"))
     if roots is not None:
         places = places.join(written(roots.toDF("class", "root"), "roots"), "class", "left").withColumn(
             "class", F.coalesce("root", "class")

@@ -54,7 +54,7 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    cleaned = lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"), lines.EVERY_LINE)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
     return cleaned.select("doc_id", "n_lines", "n_removed", "n_links", "classes", digest)
 

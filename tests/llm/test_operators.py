@@ -252,6 +252,19 @@ def test_repeated_lines_go(spark, none):
     assert lines.drop_repeated_lines(none).count() == 0
 
 
+def test_short_repeats_go_and_are_not_linked_by_edits(spark, tmp_path):
+    texts = ["All rights reserved.\n}\n\nPart 1", "Part 2\n}\n\nAll rights reserved.", "x" * 29 + "\n" + "x" * 30 + "\n}", "\n\n", None]
+    make_docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in registry.op5_lines(spark, str(tmp_path)).collect()}
+    kept = [texts[0], "Part 2\n", "x" * 29 + "\n" + "x" * 30, "\n\n", ""]
+    assert [got[i].text_sha256 for i in range(5)] == [sha(t) for t in kept]
+    assert [got[i].n_removed for i in range(5)] == [0, 2, 1, 0, 0]
+    assert [got[i].n_links for i in range(5)] == [3, 3, 2, 0, 0]
+    assert [len(got[i].classes) for i in range(5)] == [2, 2, 1, 0, 0]
+    staged = corpus_pipeline.drop_repeated_lines(spark, make_docs(spark, texts), "")
+    assert {r.doc_id: r.text for r in staged.collect()} == dict(enumerate([*kept[:4], None]))
+
+
 # --- 6: packing ---------------------------------------------------------------------------
 
 
