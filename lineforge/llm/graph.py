@@ -113,3 +113,27 @@ def connect(
         if last:
             break
     return roots, links
+
+
+def all_links(
+    members: DataFrame,
+    verified: Callable[[DataFrame], DataFrame],
+    possible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+) -> DataFrame | None:
+    """Every link (a, b), also between nodes that others connect; parameters as for ``connect``. None without any.
+
+    Every possible pair of a bucket is tested, so the work follows the number of links, not of nodes.
+    """
+    carried = [c for c in members.columns if c not in ("bucket", "center")]
+    centers = members.where("center").select("bucket", F.struct(*carried).alias("c"))
+    pairs = (
+        members.join(centers, "bucket")
+        .where((F.col("node") != F.col("c.node")) & possible(F.col, lambda name: F.col(f"c.{name}")))
+        .select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b"))
+        .distinct()
+    )
+    pairs = written(pairs, "pairs")
+    if pairs.isEmpty():
+        return None
+    links = written(verified(pairs).select("a", "b"), "links")
+    return None if links.isEmpty() else links

@@ -14,10 +14,11 @@ that are not empty); they need no keys, only the hash. Links by edits are betwee
 ``least_chars`` characters: two edits make another line of a short one ("Part 1", "Part 23").
 
 Scale: rows are batch-distinct lines times a dozen keys of three numbers; one shuffle sorts them and
-keys of a single line vanish there. A line that occurs in a third of all documents is one node, and
-``graph.connect`` tests large buckets by centers; two lines whose bitmaps of neighbouring characters
-differ in more places than the edits could change are no candidates, so their texts never meet. Lines are known by 64-bit hashes of their whole
-content; their texts are fetched only for buckets.
+keys of a single line vanish there. A line that occurs in a third of all documents is one node. All pairs
+of a bucket are compared, since the links of each line are counted; two lines whose bitmaps of
+neighbouring characters differ in more places than the edits could change are no candidates, so their texts
+never meet. Links are joined between distinct lines, with counts of their occurrences. Lines are known by
+64-bit hashes of their whole content; their texts are fetched only for buckets.
 
 Defined results: a line ends at ``\\n`` or at the end of its text; a null text stays null and has no
 lines; an empty text is one empty line; null ids come last; rows equal in id and text are one
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lineforge.llm.graph import connect, differing_bits
+from lineforge.llm.graph import all_links, components, differing_bits
 from lineforge.llm.minhash import shared_buckets
 from lineforge.llm.tables import if_small, written
 from lineforge.llm.text import PIECE, SpanHasher, mix, parity_sketch, row_slices, signed
@@ -214,7 +215,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, s: LineSettings = LineSettings()) -> DataFrame:
-    """(doc_id, text_hash, line_no, class, n, stays): each line that takes part, as a written table. Runs jobs."""
+    """(doc_id, text_hash, line_no, class, links, stays) of each line that others share a class with. Runs jobs.
+
+    ``links``: the other occurrences of the line and of those within the edits.
+    """
     lines = (
         _keyed(docs)
         .select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
@@ -232,28 +236,32 @@ def line_classes(docs: DataFrame, s: LineSettings = LineSettings()) -> DataFrame
     members = members.join(with_sketch(texts), "node").select(
         "bucket", "node", (F.col("center") == 1).alias("center"), F.lit(0).alias("weight"), "sketch"
     )
-    roots, _ = connect(
+    links = all_links(
         written(members, "members"),
         lambda pairs: close_lines(pairs, texts, s.edits),
         # Necessary: an edit takes away at most two pairs of neighbours and adds at most two.
         lambda x, y: differing_bits(x("sketch"), y("sketch"), SKETCH) <= 4 * s.edits,
     )
-    places = every.select("doc_id", "text_hash", "line_no", F.col("node").alias("class"))
-    if roots is not None:
-        places = places.join(written(roots.toDF("class", "root"), "roots"), "class", "left").withColumn(
-            "class", F.coalesce("root", "class")
-        )
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "line_no")
-    places = written(places.select("doc_id", "text_hash", "line_no", "class"), "places")
-    # Written, so that the join can split a class that holds a large share of all lines.
-    first = written(places.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
-    return places.join(first, "class", "left").select(
-        "doc_id",
-        "text_hash",
-        "line_no",
-        "class",
-        F.coalesce("n", F.lit(1)).alias("n"),
-        (F.col("n").isNull() | (place == F.col("first"))).alias("stays"),
+    places = written(every.select("doc_id", "text_hash", "line_no", "node"), "places")
+    # One row per distinct line: its occurrences, and those of the lines linked with it.
+    distinct = places.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+    if links is None:
+        distinct = written(distinct.where("copies > 1"), "distinct")
+        shared = distinct.select("node", F.col("node").alias("class"), "first", (F.col("copies") - 1).alias("links"))
+    else:
+        roots = written(components(links).toDF("node", "class"), "roots")
+        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("node", "other")
+        distinct = distinct.join(roots, "node", "left").where("copies > 1 or class is not null")
+        distinct = written(distinct.withColumn("class", F.coalesce("class", "node")), "distinct")
+        others = both.join(distinct.select(F.col("node").alias("other"), "copies"), "other")
+        others = others.groupBy("node").agg(F.sum("copies").alias("others"))
+        classes = distinct.groupBy("class").agg(F.min("first").alias("first"))
+        shared = distinct.select("node", "class", "copies").join(others, "node", "left").join(classes, "class")
+        shared = shared.select("node", "class", "first", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    # Written, so that the join can split a line that is a large share of all lines.
+    return places.join(written(shared, "shared"), "node").select(
+        "doc_id", "text_hash", "line_no", "class", "links", (place == F.col("first")).alias("stays")
     )
 
 
@@ -261,15 +269,15 @@ def drop_repeated_lines(docs: DataFrame, s: LineSettings = LineSettings()) -> Da
     """``docs`` with ``text`` without repeated lines, and columns of what was done. Runs jobs.
 
     ``n_lines``; ``n_removed``; ``classes``: the classes of its lines that others share, in order;
-    ``n_links``: the other occurrences in these classes.
+    ``n_links``: over its lines, the other occurrences that are equal or within the edits. In a class that is
+    a chain these are fewer than the class has.
     """
     removed = (
         line_classes(docs, s)
-        .where("n > 1")
         .groupBy(F.col("doc_id").alias("__key_id"), F.col("text_hash").alias("__key_hash"))
         .agg(
             F.collect_set(F.when(~F.col("stays"), F.col("line_no"))).alias("__gone"),
-            F.sum(F.col("n") - 1).alias("__links"),
+            F.sum("links").alias("__links"),
             F.array_distinct(F.transform(F.array_sort(F.collect_set(F.struct("line_no", "class"))), lambda x: x["class"])).alias("__shared"),
         )
     )

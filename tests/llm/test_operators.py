@@ -265,6 +265,29 @@ def test_short_repeats_go_and_are_not_linked_by_edits(spark, tmp_path):
     assert {r.doc_id: r.text for r in staged.collect()} == dict(enumerate([*kept[:4], None]))
 
 
+@pytest.mark.parametrize("shape", ["chain", "star", "random"])
+def test_links_are_lines_within_the_edits(spark, shape):
+    draw = random.Random(7)
+    base = "a very frequent line of some length: "
+    if shape == "chain":
+        found = [base + "".join("xy"[k < n] for k in range(9)) for n in range(10)]
+    elif shape == "star":
+        found = [base, *(base[: 3 * k] + "##" + base[3 * k :] for k in range(10))]
+    else:
+        found = [changed(draw, base, draw.randint(0, 3), "xyz") for _ in range(60)]
+    texts = ["\n".join([*draw.choices(found, k=4), "short"]) for _ in range(40)] + found
+    places = [(i, line) for i, text in enumerate(texts) for line in text.split("\n")]
+    near = {(a, b): a == b or (min(len(a), len(b)) >= 30 and distance(a, b) <= 2) for a in {p[1] for p in places} for b in {p[1] for p in places}}
+    want = [0] * len(texts)
+    for n, (i, a) in enumerate(places):
+        want[i] += sum(near[a, b] for m, (_, b) in enumerate(places) if m != n)
+    rows = lines.drop_repeated_lines(make_docs(spark, texts), lines.EVERY_LINE).collect()
+    assert {r.doc_id: r.n_links for r in rows} == dict(enumerate(want))
+    if shape != "random":
+        assert {c for r in rows if r.doc_id >= 40 for c in r.classes} == {rows[0].classes[0]}
+        assert sum(r.n_removed for r in rows) == len(places) - 2
+
+
 # --- 6: packing ---------------------------------------------------------------------------
 
 
