@@ -4,9 +4,11 @@ Each turn becomes ``<|im_start|>role\\ntext<|im_end|>\\n``. Control strings insi
 escaped by a backslash after their first character; a control string that has backslashes there
 already gets one more, so unescaping is exact. A long conversation becomes several windows of at
 most ``budget`` tokens. The prefix sums of its turns' tokens say where windows can end, always between
-turns. Each later window repeats the leading system turn and up to ``history`` tokens of the turns
-just before it; the loss mask covers the assistants' texts, but never repeated ones, so each is
-learned once. A turn that is longer than the budget is a window of its own.
+turns. Each later window repeats the leading system turn, if it and the window's first own turn fit the
+budget together, and up to ``history`` tokens of the turns just before it; the loss mask covers the
+assistants' texts, but never repeated ones, so each is learned once. A turn that is longer than the
+budget is a window of its own, with nothing repeated; no other window passes the budget. A system turn that
+fills the budget is never repeated.
 
 Scale: prefix sums over a conversation of any length come from two levels, sums of blocks of turns and
 sums within a block. The prefix also deals a conversation into *segments* of ``segment`` budgets;
@@ -123,7 +125,7 @@ def with_prefix(turns: DataFrame, settings: ChatSettings) -> DataFrame:
 
 
 def in_segments(turns: DataFrame, settings: ChatSettings) -> DataFrame:
-    """Each turn in its segment, as history in the next one, and the system turn in all later ones."""
+    """Each turn in its segment, as history in the next one, and a system turn below the budget in all later ones."""
     size = settings.budget * settings.segment
     own = F.floor(F.col("prefix") / size).cast("int")
     last = F.floor((F.col("total") - 1) / size).cast("int")
@@ -135,7 +137,7 @@ def in_segments(turns: DataFrame, settings: ChatSettings) -> DataFrame:
         F.when(~system & (own < last) & (after > (own + 1) * size - settings.history), F.array(place(own + 1, "history"))).otherwise(
             F.array().cast("array<struct<segment:int,kind:string>>")
         ),
-        F.when(system & (last > own), F.transform(F.sequence(own + 1, last), lambda s: place(s, "system"))).otherwise(
+        F.when(system & (F.col("tokens") < settings.budget) & (last > own), F.transform(F.sequence(own + 1, last), lambda s: place(s, "system"))).otherwise(
             F.array().cast("array<struct<segment:int,kind:string>>")
         ),
     )
@@ -156,7 +158,7 @@ def cut_windows(turns: pd.DataFrame, settings: ChatSettings) -> list[tuple]:
     sums = np.concatenate([[0], np.cumsum([r.tokens for r in own])])
     out, first = [], 0
     while first < len(own):
-        repeated = [r for r in lead if r is not own[first]]
+        repeated = [r for r in lead if r is not own[first] and r.tokens + own[first].tokens <= settings.budget]
         room = settings.budget - sum(r.tokens for r in repeated)
         history: list = []
         left = min(settings.history, room - own[first].tokens)

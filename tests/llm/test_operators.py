@@ -134,6 +134,20 @@ def test_chats_come_back_from_windows(spark):
         assert got[conv] == (len(own), sha("".join(f"{r}\n{x}\n" for _, r, x in own)), len(learned), sha(learned))
 
 
+@pytest.mark.parametrize("words", [120, 197, 400])
+def test_a_long_system_turn_leaves_the_budget(spark, words):
+    sizes = [words, *[5, 100, 60, 150, 20, 300, 100] * 6]
+    rows = [(1, i, "system" if i == 0 else ("user", "assistant")[i % 2], f"{i}" + " word" * n) for i, n in enumerate(sizes)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.format_chats(turns, BPE_JSON, chat.ChatSettings(budget=200, history=50, segment=3, block=16)).cache()
+    found = [(chat.parse(w.formatted), w) for w in windows.collect()]
+    assert all(w.tokens <= 200 or (len(said) == 1 and w.repeated == 0) for said, w in found)
+    again = [said for said, w in found if w.repeated and said[0][0] == "system"]
+    assert bool(again) == (words < 180)
+    own = [turn for said, w in sorted(found, key=lambda x: (x[1].segment, x[1].window)) for turn in said[w.repeated :]]
+    assert own == [(r, x) for _, _, r, x in rows]
+
+
 def test_no_chats(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_chats(chat.format_chats(turns, BPE_JSON)).count() == 0
