@@ -351,6 +351,27 @@ def test_pieces_of_documents(spark, docs, none):
     assert packing.pack_documents(none, BPE_JSON).count() == 0
 
 
+@pytest.mark.parametrize("share", [2, 4])
+def test_pieces_under_a_loss_mask(spark, share):
+    draw = random.Random(share)
+    texts = [None, "", "one", *("some words " * draw.randint(1, 250) for _ in range(60))]
+    limits = packing.PackingLimits(tokens=256, segments=8, loss_tokens=60, pool_tokens=4000)
+    rows = packing.pack_documents(make_docs(spark, texts), BPE_JSON, limits, lambda text, ids: len(ids) - len(ids) // share).collect()
+    encode = fast_tokenizer(BPE_JSON)
+    totals = [len(encode(t or "")) + 1 for t in texts]
+    assert {r.doc_id: r.doc_tokens for r in rows} == dict(enumerate(totals))
+    by_sequence: dict[int, list] = {}
+    for i, total in enumerate(totals):
+        at = 0
+        for r in sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start):
+            assert r.start == at
+            at += r.length
+            by_sequence.setdefault(r.sequence_id, []).append((r.length, min(r.length, max(0, at - (total - total // share)))))
+        assert at == total
+    assert all(len(s) <= 8 and sum(n for n, _ in s) <= 256 and sum(x for _, x in s) <= 60 for s in by_sequence.values())
+    assert any(sum(x for _, x in s) == 60 and sum(n for n, _ in s) > 60 for s in by_sequence.values())
+
+
 # --- 7: near copies -----------------------------------------------------------------------
 
 
