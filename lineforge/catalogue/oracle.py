@@ -336,6 +336,18 @@ def oracle_sql() -> dict[str, str]:
         ),
         "table_roundtrip": _star(f"SELECT {FACT_LIST} FROM fact"),
         "csv_export_roundtrip": _star(f"SELECT {FACT_LIST} FROM fact"),
+        "csv_export_texts": """
+    SELECT p_partkey, CASE p_partkey % 9
+        WHEN 0 THEN '"' || p_name || '"'
+        WHEN 1 THEN p_name || ', "x", ' || p_name
+        WHEN 2 THEN 'a' || chr(10) || p_name || chr(10) || '"'
+        WHEN 3 THEN p_name || chr(92)
+        WHEN 4 THEN chr(92) || '"' || p_name || chr(92) || '",' || chr(10)
+        WHEN 5 THEN '  ' || p_name || ' '
+        WHEN 6 THEN ''
+        WHEN 7 THEN NULL
+        ELSE p_name || chr(13) || chr(10) || 'y' END AS note
+    FROM part""",
         "csv_export_tables": _star(_table_counts(_GOLD, with_layer=False)),
         "profile_distinct": _raw(
             "SELECT "

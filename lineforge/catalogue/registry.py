@@ -218,6 +218,28 @@ def csv_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(lines.schema).csv(f"{path}/fact_order_line", header=True, escape='"')
 
 
+def csv_export_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Product names with quotes, commas, line breaks, backslashes and blanks, exported as CSV and read back."""
+    path, name = new_path(spark, "export"), F.col("p_name")
+    awkward = [
+        F.concat(F.lit('"'), name, F.lit('"')),
+        F.concat(name, F.lit(', "x", '), name),
+        F.concat(F.lit("a\n"), name, F.lit('\n"')),
+        F.concat(name, F.lit("\\")),
+        F.concat(F.lit('\\"'), name, F.lit('\\",\n')),
+        F.concat(F.lit("  "), name, F.lit(" ")),
+        F.lit(""),
+        F.lit(None).cast("string"),
+        F.concat(name, F.lit("\r\ny")),
+    ]
+    texts = spark.read.parquet(f"{folder}/part.parquet").select(
+        "p_partkey", F.element_at(F.array(*awkward), (F.col("p_partkey") % len(awkward) + 1).cast("int")).alias("note")
+    )
+    export_csv({"notes": texts}, path)
+    # Another mark of null than the empty text, which Spark would read as null as well, though it is written as "".
+    return spark.read.schema(texts.schema).csv(f"{path}/notes", header=True, escape='"', multiLine=True, nullValue="\0")
+
+
 def csv_export_tables(spark: SparkSession, folder: str) -> DataFrame:
     """All gold tables exported; rows that each folder gives back."""
     lake = lakehouse_for(spark, folder)
@@ -292,6 +314,7 @@ _QUERIES: dict[str, Query] = {
     "date_parse": date_parse,
     "table_roundtrip": table_roundtrip,
     "csv_export_roundtrip": csv_export_roundtrip,
+    "csv_export_texts": csv_export_texts,
     "csv_export_tables": csv_export_tables,
     "profile_distinct": _raw(lambda raw: profile_distinct(raw, JUNK_COLUMNS)),
     "profile_constant_columns": _raw(profile_constant_columns),
