@@ -99,5 +99,17 @@ def queries() -> dict[str, Query]:
     }
 
 
+OP9_SQL = r"""
+WITH plain AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
+), groups AS (
+    SELECT text, min(doc_id) AS first_id, count(*) AS n FROM plain GROUP BY text
+), kept AS (
+    SELECT doc_id, CASE WHEN n = 1 THEN doc_id ELSE first_id END AS keep_id, n, text FROM plain JOIN groups USING (text)
+)
+SELECT doc_id, keep_id, n AS group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(text) AS text_sha256 FROM kept
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_naming": OP9_SQL}

@@ -513,6 +513,28 @@ def test_stages_on_awkward_and_empty_rows(spark, docs, none, small_dir):
             assert stage(spark, frame, small_dir).count() >= 0
 
 
+def test_quality_stage_on_awkward_and_empty_rows(spark, docs, none, small_dir):
+    stage = corpus_pipeline.STAGES[0][1]
+    assert stage(spark, none, small_dir).count() == 0
+    kept = stage(spark, docs, small_dir)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in kept.collect()} <= set(enumerate(TEXTS))
+
+
+def test_block_names_against_sql(spark, small_dir, tmp_path):
+    import duckdb
+
+    texts = [*TEXTS, None, "", " ", "\t\n", "A b\x0bC\r\n"]
+    make_docs(spark, texts, [*range(len(texts) - 1), None]).write.parquet(str(tmp_path / "documents.parquet"))
+    for folder, files in ((small_dir, "documents.parquet"), (str(tmp_path), "documents.parquet/*.parquet")):
+        duck = duckdb.connect()
+        duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/{files}'")
+        cursor = duck.execute(registry.oracle_sql()["op9_naming"])
+        df = registry.op9_naming(spark, folder)
+        assert [c[0] for c in cursor.description] == df.columns
+        assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, cursor.fetchall()))
+
+
 def test_queries_are_named_by_number():
     names = list(registry.queries())
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
