@@ -1,5 +1,5 @@
 """Operations of a training-data pipeline over documents, pages, conversations and vectors.
 
 Nothing else in the library imports this subpackage. One module per operation; ``registry``
-holds the registered queries, and the SQL of ``op9_naming``; the others are tested by brute force.
+holds the registered queries and ``oracle`` the SQL of those that have one; all are tested by brute force.
 """

@@ -8,10 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineforge.llm import bpe, chat, lines, minhash, naming, packing, quality, secrets, topk, warc
+from lineforge.llm import (
+    alignment,
+    bpe,
+    chat,
+    collocations,
+    lines,
+    minhash,
+    naming,
+    ngram_join,
+    packing,
+    quality,
+    secrets,
+    topk,
+    warc,
+)
+from lineforge.llm.oracle import oracle_sql
 from lineforge.llm.shipping import ship_package
 from lineforge.llm.tables import written
 
+__all__ = ["oracle_sql", "queries"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -81,6 +98,20 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.score_alignment(table(spark, folder, "documents"), *paths)
+
+
+def op12_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    settings = ngram_join.JoinSettings(width=3, percent=90)
+    return ngram_join.similar_documents(table(spark, folder, "documents"), settings)
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -95,21 +126,8 @@ def queries() -> dict[str, Query]:
             op8_bpe,
             op9_naming,
             op10_topk,
+            op11_alignment,
+            op12_ngrams,
+            op13_collocations,
         )
     }
-
-
-OP9_SQL = r"""
-WITH plain AS (
-    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
-), groups AS (
-    SELECT text, min(doc_id) AS first_id, count(*) AS n FROM plain GROUP BY text
-), kept AS (
-    SELECT doc_id, CASE WHEN n = 1 THEN doc_id ELSE first_id END AS keep_id, n, text FROM plain JOIN groups USING (text)
-)
-SELECT doc_id, keep_id, n AS group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(text) AS text_sha256 FROM kept
-"""
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op9_naming": OP9_SQL}

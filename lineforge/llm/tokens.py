@@ -31,16 +31,21 @@ def byte_symbols() -> dict[str, int]:
 
 
 @lru_cache
-def fast_tokenizer(path: str) -> Callable[[str], np.ndarray]:
+def fast_tokenizer(path: str, special_as_text: bool = False) -> Callable[[str], np.ndarray]:
     """``tokenizers``' ids of a text, without added tokens around it, at several times the speed.
 
     The file's byte-level merges run in ``tiktoken``, which takes the vocabulary as ranks. Texts
     that hold an added token's string, or characters of which the two libraries' tables of letters
-    and spaces could differ (beyond the Latin blocks), go through ``tokenizers`` itself.
+    and spaces could differ (beyond the Latin blocks), go through ``tokenizers`` itself, and so does
+    everything if the file asks for more than byte-level merges. ``special_as_text`` takes added
+    tokens' strings for ordinary text.
     """
     slow = Tokenizer.from_file(path)
+    slow.encode_special_tokens = special_as_text
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
+    if not _only_merges(model):
+        return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
     symbols = byte_symbols()
     added = [t["content"] for t in model.get("added_tokens", [])]
     ranks = {
@@ -56,5 +61,13 @@ def fast_tokenizer(path: str) -> Callable[[str], np.ndarray]:
     return encode
 
 
+def _only_merges(model: dict) -> bool:
+    """Whether a tokenizer file splits text by ``PATTERN`` into bytes and merges them, and nothing else."""
+    split, merges = model.get("pre_tokenizer") or {}, model["model"]
+    plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    extras = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    return plain and not model.get("normalizer") and merges.get("type") == "BPE" and not any(merges.get(k) for k in extras)
+
+
 # Anything but ASCII, Latin letters up to U+024F and general punctuation, and a few controls in them.
 _RARE = re.compile("[^\x00-\x1b\x20-\x84\x86-\u024f\u2000-\u206f]")
