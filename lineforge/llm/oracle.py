@@ -91,18 +91,19 @@ WITH pieces AS (
     SELECT lang, 2, unnest([array_to_string(w[i:i + 1], ' ') for i in range(1, len(w))]) FROM words
     UNION ALL
     SELECT lang, 3, unnest([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)]) FROM words
-), counts AS (
+), counts AS MATERIALIZED (
     SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
 ), candidates AS (
     SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10
 ), cuts AS (
     SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM candidates
-), scored AS (
-    SELECT c.lang, c.phrase, c.k, a, cut, l.f AS l, r.f AS r,
-           (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
-    FROM cuts c
-    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
-    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+), parts AS (
+    SELECT *, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS rest FROM cuts
+), headed AS MATERIALIZED (
+    SELECT parts.*, counts.f AS l FROM parts JOIN counts ON counts.lang = parts.lang AND counts.phrase = head
+), scored AS MATERIALIZED (
+    SELECT h.lang, h.phrase, h.k, a, cut, l, counts.f AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * counts.f) AS score
+    FROM headed h JOIN counts ON counts.lang = h.lang AND counts.phrase = rest
 ), lowest AS (
     SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 ), inner_phrases AS (
