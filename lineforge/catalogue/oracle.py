@@ -178,6 +178,36 @@ dim_customer AS (
   FROM versions
 )"""
 
+MODES = """
+observed AS (
+  SELECT customer_id, order_date, shipping_mode,
+         row_number() OVER (PARTITION BY customer_id, order_date ORDER BY order_item_id DESC) AS line_no
+  FROM silver WHERE order_date IS NOT NULL
+  QUALIFY line_no = 1
+),
+previous AS (
+  SELECT o.customer_id, o.order_date, max(p.order_date) AS day_before
+  FROM observed o LEFT JOIN observed p ON p.customer_id = o.customer_id AND p.order_date < o.order_date
+  GROUP BY o.customer_id, o.order_date
+),
+starts AS (
+  SELECT o.customer_id, o.shipping_mode, o.order_date AS start_date
+  FROM observed o JOIN previous USING (customer_id, order_date)
+  LEFT JOIN observed p ON p.customer_id = o.customer_id AND p.order_date = day_before
+  WHERE day_before IS NULL OR o.shipping_mode IS DISTINCT FROM p.shipping_mode
+),
+ends AS (
+  SELECT s.customer_id, s.shipping_mode, s.start_date,
+         CAST(coalesce(min(n.start_date) - 1, DATE '9999-12-31') AS DATE) AS end_date, min(n.start_date) IS NULL AS is_current
+  FROM starts s LEFT JOIN starts n ON n.customer_id = s.customer_id AND n.start_date > s.start_date
+  GROUP BY s.customer_id, s.shipping_mode, s.start_date
+),
+mode_versions AS (
+  SELECT e.customer_id, e.shipping_mode, start_date, end_date, is_current, max(o.order_date) AS last_seen
+  FROM ends e JOIN observed o ON o.customer_id = e.customer_id AND o.order_date BETWEEN start_date AND end_date
+  GROUP BY e.customer_id, e.shipping_mode, start_date, end_date, is_current
+)"""
+
 FACT = """
 fact AS (
   SELECT s.order_item_id, s.order_id, c.customer_key, p.product_key, g.geo_key,
@@ -393,6 +423,15 @@ def oracle_sql() -> dict[str, str]:
             CUSTOMER,
         ),
         "dim_customer": _silver("SELECT * FROM dim_customer", CUSTOMER),
+        "scd2_from_snapshots": _silver("SELECT * FROM mode_versions", MODES),
+        "scd2_merge_snapshots": _silver("SELECT * FROM mode_versions", MODES),
+        "temporal_join_versions": _silver(
+            """
+            SELECT order_item_id, s.customer_id, ship_date, v.shipping_mode AS valid_mode, start_date AS valid_since
+            FROM silver s LEFT JOIN mode_versions v
+            ON v.customer_id = s.customer_id AND ship_date BETWEEN start_date AND end_date""",
+            MODES,
+        ),
         "temporal_join_customer": _star("SELECT order_item_id, customer_key FROM fact"),
         "fact_product_fk": _star("SELECT order_item_id, product_key FROM fact"),
         "fact_geo_fk": _star("SELECT order_item_id, geo_key FROM fact"),

@@ -22,11 +22,15 @@ from lineforge.operators import (
     current_versions,
     date_bounds,
     date_spine,
+    day_observations,
     former_versions,
     key_report,
+    merge_snapshots,
     profile_constant_columns,
     profile_distinct,
+    scd2_from_snapshots,
     scd2_versions,
+    temporal_join,
 )
 from lineforge.operators.history import mark_changed
 from lineforge.plans import dashboard, fact, kpi
@@ -183,6 +187,38 @@ def scd2_sample(spark: SparkSession, folder: str) -> DataFrame:
     return shown.orderBy("customer_id", "start_date").limit(5)
 
 
+MODE = ["shipping_mode"]
+
+# Between the first and the second half of the observed days, for the merge of the two.
+MERGED_FROM = "1995-06-17"
+
+
+def _mode_observations(spark: SparkSession, folder: str) -> DataFrame:
+    """How each customer's last line of a day was shipped."""
+    return day_observations(lakehouse_for(spark, folder).silver(), "customer_id", "order_date", MODE, GRAIN)
+
+
+def mode_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """History of each customer's shipping mode, from the days on which the customer ordered."""
+    return scd2_from_snapshots(_mode_observations(spark, folder), "customer_id", "order_date", MODE)
+
+
+def mode_versions_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The same history, its second half merged into what the first half gave."""
+    seen, late = _mode_observations(spark, folder), F.col("order_date") >= F.to_date(F.lit(MERGED_FROM))
+    stored = scd2_from_snapshots(seen.where(~late), "customer_id", "order_date", MODE)
+    return merge_snapshots(stored, seen.where(late), "customer_id", "order_date", MODE)
+
+
+def temporal_join_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Each line with its customer's shipping mode as of the day it was shipped."""
+    lines = lakehouse_for(spark, folder).silver().select(GRAIN, "customer_id", "ship_date")
+    take = {"shipping_mode": "valid_mode", "start_date": "valid_since"}
+    return temporal_join(
+        lines, mode_versions(spark, folder), "customer_id", "ship_date", "start_date", "end_date", take, many_versions=0
+    )
+
+
 # --- fact -------------------------------------------------------------------------------
 
 
@@ -337,6 +373,9 @@ _QUERIES: dict[str, Query] = {
     "scd2_history_rows": _on_marked(lambda m: former_versions(m, "customer_segment", HISTORY)),
     "scd2_dim": _on_marked(lambda m: scd2_versions(m, "customer_segment", HISTORY)),
     "scd2_sample": scd2_sample,
+    "scd2_from_snapshots": mode_versions,
+    "scd2_merge_snapshots": mode_versions_merged,
+    "temporal_join_versions": temporal_join_versions,
     "dim_customer": _silver(lambda silver: customer_dimension(silver, TABLE_SETTINGS)),
     "temporal_join_customer": _foreign_key(fact.customer_fk, "dim_customer", "customer_key"),
     "fact_product_fk": _foreign_key(fact.product_fk, "dim_product", "product_key"),

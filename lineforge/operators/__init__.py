@@ -12,6 +12,8 @@ from lineforge.operators.history import (
 from lineforge.operators.joins import Spread, lookup_join, temporal_join
 from lineforge.operators.keys import dense_key, key_report
 from lineforge.operators.profile import profile_constant_columns, profile_distinct
+from lineforge.operators.snapshots import day_observations, merge_snapshots, scd2_from_snapshots
+from lineforge.operators.sweep import sweep_join
 
 __all__ = [
     "Spread",
@@ -20,16 +22,20 @@ __all__ = [
     "current_versions",
     "date_bounds",
     "date_spine",
+    "day_observations",
     "dense_key",
     "first_per_key",
     "former_versions",
     "key_report",
     "latest_per_key",
     "lookup_join",
+    "merge_snapshots",
     "natural_rows",
     "profile_constant_columns",
     "profile_distinct",
+    "scd2_from_snapshots",
     "scd2_simulated",
     "scd2_versions",
+    "sweep_join",
     "temporal_join",
 ]

@@ -1,33 +1,102 @@
 """One row per key, the same one on every run.
 
-Both forms are aggregates over a struct, so each map task already reduces a key to one row:
-a key that holds a third of the table sends one row per map task through the shuffle.
+No form sorts all rows. Where one column of fixed size orders the rows of a key, its extreme is a hash
+aggregate, and the few rows that hold it are found again by a join. Otherwise the key alone is counted:
+rows of a key that occurs once pass through as they are, and only repeated keys are settled by whole
+rows. Either way each map task already reduces a key to one narrow row, so that a key which holds a
+third of the table is no different from any other.
+
+The table is read twice or three times, the first time only its key and order columns; give one that
+is stored. The jobs that find the extremes or the repeated keys run when these are called.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lineforge.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, LEAST_HOT_ROWS, may_broadcast
+from lineforge.storage import materialise, shuffle_tasks
+
+# Types whose values an aggregate can update in place, in a hash table.
+FIXED_SIZE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The row of each key that is smallest by ``order`` (nulls first), then by its other columns."""
-    rest = [c for c in df.columns if c not in key and c not in order]
-    best = F.min(F.struct(*order, *rest)).alias("_best")
-    return df.groupBy(*key).agg(best).select(*_restore(df, key))
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, FIXED_SIZE):
+        return _smallest_per_key(df, key, order[0])
+    counts = df.groupBy(*key).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    repeated = materialise(counts, "repeated-keys")
+    rows = repeated.count()
+    if not rows:
+        return df
+    if rows <= BROADCAST_ROWS and may_broadcast(repeated, rows, BROADCAST_BYTES):
+        once, again = _split(df, repeated, key, True)
+        return once.unionAll(_settled(again, key, order))
+    # Keys that would fill a task of the join go first; there are no more of them than such tasks.
+    total = repeated.agg(F.sum("_rows")).first()[0]
+    hot_from = max(math.ceil(total / shuffle_tasks(df.sparkSession)), LEAST_HOT_ROWS)
+    rest, hot = _split(df, repeated.where(F.col("_rows") > hot_from), key, True)
+    once, again = _split(rest, repeated.where(F.col("_rows") <= hot_from), key, False)
+    return once.unionAll(_settled(again, key, order)).unionAll(_settled(hot, key, order))
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order_column: str, tie_break: str) -> DataFrame:
     """The row of each key with the largest ``order_column`` (nulls last), then the smallest tie-break."""
     if not isinstance(df.schema[tie_break].dataType, T.NumericType):
         raise TypeError(f"the tie-break column {tie_break} must be numeric")
-    rest = [c for c in df.columns if c not in key and c != order_column]
-    best = F.max(F.struct(order_column, -F.col(tie_break), *rest)).alias("_best")
-    return df.groupBy(*key).agg(best).select(*_restore(df, key))
+    at, tie = F.col(order_column), F.col(tie_break)
+    if not isinstance(df.schema[order_column].dataType, FIXED_SIZE):
+        return _settled(df, key, (), F.max, (at, -tie))
+    # Once a key has one row per value of the order column, the largest one has one tie-break.
+    per_value = df.groupBy(*key, order_column).agg(F.min(tie).alias("_tie"))
+    without = F.min(F.when(at.isNull(), F.col("_tie")))
+    best = per_value.groupBy(*key).agg(
+        F.max(at).alias("_at"), F.when(F.max(at).isNull(), without).otherwise(F.max_by("_tie", at)).alias("_tie")
+    )
+    return _settled(_holders(df, best, key, {order_column: "_at", tie_break: "_tie"}), key, (), F.max, (at, -tie))
+
+
+def _smallest_per_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
+    """As ``first_per_key``, by one column of fixed size."""
+    least = F.when(F.count(order) == F.count("*"), F.min(order))
+    return _settled(_holders(df, df.groupBy(*key).agg(least.alias("_least")), key, {order: "_least"}), key, [order])
 
 
-def _restore(df: DataFrame, key: Sequence[str]) -> list:
-    return [F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns]
+def _holders(df: DataFrame, best: DataFrame, key: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """The rows of ``df`` that hold their key's best values."""
+    best = materialise(best.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)], *values.values()), "best")
+    rows = best.count()
+    if rows <= BROADCAST_ROWS and may_broadcast(best, rows, BROADCAST_BYTES):
+        best = F.broadcast(best)
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(key)]
+    same += [F.col(column).eqNullSafe(F.col(value)) for column, value in values.items()]
+    return df.join(best, reduce(Column.__and__, same), "left_semi")
+
+
+def _split(df: DataFrame, keys: DataFrame, key: Sequence[str], small: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is not among ``keys``, and rows whose key is."""
+    named = keys.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)])
+    named = F.broadcast(named) if small else named
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(key)])
+    return df.join(named, same, "left_anti"), df.join(named, same, "left_semi")
+
+
+def _settled(
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    extreme: Callable[[Column], Column] = F.min,
+    before: Sequence[Column] = (),
+) -> DataFrame:
+    """One row per key by comparing whole rows: for the few that other means leave open."""
+    rest = [c for c in df.columns if c not in key and c not in order]
+    placed = [F.struct(*before).alias("_before")] if before else []
+    best = extreme(F.struct(*placed, *order, *rest)).alias("_best")
+    return df.groupBy(*key).agg(best).select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns])

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineforge.operators.sweep import sweep_join
 from lineforge.storage import materialise, shuffle_tasks
 
 # Up to this many counted rows, and this many bytes of their columns, go to every executor.
@@ -23,6 +24,9 @@ BROADCAST_BYTES = 100 << 20
 # What a value of fixed size takes in a row, and a text beside its letters.
 VALUE_BYTES = 8
 
+# More versions of one entity than this are swept by day rather than all met by each line.
+MANY_VERSIONS = 64
+
 # Fewer rows of one key than this are no burden, whatever the other tasks hold.
 LEAST_HOT_ROWS = 100_000
 
@@ -93,7 +97,7 @@ def lookup_join(
 
     columns = fact.columns
     small = dim_rows is not None and dim_rows <= broadcast_rows
-    if small and _may_broadcast(right, dim_rows, broadcast_bytes):
+    if small and may_broadcast(right, dim_rows, broadcast_bytes):
         right = F.broadcast(right)
     elif spread is not None:
         hot = hot_keys(spread, [left for left, _ in pairs])
@@ -113,9 +117,18 @@ def temporal_join(
     end: str,
     take: Mapping[str, str] | Sequence[str],
     how: str = "left",
+    many_versions: int = MANY_VERSIONS,
     **options,
 ) -> DataFrame:
-    """Fact plus the version of its entity that was valid on the day ``at``; null if none was."""
+    """Fact plus the version of its entity that was valid on the day ``at``; null if none was.
+
+    A join by entity alone lets a line meet all versions of its entity. With an entity of more than
+    ``many_versions``, counted by a job that runs when this is called, lines and versions are swept
+    in the order of days instead; versions of an entity must not overlap then.
+    """
+    versions = dim.groupBy(key).count().where(F.col(key).isNotNull()).agg(F.max("count")).first()[0]
+    if versions and versions > many_versions:
+        return sweep_join(fact, dim, key, at, start, end, take, how)
     return lookup_join(fact, dim, {key: key}, take, during=(at, start, end), how=how, **options)
 
 
@@ -138,7 +151,7 @@ def hot_keys(spread: Spread, keys: list[str]) -> DataFrame:
     return materialise(hot, "hot-keys")
 
 
-def _may_broadcast(df: DataFrame, rows: int, most_bytes: int) -> bool:
+def may_broadcast(df: DataFrame, rows: int, most_bytes: int) -> bool:
     """Whether ``rows`` counted rows fit, by the lengths of their texts, and broadcasts are on."""
     threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if threshold.startswith("-"):
