@@ -37,16 +37,16 @@ _BATCH = -1
 Fingerprints = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
 
 
-def _squeeze(raw: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+def squeeze(raw: bytes, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(raw)
 
 
-def _expand(raw: bytes) -> bytes:
+def expand(raw: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(raw)
 
 
 def _bytes_of(raw: bytes) -> np.ndarray:
-    return np.frombuffer(_expand(raw), np.uint8)
+    return np.frombuffer(expand(raw), np.uint8)
 
 
 def pack_batches(df: DataFrame, text: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -61,7 +61,7 @@ def pack_batches(df: DataFrame, text: str, batch_bytes: int = BATCH_BYTES) -> Da
             table = pa.Table.from_batches(held)
             with pa.ipc.new_stream(sink, table.schema) as out:
                 out.write_table(table)
-            payload = _squeeze(sink.getvalue().to_pybytes())
+            payload = squeeze(sink.getvalue().to_pybytes())
             return pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([size]), pa.array([payload], pa.binary())], names=["batch", "size", "payload"]
             )
@@ -82,14 +82,14 @@ def pack_batches(df: DataFrame, text: str, batch_bytes: int = BATCH_BYTES) -> Da
 
 
 def _unpack(payload: bytes) -> pa.Table:
-    return pa.ipc.open_stream(_expand(payload)).read_all()
+    return pa.ipc.open_stream(expand(payload)).read_all()
 
 
 def _encode(h: np.ndarray, counts: np.ndarray) -> bytes:
     """Ascending fingerprints as differences, and counts, both byte plane by byte plane."""
     planes = np.diff(h, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
     tail = counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T
-    return _squeeze(planes.tobytes() + tail.tobytes())
+    return squeeze(planes.tobytes() + tail.tobytes())
 
 
 def _decode(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +145,7 @@ def with_counts(
         codes = np.empty(len(h), np.uint8)
         codes[order] = code(totals)[np.cumsum(new) - 1]
         cut = np.cumsum([0, *(len(x[0]) for x in sent)])
-        answers = [_squeeze(codes[cut[i] : cut[i + 1]].tobytes()) for i in range(len(ids))]
+        answers = [squeeze(codes[cut[i] : cut[i + 1]].tobytes()) for i in range(len(ids))]
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array([part] * len(ids), pa.int32()), pa.array(answers, pa.binary())],
             names=["batch", "part", "payload"],

@@ -4,7 +4,8 @@ A phrase that occurs ``least`` times consists of parts that occur as often, so a
 needs counting only if both its parts of one word less are frequent. ``census`` counts the fingerprints
 of all shorter n-grams and tells every batch which of its own are frequent; that drops most of a corpus
 and loses no candidate, since a shared fingerprint can only raise a count. What is left is counted exactly,
-by its text: each batch adds up its own, one shuffle the rest.
+by its text: each batch adds up its own phrases and sends them, compressed and dealt by the hash of the
+whole phrase, to where they are added up.
 
 The counts, a small part of the corpus, are then two streams: one in prefix order (a phrase's first words)
 and one in suffix order (its last words). Every cut of a candidate meets the count of its first part in
@@ -33,10 +34,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lineforge.llm.census import pack_batches, with_counts
+from lineforge.llm.census import expand, pack_batches, squeeze, with_counts
 from lineforge.llm.shingles import LOWER, word_hashes
 from lineforge.llm.tables import written
 from lineforge.llm.text import mix, runs, utf8
+from lineforge.storage import shuffle_tasks
 
 # Bytes that end a piece of text, and those that part its words.
 BREAKS = np.zeros(256, bool)
@@ -129,11 +131,38 @@ def _counted(words: _Words, heads: np.ndarray, order: int) -> tuple[np.ndarray,
 
 GRAMS = "lang string, order int, phrase string, n long"
 
+# Groups of phrases per language, each cut to the best rows before the final ranking.
+RANKED_APART = 64
+
+
+def _pack(langs: pa.Array, lang: np.ndarray, text: pa.Array, n: np.ndarray) -> bytes:
+    """Counted phrases as one compressed blob: language codes, counts, lengths, letters."""
+    data, offsets = utf8(text)
+    planes = lambda x: x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+    names = pa.array([langs.to_pylist()], pa.list_(pa.string()))
+    parts = [planes(lang), planes(n), planes(np.diff(offsets)), data.tobytes()]
+    row = pa.RecordBatch.from_arrays([names, *(pa.array([x], pa.large_binary()) for x in parts)], names=["langs", "lang", "n", "size", "data"])
+    return squeeze(row.serialize().to_pybytes(), 3)
+
+
+_PACKED = pa.schema([("langs", pa.list_(pa.string()))] + [(name, pa.large_binary()) for name in ("lang", "n", "size", "data")])
+
+
+def _unpack(blob: bytes) -> pa.Table:
+    row = pa.ipc.read_record_batch(pa.py_buffer(expand(blob)), _PACKED)
+    raw = [np.frombuffer(row.column(i)[0].as_buffer(), np.uint8) for i in range(1, 5)]
+    lang, n, size = (np.ascontiguousarray(x.reshape(4, -1).T).view(np.uint32).ravel() for x in raw[:3])
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    text = pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(offsets), pa.py_buffer(raw[3]))
+    return pa.table({"lang": row.column(0)[0].values.take(pa.array(lang)), "phrase": text, "n": n.astype(np.int64)})
+
 
 def count_phrases(docs: DataFrame, s: PhraseSettings) -> DataFrame:
     """(lang, order, phrase, n): exact counts of all frequent phrases; order 0 has all words of a language."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang")
     batches = pack_batches(docs.select(lang, F.col("text").cast("string").alias("text")), "text")
+    tasks = shuffle_tasks(docs.sparkSession)
+    parts = 4 * tasks
 
     def fingerprints(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         return _distinct(_Words(table).fingerprints(s.words - 1))
@@ -145,7 +174,7 @@ def count_phrases(docs: DataFrame, s: PhraseSettings) -> DataFrame:
         words = _Words(table)
         n_langs = len(words.languages)
         blank = pa.array([""] * n_langs, pa.large_string())
-        found = [(np.arange(n_langs), blank, np.bincount(words.lang, minlength=n_langs), 0)]
+        found = [(np.arange(n_langs), blank, np.bincount(words.lang, minlength=n_langs))]
         shorter, frequent = words.fingerprints(s.words - 1), None
         for order in range(1, s.words + 1):
             heads = words.heads(order)
@@ -155,20 +184,43 @@ def count_phrases(docs: DataFrame, s: PhraseSettings) -> DataFrame:
                 heads = heads[frequent[heads] & frequent[heads + 1]]
             frequent = np.zeros(len(words.starts) + 1, bool)
             frequent[heads] = True
-            found.append((*_counted(words, heads, order), order))
+            found.append(_counted(words, heads, order))
         lang = np.concatenate([x[0] for x in found])
-        return pa.RecordBatch.from_arrays(
-            [
-                words.languages.take(pa.array(lang)).cast(pa.string()),
-                pa.array(np.repeat([x[3] for x in found], [len(x[0]) for x in found]).astype(np.int32)),
-                pa.concat_arrays([x[1].cast(pa.large_string()) for x in found]).cast(pa.string()),
-                pa.array(np.concatenate([x[2] for x in found]).astype(np.int64)),
-            ],
-            names=["lang", "order", "phrase", "n"],
-        )
-
-    local = with_counts(batches, fingerprints, often, use, GRAMS)
-    return local.groupBy("lang", "order", "phrase").agg(F.sum("n").alias("n")).where(f"order = 0 or n >= {s.least}")
+        text = pa.concat_arrays([x[1].cast(pa.large_string()) for x in found])
+        n = np.concatenate([x[2] for x in found])
+        # Every phrase goes to a part of its own hash, whatever its words.
+        data, offsets = utf8(text)
+        part = ((word_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        text = text.take(pa.array(order))
+        own, first = np.unique(part[order], return_index=True)
+        last = np.append(first[1:], len(order))
+        blobs = [_pack(words.languages, lang[order[i:j]], text.slice(i, j - i), n[order[i:j]]) for i, j in zip(first, last, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], names=["part", "payload"])
+
+    def add_up(part: int, blobs: list[bytes]) -> pa.RecordBatch:
+        total = pa.concat_tables([_unpack(b) for b in blobs]).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        order = pc.if_else(
+            pc.equal(total["phrase"], ""), 0, pc.add(pc.count_substring(total["phrase"], " "), 1)
+        ).cast(pa.int32())
+        total = pa.table({"lang": total["lang"].cast(pa.string()), "order": order, "phrase": total["phrase"].cast(pa.string()), "n": total["n_sum"]})
+        kept = total.filter(pc.or_(pc.equal(total["order"], 0), pc.greater_equal(total["n"], s.least)))
+        return kept.combine_chunks().to_batches()[0] if kept.num_rows else pa.RecordBatch.from_pylist([], kept.schema)
+
+    def gather(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for chunk in chunks:
+            for part, blob in zip(chunk.column(0).to_pylist(), chunk.column(1), strict=True):
+                if held and part != at:
+                    yield add_up(at, held)
+                    held = []
+                at = part
+                held.append(blob.as_py())
+        if held:
+            yield add_up(at, held)
+
+    local = with_counts(batches, fingerprints, often, use, "part int, payload binary")
+    return local.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(gather, GRAMS)
 
 
 def _merge(left: DataFrame, stream: DataFrame, how: str = "inner") -> DataFrame:
@@ -203,8 +255,11 @@ def collocations(docs: DataFrame, s: PhraseSettings = PhraseSettings()) -> DataF
     kept = _merge(lowest, longer, "left").where(F.coalesce(100 * F.col("longer") < s.absorb * F.col("a"), F.lit(True)))
 
     totals = grams.where("order = 0").select("lang", F.col("n").cast("long").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.top)
+    # The best of each group first, so that the last ranking of a language reads a bounded number of rows.
+    best = [F.desc("cut.score"), F.desc("a"), F.asc("phrase")]
+    kept = kept.withColumn("group", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_APART)))
+    kept = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "group").orderBy(*best))).where(F.col("rank") <= s.top)
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= s.top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", F.col("cut.score").cast("long").alias("score")
     )
