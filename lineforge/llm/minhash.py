@@ -8,13 +8,14 @@ need. Two sets meet in some table exactly if they agree in at least one half ban
 ``halves`` is chosen from the threshold so that a pair right at it is missed with at most
 ``miss`` probability (pairs above it far less).
 
-Documents with equal sets are one node from the start. The tables' buckets go to ``graph.connect``; a
-pair whose sets' parity bitmaps differ in more places than similar sets could is no candidate, and
-it is a link only if the full sets pass the integer test ``100 * both >= percent * either``.
+Only half bands are shuffled, 2 * ``halves`` short rows per set: a half band that no other set has can't be
+part of a shared key, so the keys of tables are formed from what is left, and most sets have nothing left.
+Documents with equal sets are one node from the start, by a name of 128 bits. The tables' buckets go to
+``graph.connect``; a pair whose sets' parity bitmaps differ in more places than similar sets could is no
+candidate, and it is a link only if the full sets pass the integer test ``100 * both >= percent * either``.
 
-Scale: sets are hashed in NumPy from Arrow buffers where they are read. One shuffle sorts the bucket
-keys; tables of a single node vanish there. Full sets are made again only for nodes in buckets.
-Hashes of shingles and nodes have 64 bits.
+Scale: sets are hashed in NumPy from Arrow buffers where they are read, once for names and half bands, which
+are written, and again for one document of each node in a bucket. Shingles have 64 bits.
 
 Defined results: only A-Z are folded; words are runs of anything but the six white-space characters;
 a text with fewer words than ``width`` is one shingle; null or blank texts have no shingles and are
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineforge.llm.graph import connect, differing_bits
+from lineforge.llm.shingles import set_name, shingle_sets
 from lineforge.llm.tables import if_small, written
-from lineforge.llm.text import PIECE, SpanHasher, mix, parity_sketch, row_slices, runs, signed, utf8
+from lineforge.llm.text import mix, parity_sketch, signed
 
 
 @dataclass(frozen=True)
@@ -54,72 +56,10 @@ class NearSettings:
         return max(2, math.ceil(math.log(self.miss / 2) / math.log(1 - agree)))
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_hasher = SpanHasher()
-
-
-def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Per run of rows: first, last, the ascending distinct shingles of all, and row offsets into them."""
-    data, offsets = utf8(texts)
-    for first, last in row_slices(offsets, 2 * PIECE):
-        low, high = offsets[first], offsets[last]
-        piece, places = data[low:high], offsets[first : last + 1] - low
-        starts, ends = runs(~_SPACE[piece], places)
-        words = _hasher(_LOWER[piece], starts, ends)
-        row = np.searchsorted(places, starts, "right") - 1
-        n_words = np.bincount(row, minlength=last - first)
-        begin = np.cumsum(n_words) - n_words
-        # A shingle starts at each word that has width - 1 more after it in its text; else one at the first.
-        place = np.arange(len(words)) - begin[row]
-        size = np.minimum(width, n_words)[row]
-        heads = np.flatnonzero(place + size <= n_words[row])
-        h = np.full(len(heads), np.uint64(width))
-        for k in range(width):
-            inside = k < size[heads]
-            h[inside] = mix(h[inside] ^ words[heads[inside] + k]) + np.uint64(k)
-        order = np.lexsort((h, row[heads]))
-        h, owner = h[order], row[heads][order]
-        if len(h):
-            fresh = np.ones(len(h), bool)
-            fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-            h, owner = h[fresh], owner[fresh]
-        yield first, last, h, np.searchsorted(owner, np.arange(last - first + 1))
-
-
-def _sums(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each set, from the sum of its mixed members and its size; 0 for the empty set."""
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(0x5851F42D4C957F2D)))])
-    size = np.diff(bounds)
-    name = mix(total[bounds[1:]] - total[bounds[:-1]] + size.astype(np.uint64))
-    return np.where(size > 0, np.where(name == 0, np.uint64(1), name), np.uint64(0))
-
-
-SETS = "n_shingles long, node long"
-KEYS = "bucket long, node long"
-
-
-def _with_fields(df: DataFrame, ddl: str) -> T.StructType:
-    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
-
-
-def name_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """Every column but ``text``, with the size and name of the text's set."""
-    others = docs.drop("text")
-    schema = _with_fields(others, SETS)
-    ordered = docs.select(*others.columns, F.col("text").cast("string"))
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, node = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64)
-            for first, last, h, bounds in shingle_sets(batch.column(batch.num_columns - 1), settings.width):
-                size[first:last], node[first:last] = np.diff(bounds), _sums(h, bounds)
-            arrays = [*batch.columns[:-1], pa.array(size), signed(node)]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
-
-    return ordered.mapInArrow(name, schema)
+def _names(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Names of 128 bits as two longs, (sets, 2); zeros for the empty set."""
+    raw = b"".join(set_name(h[a:b]) or bytes(16) for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+    return np.frombuffer(raw, np.int64).reshape(-1, 2)
 
 
 def _minima(h: np.ndarray, bounds: np.ndarray, settings: NearSettings, side: int) -> np.ndarray:
@@ -136,33 +76,60 @@ def _minima(h: np.ndarray, bounds: np.ndarray, settings: NearSettings, side: int
     return out
 
 
-def table_keys(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """(bucket, node): the key of each set in each table; the lowest byte counts i + j, 0 the diagonal."""
+def describe(docs: DataFrame, settings: NearSettings) -> DataFrame:
+    """Every column but ``text``, with the size and name of the text's set and its half bands, A before B."""
+    others = docs.drop("text")
+    added = T.StructType.fromDDL("n_shingles long, hi long, lo long, bands array<long>").fields
+    schema = T.StructType([*others.schema.fields, *added])
+    ordered = docs.select(*others.columns, F.col("text").cast("string"))
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = settings.halves
-        i, j = (x.ravel() for x in np.indices((n, n)))
-        shift = ((j - i) % n).astype(np.uint64)
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = 2 * settings.halves
         for batch in batches:
-            for _, _, h, bounds in shingle_sets(batch.column(0), settings.width):
-                node = _sums(h, bounds)
-                # Equal sets of a batch are one; empty ones have no key.
-                node, one = np.unique(node, return_index=True)
-                one = one[node != 0]
-                node = node[node != 0]
-                if not len(node):
-                    continue
-                spans = [np.arange(a, b) for a, b in zip(bounds[one], bounds[one + 1], strict=True)]
-                own = np.concatenate([[0], np.cumsum([len(s) for s in spans])])
-                h = h[np.concatenate(spans)]
-                a, b = _minima(h, own, settings, 0), _minima(h, own, settings, 1)
-                key = mix(a[:, i] ^ mix(b[:, j] + np.uint64(1)))
-                key = (key & ~np.uint64(255)) | np.minimum(shift, 255)
+            for first, last, h, bounds in shingle_sets(batch.column(batch.num_columns - 1), settings.width):
+                names, some = _names(h, bounds), np.flatnonzero(np.diff(bounds))
+                # Empty sets take no place in ``h``, so the bounds of the others follow each other.
+                own = np.append(bounds[some], bounds[-1])
+                bands = np.hstack([_minima(h, own, settings, side) for side in (0, 1)]) if len(some) else np.zeros((0, wide), np.uint64)
+                ends = np.zeros(last - first + 1, np.int32)
+                ends[some + 1] = wide
                 yield pa.RecordBatch.from_arrays(
-                    [signed(np.ascontiguousarray(key).ravel()), signed(np.repeat(node, n * n))], names=["bucket", "node"]
+                    [
+                        *(c.slice(first, last - first) for c in batch.columns[:-1]),
+                        pa.array(np.diff(bounds)),
+                        pa.array(names[:, 0]),
+                        pa.array(names[:, 1]),
+                        pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), signed(bands.ravel())),
+                    ],
+                    names=schema.names,
                 )
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(keys, KEYS)
+    return ordered.mapInArrow(name, schema)
+
+
+def shared_tables(described: DataFrame, settings: NearSettings) -> tuple[DataFrame, DataFrame]:
+    """Nodes (node, hi, lo) that may be in a table with others, and (bucket, node) of the tables. Runs jobs.
+
+    The lowest byte of a bucket counts j - i, 0 the diagonal.
+    """
+    n = settings.halves
+    bands = described.where("n_shingles > 0").select("hi", "lo", F.posexplode("bands").alias("i", "band"))
+    several = bands.groupBy("i", "band").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("hi", "lo")])
+    several = written(several.where("min_hi <> max_hi or min_lo <> max_lo").select("i", "band"), "shared-bands")
+    alive = bands.join(several, ["i", "band"], "left_semi").groupBy("hi", "lo").agg(F.collect_set(F.struct("i", "band")).alias("bands"))
+    side = lambda first: F.filter("bands", lambda x: (x["i"] >= first) & (x["i"] < first + n))
+    alive = alive.withColumns({"a": side(0), "b": side(n)}).where("size(a) > 0 and size(b) > 0").drop("bands")
+    nodes = written(alive.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+    def key(x: Column, y: Column) -> Column:
+        shift = F.least(F.pmod(y["i"] - x["i"], F.lit(n)), F.lit(255))
+        return F.xxhash64(x["i"], x["band"], y["i"], y["band"]).bitwiseAND(F.lit(~255)).bitwiseOR(shift.cast("long"))
+
+    keys = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: key(x, y))))
+    members = nodes.select("node", F.explode(keys).alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    members = written(members.join(shared, "bucket", "left_semi").select("bucket", "node").distinct(), "buckets")
+    return nodes.select("node", "hi", "lo"), members
 
 
 def shared_buckets(keys: DataFrame) -> DataFrame:
@@ -209,20 +176,21 @@ SKETCH = 8
 
 
 def full_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """(node, size, shingles, sketch) of each row that has any."""
+    """(hi, lo, size, shingles, sketch) of each row that has any."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, h, bounds in shingle_sets(batch.column(0), settings.width):
-                size = np.diff(bounds)
+                size, names = np.diff(bounds), _names(h, bounds)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), signed(h))
                 sketch = parity_sketch(np.repeat(np.arange(last - first), size), h, last - first, SKETCH)
                 yield pa.RecordBatch.from_arrays(
-                    [signed(_sums(h, bounds)), pa.array(size), lists, sketch], names=["node", "size", "shingles", "sketch"]
+                    [pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(size), lists, sketch],
+                    names=["hi", "lo", "size", "shingles", "sketch"],
                 )
 
-    schema = "node long, size long, shingles array<long>, sketch array<long>"
-    return docs.select(F.col("text").cast("string")).mapInArrow(sets, schema).where("node <> 0")
+    schema = "hi long, lo long, size long, shingles array<long>, sketch array<long>"
+    return docs.select(F.col("text").cast("string")).mapInArrow(sets, schema).where("size > 0")
 
 
 def _similar(both: Column, a: Column, b: Column, percent: int) -> Column:
@@ -232,16 +200,18 @@ def _similar(both: Column, a: Column, b: Column, percent: int) -> Column:
 def mark_near_copies(docs: DataFrame, settings: NearSettings = NearSettings()) -> DataFrame:
     """Per document doc_id, text_hash, n_shingles, component_id, kept. Runs jobs."""
     texts = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), "text")
-    named = written(name_sets(texts, settings), "named")
-    members = written(shared_buckets(table_keys(texts, settings)), "buckets")
+    described = written(describe(texts, settings), "described")
+    nodes, members = shared_tables(described, settings)
+    named = described.select("doc_id", "text_hash", "n_shingles", "hi", "lo")
     # Full sets again, of one document for each node that shares a bucket. The more buckets a node
     # shares, the more central it is.
-    nodes = written(members.groupBy("node").agg((-F.count("*")).alias("weight")), "nodes")
-    one = named.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
+    weights = written(members.groupBy("node").agg((-F.count("*")).alias("weight")).join(nodes, "node"), "weights")
+    one = named.join(weights.select("hi", "lo"), ["hi", "lo"], "left_semi").groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
     keys = written(one.select(F.col("key.doc_id").alias("one_id"), F.col("key.text_hash").alias("one_hash")), "representatives")
     chosen = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash"))
-    sets = written(full_sets(texts.join(if_small(keys, 64), chosen, "left_semi"), settings).dropDuplicates(["node"]), "sets")
-    members = members.join(nodes, "node").join(sets.select("node", "size", "sketch"), "node").withColumn("center", F.lit(True))
+    sets = full_sets(texts.join(if_small(keys, 64), chosen, "left_semi"), settings)
+    sets = written(sets.join(weights, ["hi", "lo"]).drop("hi", "lo").dropDuplicates(["node"]), "sets")
+    members = members.join(sets.select("node", "weight", "size", "sketch"), "node").withColumn("center", F.lit(True))
     members = written(members, "members")
 
     def possible(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
@@ -260,15 +230,19 @@ def mark_near_copies(docs: DataFrame, settings: NearSettings = NearSettings()) -
 
     roots, _ = connect(members, verified, possible, first=F.col("bucket").bitwiseAND(F.lit(255)) == 0)
     if roots is None:
-        placed = named.withColumn("root", F.col("node"))
+        placed = named.withColumns({"root_hi": F.col("hi"), "root_lo": F.col("lo")})
     else:
-        placed = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = placed.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root")))
-    groups = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+        place = nodes.toDF("root", "root_hi", "root_lo")
+        moved = written(roots.join(nodes, "node").join(place, "root").drop("node", "root"), "moved")
+        placed = named.join(moved, ["hi", "lo"], "left")
+        placed = placed.withColumns({f"root_{c}": F.coalesce(f"root_{c}", c) for c in ("hi", "lo")})
+    root = ["root_hi", "root_lo"]
+    placed = placed.withColumns({c: F.when(F.col("n_shingles") > 0, F.col(c)) for c in root})
+    groups = placed.where("root_hi is not null").groupBy(*root).agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
     # Written, so that the join can split a group that holds a large share of all rows.
     groups = written(groups.where("n > 1"), "groups")
     component = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return placed.join(groups, "root", "left").select(
+    return placed.join(groups, root, "left").select(
         "doc_id",
         "text_hash",
         "n_shingles",
