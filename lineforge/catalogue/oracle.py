@@ -352,10 +352,13 @@ def oracle_sql() -> dict[str, str]:
                              ELSE CAST(sales AS VARCHAR) END AS sales,
                         order_item_quantity || CASE WHEN order_item_id % 11 = 2 THEN '.0' ELSE '' END
                           AS order_item_quantity,
+                        CASE order_item_id % 17 WHEN 0 THEN '1e400' WHEN 1 THEN '0.1234567890123456789'
+                             WHEN 2 THEN 'NaN' WHEN 3 THEN '1e-400' END AS spoilt_ratio,
                         concat_ws(',',
                           CASE WHEN order_item_id % 13 = 3 THEN 'order_item_id' END,
                           CASE WHEN order_item_id % 7 IN (1, 2) THEN 'sales' END,
-                          CASE WHEN order_item_id % 11 = 2 THEN 'order_item_quantity' END) AS faults
+                          CASE WHEN order_item_id % 11 = 2 THEN 'order_item_quantity' END,
+                          CASE WHEN order_item_id % 17 < 4 THEN 'order_item_profit_ratio' END) AS faults
                  FROM raw)
                WHERE faults <> ''"""
         ),
@@ -423,6 +426,18 @@ def oracle_sql() -> dict[str, str]:
             CUSTOMER,
         ),
         "dim_customer": _silver("SELECT * FROM dim_customer", CUSTOMER),
+        "dim_product_kept_keys": _silver(
+            """
+            SELECT product_card_id, product_name, early_key,
+                   CAST(coalesce(early_key, (SELECT count(DISTINCT product_card_id) FROM silver
+                                             WHERE order_date < DATE '1995-06-17')
+                        + row_number() OVER (PARTITION BY early_key IS NULL ORDER BY product_card_id)) AS INTEGER) AS product_key
+            FROM dim_product LEFT JOIN (
+              SELECT product_card_id, CAST(row_number() OVER (ORDER BY product_card_id) AS INTEGER) AS early_key
+              FROM (SELECT DISTINCT product_card_id FROM silver WHERE order_date < DATE '1995-06-17')) e
+            USING (product_card_id)""",
+            PRODUCT,
+        ),
         "scd2_from_snapshots": _silver("SELECT * FROM mode_versions", MODES),
         "scd2_merge_snapshots": _silver("SELECT * FROM mode_versions", MODES),
         "temporal_join_versions": _silver(

@@ -30,12 +30,14 @@ from lineforge.operators import (
     profile_distinct,
     scd2_from_snapshots,
     scd2_versions,
+    stable_key,
     temporal_join,
 )
 from lineforge.operators.history import mark_changed
 from lineforge.plans import dashboard, fact, kpi
 from lineforge.plans.lakehouse import (
     GOLD_TABLES,
+    NUMBERED,
     Lakehouse,
     customer_dimension,
     date_dimension,
@@ -50,13 +52,16 @@ from lineforge.sinks import export_csv, write_table
 from lineforge.sources import ingest_csv, order_lines
 from lineforge.sources.schemas import LINE_SCHEMA
 from lineforge.sources.tables import TABLE_SETTINGS
-from lineforge.storage import application_id, new_path, work_folder
+from lineforge.storage import application_id, materialise, new_path, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 HISTORY = TABLE_SETTINGS.history
 GRAIN = TABLE_SETTINGS.grain
 
+# Between the first and the second half of the days, for what goes on from an earlier state.
+MERGED_FROM = "1995-06-17"
+
 _lakehouses: dict[tuple[str, str], Lakehouse] = {}
 _lakehouses_lock = Lock()
 
@@ -106,11 +111,18 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return bronze.select(*LINE_SCHEMA.names, from_file)
 
 
+# Texts that a double can't hold: beyond its range, with more digits than it has, no number, below its range.
+NO_DOUBLES = ("1e400", "0.1234567890123456789", "NaN", "1e-400")
+
+
 def csv_ingest_faults(spark: SparkSession, folder: str) -> DataFrame:
     """Spoil lines by their ids, write them as a file, and list what is found to be at fault."""
     lines = raw_lines(spark, folder)
     line, amount, units = F.col(GRAIN), F.col("sales"), F.col("order_item_quantity")
+    no_doubles = F.create_map(*[F.lit(x) for i, text in enumerate(NO_DOUBLES) for x in (i, text)])
+    ratio = F.element_at(no_doubles, F.when(line % 17 < len(NO_DOUBLES), (line % 17).cast("int")))
     spoilt = {
+        "order_item_profit_ratio": F.coalesce(ratio, F.col("order_item_profit_ratio").cast("string")),
         "sales": F.when(line % 7 == 1, F.lit("n/a"))
         .when(line % 7 == 2, F.concat(amount, F.lit("1")))
         .otherwise(amount.cast("string")),
@@ -121,7 +133,10 @@ def csv_ingest_faults(spark: SparkSession, folder: str) -> DataFrame:
     headed = lines.withColumns(spoilt).toDF(*[file_header(c) for c in lines.columns])
     headed.write.options(header=True, encoding="ISO-8859-1").csv(path)
     found = rejected_orders(ingest_csv(spark, path), replace(TABLE_SETTINGS, schema=LINE_SCHEMA))
-    return found.select(GRAIN, "order_id", "sales", "order_item_quantity", F.col("_faults").alias("faults"))
+    shown = [GRAIN, "order_id", "sales", "order_item_quantity", "order_item_profit_ratio"]
+    # Ratios are shown where they are spoilt: engines write other doubles in different ways.
+    ratio = F.when(F.col(shown[-1]).isin(*NO_DOUBLES), F.col(shown[-1])).alias("spoilt_ratio")
+    return found.select(*shown[:-1], ratio, F.col("_faults").alias("faults"))
 
 
 def date_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,6 +187,17 @@ def dense_key_equivalence(spark: SparkSession, folder: str) -> DataFrame:
     return reports
 
 
+def kept_product_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Products numbered as of the first half of the days, and again over all: none is renumbered."""
+    silver = lakehouse_for(spark, folder).silver()
+    early = silver.where(F.col("order_date") < F.to_date(F.lit(MERGED_FROM)))
+    before = materialise(product_dimension(early, GRAIN), "early-products")
+    on, key = NUMBERED["dim_product"]
+    now = product_dimension(silver, GRAIN, lambda df, by, name: stable_key(df, before, by, name))
+    was = before.select(*on, F.col(key).alias("early_key"))
+    return now.select(*on, "product_name", key).join(was, list(on), "left")
+
+
 # --- customer history -------------------------------------------------------------------
 
 
@@ -189,9 +215,6 @@ def scd2_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 MODE = ["shipping_mode"]
 
-# Between the first and the second half of the observed days, for the merge of the two.
-MERGED_FROM = "1995-06-17"
-
 
 def _mode_observations(spark: SparkSession, folder: str) -> DataFrame:
     """How each customer's last line of a day was shipped."""
@@ -241,9 +264,15 @@ def _foreign_key(
 
 
 def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """The fact, written as one more managed table and read back."""
+    """The fact, written as one more managed table and read back; the last copy gives way to it."""
     lake = lakehouse_for(spark, folder)
-    return write_table(lake.plan_fact(), lake.name(f"gold.fact_copy_{uuid4().hex}"))
+    plan = lake.plan_fact()
+    schema = lake.schemas["gold"]
+    copies = [t.name for t in spark.catalog.listTables(schema) if t.name.startswith("fact_copy_")]
+    stored = write_table(plan, f"{schema}.fact_copy_{uuid4().hex}")
+    for name in copies:
+        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+    return stored
 
 
 def csv_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -365,6 +394,7 @@ _QUERIES: dict[str, Query] = {
     "date_spine": _silver(lambda silver: date_spine(_bounds(silver))),
     "dim_date": _silver(date_dimension),
     "dense_key_equivalence": dense_key_equivalence,
+    "dim_product_kept_keys": kept_product_keys,
     "customer_latest": _silver(lambda silver: latest_customers(silver, GRAIN)),
     "scd2_is_changed": _on_marked(
         lambda marked: marked.select("customer_id", "customer_segment", "is_changed")

@@ -9,22 +9,45 @@ from pyspark.sql import types as T
 # Digits that the widest decimal has room for.
 MOST_DIGITS = 38
 
+# Significant digits that survive a float or double in any case, and the least normal value.
+SURE_DIGITS = {T.FloatType: (6, 1.17549435e-38), T.DoubleType: (15, 2.2250738585072014e-308)}
+
 
 def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with the columns of ``schema`` in its types; a text that does not fit becomes null."""
     unknown = sorted(set(schema.names) - set(df.columns))
     if unknown:
         raise ValueError(f"the file has no column {', '.join(unknown)}")
-    return df.withColumns({field.name: F.col(field.name).try_cast(field.dataType) for field in schema})
+    return df.withColumns({field.name: typed(F.col(field.name), field.dataType) for field in schema})
+
+
+def typed(text: Column, kind: T.DataType) -> Column:
+    """The value of a text; null where there is none, and where it is no number that can be counted with."""
+    value = text.try_cast(kind)
+    if type(kind) not in SURE_DIGITS:
+        return value
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+
+
+def _significant(text: Column) -> Column:
+    """Digits of a number as written, without sign, point, exponent and outer zeros."""
+    digits = F.regexp_replace(F.regexp_replace(text, "[eE].*$", ""), "[^0-9]", "")
+    return F.regexp_replace(digits, "^0+|0+$", "")
 
 
 def unfit(text: Column, kind: T.DataType) -> Column:
     """Whether a text says something that a cast to ``kind`` would lose, digits included.
 
-    A null, or a text of white space only, says nothing.
+    A null, or a text of white space only, says nothing. A float or double keeps up to 6 or 15
+    digits; of longer texts it loses those that it would not be written with itself.
     """
-    value = text.try_cast(kind)
+    value = typed(text, kind)
     lost = value.isNull()
+    if type(kind) in SURE_DIGITS:
+        sure, normal = SURE_DIGITS[type(kind)]
+        written, kept = _significant(text), _significant(value.cast("string"))
+        rounded = (F.length(written) > sure) | ((F.abs(value) < normal) & (written != ""))
+        lost = lost | (rounded & (written != kept))
     if isinstance(kind, T.DecimalType):
         finer = T.DecimalType(MOST_DIGITS, kind.scale + MOST_DIGITS - kind.precision)
         more_digits = text.rlike(rf"\.[0-9]{{{kind.scale}}}[0-9]*[1-9]")

@@ -10,7 +10,7 @@ from lineforge.operators.history import (
     scd2_versions,
 )
 from lineforge.operators.joins import Spread, lookup_join, temporal_join
-from lineforge.operators.keys import dense_key, key_report
+from lineforge.operators.keys import dense_key, extend_keys, key_report, stable_key
 from lineforge.operators.profile import profile_constant_columns, profile_distinct
 from lineforge.operators.snapshots import day_observations, merge_snapshots, scd2_from_snapshots
 from lineforge.operators.sweep import sweep_join
@@ -24,6 +24,7 @@ __all__ = [
     "date_spine",
     "day_observations",
     "dense_key",
+    "extend_keys",
     "first_per_key",
     "former_versions",
     "key_report",
@@ -36,6 +37,7 @@ __all__ = [
     "scd2_from_snapshots",
     "scd2_simulated",
     "scd2_versions",
+    "stable_key",
     "sweep_join",
     "temporal_join",
 ]

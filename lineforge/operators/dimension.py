@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -26,5 +26,7 @@ def build_dimension(
     natural_key: Sequence[str],
     key_name: str,
     tie_break: str | None = None,
+    number: Callable[[DataFrame, Sequence[str], str], DataFrame] = dense_key,
 ) -> DataFrame:
-    return dense_key(natural_rows(df, attributes, natural_key, tie_break), natural_key, key_name)
+    """``number`` adds the key: 1..N by the natural key, or ``stable_key`` over the keys known before."""
+    return number(natural_rows(df, attributes, natural_key, tie_break), natural_key, key_name)

@@ -7,6 +7,8 @@ had one version from the floor date on. Validity is a closed interval of days.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,8 +71,13 @@ def scd2_versions(marked: DataFrame, tracked: str, history: History) -> DataFram
 
 
 def scd2_simulated(
-    df: DataFrame, key: str, tracked: str, history: History, key_name: str
+    df: DataFrame,
+    key: str,
+    tracked: str,
+    history: History,
+    key_name: str,
+    number: Callable[[DataFrame, Sequence[str], str], DataFrame] = dense_key,
 ) -> DataFrame:
     """Versioned dimension from one row per entity, with one surrogate key per version."""
     versions = scd2_versions(mark_changed(df, key, tracked, history), tracked, history)
-    return dense_key(versions, [key, "start_date"], key_name)
+    return number(versions, [key, "start_date"], key_name)

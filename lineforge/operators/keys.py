@@ -1,10 +1,12 @@
-"""Dense surrogate keys 1..N in the order of the natural key, without one task seeing all rows."""
+"""Surrogate keys: dense ones 1..N in the order of the natural key, without one task seeing all rows, and
+ones that stay from build to build."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -47,6 +49,34 @@ def dense_key(df: DataFrame, order_columns: Sequence[str], key_name: str) -> Dat
     return placed.join(F.broadcast(offsets), "_range").select(*df.columns, key.alias(key_name))
 
 
+def stable_key(
+    df: DataFrame, known: DataFrame, natural_key: Sequence[str], key_name: str
+) -> DataFrame:
+    """Add ``key_name``: the number that ``known`` has for the natural key, else the next free one.
+
+    ``known`` holds every natural key that was ever numbered, with its number. New keys are numbered
+    as by ``dense_key``, after the largest number known, by jobs that run when this is called. Null
+    parts of a natural key are equal.
+    """
+    named = known.select(*[F.col(c).alias(f"_known_{i}") for i, c in enumerate(natural_key)], F.col(key_name).alias(key_name))
+    pairs = [F.col(c).eqNullSafe(F.col(f"_known_{i}")) for i, c in enumerate(natural_key)]
+    same = reduce(Column.__and__, pairs)
+    largest = known.agg(F.coalesce(F.max(key_name), F.lit(0))).first()[0]
+    new = dense_key(df.join(named, same, "left_anti"), natural_key, "_place")
+    too_many = F.raise_error(F.lit(f"{key_name}: more rows than an int can number")).cast("int")
+    number = F.col("_place").cast("long") + largest
+    numbered = new.select(*df.columns, F.when(number <= LARGEST_KEY, number.cast("int")).otherwise(too_many).alias(key_name))
+    return df.join(named, same).select(*df.columns, key_name).unionByName(numbered)
+
+
+def extend_keys(known: DataFrame, keyed: DataFrame, natural_key: Sequence[str], key_name: str) -> DataFrame:
+    """``known`` with the natural keys of ``keyed`` that it lacks: what the next ``stable_key`` is to know."""
+    columns = [*natural_key, key_name]
+    have = known.select(*[F.col(c).alias(f"_known_{i}") for i, c in enumerate(natural_key)])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_known_{i}")) for i, c in enumerate(natural_key)])
+    return known.select(*columns).unionByName(keyed.select(*columns).join(have, same, "left_anti"))
+
+
 def key_report(df: DataFrame, order_columns: Sequence[str], key_name: str) -> DataFrame:
     """One row: how many rows there are and how many do not hold the position they should.
 

@@ -7,9 +7,10 @@ re-read of files. It also gives each dimension a counted size for the join that
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import partial
 from threading import RLock
 from uuid import uuid4
 
@@ -20,14 +21,17 @@ from pyspark.sql import types as T
 from lineforge.operators import (
     build_date_dimension,
     build_dimension,
+    dense_key,
+    extend_keys,
     latest_per_key,
     scd2_simulated,
+    stable_key,
 )
 from lineforge.plans.fact import build_fact
 from lineforge.plans.kpi import delivery_kpi, segment_kpi
-from lineforge.plans.silver import clean_orders, rejected_orders
+from lineforge.plans.silver import OUTCOME, sort_orders, sorted_clean, sorted_rejected
 from lineforge.settings import CUSTOMER_COLUMNS, GEO_COLUMNS, PRODUCT_COLUMNS, Settings
-from lineforge.sinks import create_layers, export_csv, write_table
+from lineforge.sinks import create_layers, export_csv, write_counted
 from lineforge.sources import FILE_SCHEMA, ingest_csv
 from lineforge.storage import fit_shuffle, scratch
 
@@ -41,9 +45,21 @@ GOLD_TABLES = ("fact_order_line", *DIMENSIONS, *KPIS)
 # Written before any other, since all else is built from it.
 FIRST_TABLE = "bronze.order_lines"
 
+# Raw lines by outcome, from which both tables of silver are read; gone once a build is shown.
+SORTED_TABLE = "silver.sorted_lines"
+
+# Natural key and number of the dimensions that are numbered.
+NUMBERED = {
+    "dim_product": (("product_card_id",), "product_key"),
+    "dim_geo": (GEO_COLUMNS, "geo_key"),
+    "dim_shipping_mode": (("shipping_mode",), "shipping_mode_key"),
+    "dim_customer": (("customer_id", "start_date"), "customer_key"),
+}
+
 # Tables of one step need none of each other.
 STEPS = (
     (FIRST_TABLE,),
+    (SORTED_TABLE,),
     ("silver.order_lines", "silver.rejected_lines"),
     tuple(f"gold.{name}" for name in DIMENSIONS),
     ("gold.fact_order_line",),
@@ -51,6 +67,9 @@ STEPS = (
 )
 
 
+# With keys that stay, what the next build is to know, by dimension.
+KEY_STEP = tuple(f"gold.keys_of_{name}" for name in NUMBERED)
+
 # Parts the name of a stored table from the build that it belongs to.
 BUILD_MARK = "__"
 
@@ -65,31 +84,35 @@ def latest_customers(silver: DataFrame, grain: str) -> DataFrame:
     return latest_per_key(lines, ["customer_id"], "order_ts", grain).select(*CUSTOMER_COLUMNS)
 
 
-def product_dimension(silver: DataFrame, grain: str) -> DataFrame:
+Number = Callable[[DataFrame, Sequence[str], str], DataFrame]
+
+
+def product_dimension(silver: DataFrame, grain: str, number: Number = dense_key) -> DataFrame:
     return build_dimension(
-        silver, PRODUCT_COLUMNS, ["product_card_id"], "product_key", tie_break=grain
+        silver, PRODUCT_COLUMNS, ["product_card_id"], "product_key", tie_break=grain, number=number
     )
 
 
-def geo_dimension(silver: DataFrame) -> DataFrame:
-    return build_dimension(silver, GEO_COLUMNS, GEO_COLUMNS, "geo_key")
+def geo_dimension(silver: DataFrame, number: Number = dense_key) -> DataFrame:
+    return build_dimension(silver, GEO_COLUMNS, GEO_COLUMNS, "geo_key", number=number)
 
 
-def shipping_dimension(silver: DataFrame) -> DataFrame:
-    return build_dimension(silver, ["shipping_mode"], ["shipping_mode"], "shipping_mode_key")
+def shipping_dimension(silver: DataFrame, number: Number = dense_key) -> DataFrame:
+    return build_dimension(silver, ["shipping_mode"], ["shipping_mode"], "shipping_mode_key", number=number)
 
 
 def date_dimension(silver: DataFrame) -> DataFrame:
     return build_date_dimension(silver, ["order_date"], ["order_date", "ship_date"])
 
 
-def customer_dimension(silver: DataFrame, settings: Settings) -> DataFrame:
+def customer_dimension(silver: DataFrame, settings: Settings, number: Number = dense_key) -> DataFrame:
     return scd2_simulated(
         latest_customers(silver, settings.grain),
         "customer_id",
         "customer_segment",
         settings.history,
         "customer_key",
+        number,
     )
 
 
@@ -101,7 +124,9 @@ class Lakehouse:
     are a snapshot, stored under names of their own; ``refresh`` begins another one. ``build``
     makes every table and then lets the plain names, which are views, show that build; until then
     they show the one before, and so they do if a build fails. So the keys of a stored fact never
-    meet a dimension of another build. ``open`` reads what the plain names show.
+    meet a dimension of another build. ``open`` reads what the plain names show. With ``keep_keys``
+    a natural key that any build under ``prefix`` has numbered keeps its number; without, every build
+    numbers from 1 in the order of natural keys.
     """
 
     def __init__(
@@ -111,8 +136,10 @@ class Lakehouse:
         prefix: str,
         settings: Settings | None = None,
         location: str | None = None,
+        keep_keys: bool = False,
     ) -> None:
         self.spark = spark
+        self._steps = (*STEPS, KEY_STEP) if keep_keys else STEPS
         self.settings = settings or Settings()
         before = f"{prefix}_" if prefix else ""
         self.schemas = {layer: f"{before}{layer}" for layer in ("bronze", "silver", "gold")}
@@ -121,19 +148,28 @@ class Lakehouse:
         self._suffix = _new_suffix()
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "bronze.order_lines": source,
-            "silver.order_lines": lambda: clean_orders(self.bronze(), self.settings)[0],
-            "silver.rejected_lines": lambda: rejected_orders(self.bronze(), self.settings),
-            "gold.dim_product": lambda: product_dimension(self.silver(), self.settings.grain),
-            "gold.dim_geo": lambda: geo_dimension(self.silver()),
-            "gold.dim_shipping_mode": lambda: shipping_dimension(self.silver()),
+            SORTED_TABLE: lambda: sort_orders(self.bronze(), self.settings),
+            "silver.order_lines": lambda: sorted_clean(self.table(SORTED_TABLE), self.settings),
+            "silver.rejected_lines": lambda: sorted_rejected(self.table(SORTED_TABLE)),
+            "gold.dim_product": lambda: product_dimension(
+                self.silver(), self.settings.grain, self._number("dim_product")
+            ),
+            "gold.dim_geo": lambda: geo_dimension(self.silver(), self._number("dim_geo")),
+            "gold.dim_shipping_mode": lambda: shipping_dimension(
+                self.silver(), self._number("dim_shipping_mode")
+            ),
             "gold.dim_date": lambda: date_dimension(self.silver()),
-            "gold.dim_customer": lambda: customer_dimension(self.silver(), self.settings),
+            "gold.dim_customer": lambda: customer_dimension(
+                self.silver(), self.settings, self._number("dim_customer")
+            ),
             "gold.fact_order_line": self.plan_fact,
             "gold.kpi_delivery_by_market": lambda: delivery_kpi(self.fact(), self.gold("dim_geo")),
             "gold.kpi_sales_by_segment": lambda: segment_kpi(
                 self.fact(), self.gold("dim_customer")
             ),
         }
+        for name in NUMBERED if keep_keys else ():
+            self._builders[f"gold.keys_of_{name}"] = partial(self._keys_after, name)
         self._locks = {table: RLock() for table in self._builders}
         self._location = location
 
@@ -146,7 +182,7 @@ class Lakehouse:
 
         opened = cls(spark, nothing, prefix, settings)
         opened._suffix = ""
-        missing = [table for step in STEPS for table in step if not spark.catalog.tableExists(opened.name(table))]
+        missing = [table for table in opened._shown() if not spark.catalog.tableExists(opened.name(table))]
         if missing:
             raise ValueError(f"no build to open, missing {', '.join(missing)}")
         opened._opened = True
@@ -191,11 +227,29 @@ class Lakehouse:
                 if table == FIRST_TABLE:
                     create_layers(self.spark, self.schemas.values(), self._location)
                 with scratch(self.spark):
-                    stored = write_table(self._builders[table](), self.name(table))
-                self.counts[table] = stored.count()
+                    parts = [OUTCOME] if table == SORTED_TABLE else []
+                    self.counts[table] = write_counted(self._builders[table](), self.name(table), parts)
                 fit_shuffle(self.spark, self.counts[table])
         return self.spark.table(self.name(table))
 
+    def _known_keys(self, dimension: str) -> DataFrame | None:
+        """Natural keys and numbers of all builds up to the one shown; None without any."""
+        plain = f"{self.schemas['gold']}.keys_of_{dimension}"
+        return self.spark.table(plain) if self.spark.catalog.tableExists(plain) else None
+
+    def _number(self, dimension: str) -> Number:
+        known = self._known_keys(dimension) if KEY_STEP in self._steps else None
+        return dense_key if known is None else lambda df, on, name: stable_key(df, known, on, name)
+
+    def _keys_after(self, dimension: str) -> DataFrame:
+        on, name = NUMBERED[dimension]
+        known, now = self._known_keys(dimension), self.gold(dimension)
+        return now.select(*on, name) if known is None else extend_keys(known, now, on, name)
+
+    def _shown(self) -> list[str]:
+        """Tables that stay and have a plain name."""
+        return [table for step in self._steps for table in step if table != SORTED_TABLE]
+
     def bronze(self) -> DataFrame:
         return self.table("bronze.order_lines")
 
@@ -232,16 +286,16 @@ class Lakehouse:
         The tables of a step are built side by side, so that the small jobs of the dimensions
         do not leave the cluster idle in turn.
         """
-        for step in STEPS:
+        for step in self._steps:
             with ThreadPoolExecutor(len(step)) as pool:
                 list(pool.map(self.table, step))
         if not self._opened:
             self._show()
-        return dict(self.counts)
+        return {table: self.counts[table] for table in self._shown() if table in self.counts}
 
     def _show(self) -> None:
         """Let the plain names show this build, and remove the tables of those before."""
-        tables = [table.partition(".") for step in STEPS for table in step]
+        tables = [table.partition(".") for table in self._shown()]
         for layer, _, short in tables:
             schema = self.schemas[layer]
             self.spark.sql(
@@ -250,9 +304,10 @@ class Lakehouse:
             )
         for layer, schema in self.schemas.items():
             shorts = {short for of, _, short in tables if of == layer}
+            passing = SORTED_TABLE.partition(".")[2]
             for stored in self.spark.catalog.listTables(schema):
                 short, mark, _ = stored.name.partition(BUILD_MARK)
-                if mark and short in shorts and not stored.name.endswith(self._suffix):
+                if mark and (short == passing or short in shorts and not stored.name.endswith(self._suffix)):
                     self.spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{stored.name}`")
 
     def refresh(self) -> None:

@@ -47,8 +47,47 @@ def clean_orders(df: DataFrame, settings: Settings) -> tuple[DataFrame, DataFram
     return clean, rejected_orders(df, settings)
 
 
+OUTCOME = "_outcome"
+
+# What becomes of a raw row: only clean, clean and listed, only listed.
+CLEAN, BOTH, LISTED = "clean", "both", "listed"
+
+
+def sort_orders(df: DataFrame, settings: Settings) -> DataFrame:
+    """Every raw row with its outcome, read, cast and parsed once: ``_row`` as it came where it is listed.
+
+    To be stored partitioned by the outcome; ``sorted_clean`` and ``sorted_rejected`` then each
+    read what is theirs.
+    """
+    given = F.struct(*df.columns).alias("_row")
+    marked = df.select("*", given, _faults(df, settings).alias("_faults"))
+    lines = typed_columns(marked, settings.schema) if settings.schema else marked
+    parsed = parse_dates(lines.drop(*settings.drop), settings)
+    whole = F.col(f"_row.{MALFORMED}").isNull() if MALFORMED in df.columns else F.lit(True)
+    known = whole & F.col(settings.grain).isNotNull()
+    listed = F.col("_faults").isNotNull()
+    outcome = F.when(~listed, CLEAN).when(known, BOTH).otherwise(LISTED)
+    return parsed.withColumns({"_row": F.when(listed, F.col("_row")), OUTCOME: outcome}).where(listed | known)
+
+
+def sorted_clean(stored: DataFrame, settings: Settings) -> DataFrame:
+    """The clean rows of a stored ``sort_orders``, one per grain."""
+    lines = stored.where(F.col(OUTCOME) != LISTED).drop("_row", "_faults", OUTCOME)
+    return first_per_key(lines, [settings.grain], settings.tie_break).drop(*settings.helpers)
+
+
+def sorted_rejected(stored: DataFrame) -> DataFrame:
+    """The listed rows of a stored ``sort_orders``, as ``rejected_orders`` gives them."""
+    return stored.where(F.col(OUTCOME) != CLEAN).select("_row.*", "_faults")
+
+
 def rejected_orders(df: DataFrame, settings: Settings) -> DataFrame:
     """Raw rows with a fault, texts as they were, and the columns at fault as ``_faults``."""
+    return df.withColumn("_faults", _faults(df, settings)).where("_faults is not null")
+
+
+def _faults(df: DataFrame, settings: Settings) -> Column:
+    """The raw columns at fault, by name; null without any."""
 
     def unreadable(text: str) -> Column:
         given = F.trim(F.coalesce(F.col(text), F.lit(""))) != ""
@@ -67,5 +106,4 @@ def rejected_orders(df: DataFrame, settings: Settings) -> DataFrame:
     ]
     faults += [(text, unreadable(text)) for text in DATE_COLUMNS]
     named = F.concat_ws(",", *[F.when(fault, F.lit(column)) for column, fault in faults])
-    any_fault = reduce(Column.__or__, [fault for _, fault in faults])
-    return df.filter(any_fault).withColumn("_faults", named)
+    return F.when(reduce(Column.__or__, [fault for _, fault in faults]), named)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def create_layers(spark: SparkSession, schemas: Iterable[str], location: str | None = None) -> None:
@@ -17,5 +18,13 @@ def create_layers(spark: SparkSession, schemas: Iterable[str], location: str | N
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Full refresh of a managed table, data and schema; returns the table as read back."""
-    df.write.mode("overwrite").saveAsTable(name)
+    write_counted(df, name)
     return df.sparkSession.table(name)
+
+
+def write_counted(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
+    """As ``write_table``; the number of rows, counted by the tasks that write them."""
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("n"))
+    counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    return written.get["n"]
