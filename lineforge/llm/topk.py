@@ -10,14 +10,14 @@ dead; as soon as few are left they are compacted, and only they read the further
 starts from a few candidates scored in full, those with the largest scores on the first block. The best
 k of each cell meet in a final ranking per query.
 
-Sums are exact: products run in float32 or float64 as long as no sum can pass 2^24 or 2^53, else in
-Python integers.
-
-Defined results: vectors that are null or hold null or non-finite components take no part; vectors
-of different lengths are compared as if padded with zeros; of equal scores the smaller ``vec_id``
-comes first; a query skips every row with its own ``vec_id``; rows with a null ``vec_id`` take no
-part; a repeated ``vec_id`` is a candidate (or query) once per row, ranked one after the other.
-Scores beyond a long are an error.
+Sums are exact: products run in float32 or float64 where no sum can pass 2^24 or 2^53. Vectors with larger
+components are scored apart, in integers of any size.
+
+Defined results: vectors that are null or hold null or non-finite components take no part, nor do
+those with a component whose 64-fold reaches 2^63 in size; vectors of different lengths are compared as if
+padded with zeros; of equal scores the smaller ``vec_id`` comes first; a query skips every row with its
+own ``vec_id``; rows with a null ``vec_id`` take no part; a repeated ``vec_id`` is a candidate (or
+query) once per row, ranked one after the other. A score beyond a long is the long's end.
 """
 
 from __future__ import annotations
@@ -53,12 +53,45 @@ def _matrix(vectors: list[np.ndarray], width: int) -> np.ndarray:
 
 def search_cell(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, s: SearchSettings) -> tuple:
     """(query index, candidate index, score) of a superset of each query's best k in this cell."""
+    # No sum of products of components below this passes 2^53.
+    safe = np.sqrt(2.0**52 / max(q.shape[1], 1))
+    small_q, small_c = (np.abs(m).max(axis=1, initial=0) <= safe for m in (q, c))
+    if small_q.all() and small_c.all():
+        return _search_small(q, q_ids, c, c_ids, s)
+    found = []
+    for rows, columns, search in (
+        (small_q, small_c, _search_small), (~small_q, np.ones(len(c), bool), _score_large), (small_q, ~small_c, _score_large)
+    ):
+        rows, columns = np.flatnonzero(rows), np.flatnonzero(columns)
+        if len(rows) and len(columns):
+            qi, ci, score = search(q[rows], q_ids[rows], c[columns], c_ids[columns], s)
+            found.append((rows[qi], columns[ci], score))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _score_large(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, s: SearchSettings) -> tuple:
+    """All pairs, in Python's integers."""
+    columns = _integers(c).T
+    found = []
+    for i, row in enumerate(_integers(q)):
+        ci = np.flatnonzero(c_ids != q_ids[i])
+        score = np.clip(row @ columns[:, ci], -(1 << 63), (1 << 63) - 1).astype(np.int64) if len(ci) else np.zeros(0, np.int64)
+        # Candidates lie by vec_id, so a stable order by score settles ties.
+        best = np.sort(np.lexsort((ci, ~score))[: s.k])
+        found.append((np.full(len(best), i), ci[best], score[best]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _integers(m: np.ndarray) -> np.ndarray:
+    out = np.empty(m.shape, object)
+    out[:] = [[int(x) for x in row] for row in m]
+    return out
+
+
+def _search_small(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, s: SearchSettings) -> tuple:
+    """As ``search_cell``, where every sum fits a float64."""
     width = q.shape[1]
     exact = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(width, 1)
-    if exact >= 2**53:
-        scores = q.astype(object) @ c.astype(object).T
-        qi, ci = np.nonzero(q_ids[:, None] != c_ids[None, :])
-        return qi, ci, scores[qi, ci]
     kind = np.float32 if exact < 2**24 else np.float64
     q, columns = q.astype(kind), np.ascontiguousarray(c.T.astype(kind))
     own = q_ids[:, None] == c_ids[None, :]
@@ -99,7 +132,8 @@ def top_k(vectors: DataFrame, is_query: F.Column, settings: SearchSettings = Sea
     """(query_id, rank, vec_id, score): each query's ``k`` highest scores among all other rows."""
     s = settings
     x = F.col("embedding")
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v.cast("double")) == float("inf")))
+    # A power of two: the 64-fold of a double is exact or infinite.
+    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(64 * v.cast("double")) >= float(1 << 63)))
     rows = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & ~bad).select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.transform(x, lambda v: v.cast("double")).alias("v"),
@@ -127,7 +161,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, settings: SearchSettings = Sea
         width = max(left["v"].map(len).max(), right["v"].map(len).max())
         qi, ci, score = search_cell(_matrix(list(left["v"]), width), q_ids, _matrix(list(right["v"]), width), c_ids, s)
         # Candidates lie by vec_id, so a stable order by score settles ties.
-        order = np.lexsort((ci, -score, qi))
+        order = np.lexsort((ci, ~score, qi))
         qi, ci, score = qi[order], ci[order], score[order]
         place = np.arange(len(qi)) - np.searchsorted(qi, qi)
         best = place < s.k
