@@ -7,7 +7,8 @@ that satisfy any clause are the rule's candidates, and only on those its pattern
 whose query may be empty, like bare runs of hex digits, scans all documents.
 
 Where matches begin and end follows from the texts between them: ``split`` gives the gaps,
-``regexp_extract_all`` the matches, and their lengths add up. Offsets are code points.
+``regexp_extract_all`` the matches, and their lengths add up. Offsets are code points; spans also have
+those of bytes, by which texts are cut for masking.
 
 A document is known by its id and a hash of its text, so rows that share an id are told apart; rows
 equal in both are alike in everything and are reported one by one.
@@ -22,6 +23,7 @@ row; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -103,25 +105,79 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame | No
     return marked.where(reduce(or_, [F.col(f"may_{kind}") for kind in queries])), everywhere
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array's longs what ``add`` makes of 0 and all longs before it.
+
+    An array can only grow by being copied, so it is made of about as many pieces as each has
+    elements: the work follows the power 1.5 of the size, not the square.
+    """
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<long>")
+
+    def inside(piece: Column, first: Column) -> Column:
+        step = lambda acc, x: F.struct(add(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(piece, F.struct(first.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    def of(array: Column, n: Column) -> Column:
+        places = F.sequence(F.lit(0), n - 1)
+        pieces = F.transform(places, lambda i: F.slice(array, i * n + 1, n))
+        firsts = lambda totals: F.transform(places, lambda i: F.aggregate(F.slice(totals, 1, i), zero, lambda a, b: add(a, b)))
+        return _let(
+            pieces,
+            lambda p: _let(
+                F.transform(p, lambda x: F.aggregate(x, zero, lambda a, b: add(a, b))), lambda t: F.flatten(F.zip_with(p, firsts(t), inside))
+            ),
+        )
+
+    return _let(values, lambda v: _let(F.greatest(F.ceil(F.sqrt(F.size(v))), F.lit(1)).cast("int"), lambda n: of(v, n)))
+
+
 def rule_spans(text: Column, rule: Rule, number: int) -> Column:
-    """array<struct<start, kind, stop>> of the rule's matches in ``text``."""
+    """Spans of the rule's matches in ``text``."""
     pattern = F.lit(rule.pattern)
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
     parts = F.arrays_zip(
         F.split(text, rule.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"),
-        F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("secret"),
+        found.alias("found"),
+        (F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found).alias("secret"),
+    )
+    long = lambda n: F.coalesce(n, F.lit(0)).cast("long")
+    sizes = F.transform(
+        parts,
+        lambda x: F.struct(
+            long(F.length(x["gap"])).alias("gap"),
+            long(F.length(x["found"])).alias("found"),
+            long(F.octet_length(x["gap"])).alias("gap_bytes"),
+            long(F.octet_length(x["found"])).alias("found_bytes"),
+            F.coalesce(F.length(x["secret"]) >= rule.least, F.lit(False)).alias("counts"),
+        ),
     )
-    kind = "array<struct<start:int,kind:int,stop:int>>"
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.coalesce(F.length(x["found"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), stop.alias("stop"))
-        counts = F.length(x["secret"]) >= rule.least
-        return F.struct(stop.alias("at"), F.when(counts, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+    def spans(sizes: Column) -> Column:
+        add = lambda a, b: a + b
+        at = running(F.transform(sizes, lambda x: x["gap"] + x["found"]), add).alias("at")
+        byte = running(F.transform(sizes, lambda x: x["gap_bytes"] + x["found_bytes"]), add).alias("byte")
+        placed = F.filter(F.arrays_zip(sizes.alias("size"), at, byte), lambda x: x["size"]["counts"])
+        return F.transform(placed, lambda x: span(x["at"] + x["size"]["gap"], x["byte"] + x["size"]["gap_bytes"], x["size"]))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-    return F.aggregate(parts, start, step, lambda acc: acc["spans"])
+    def span(start: Column, byte: Column, size: Column) -> Column:
+        return F.struct(
+            start.cast("int").alias("start"),
+            F.lit(number).alias("kind"),
+            (start + size["found"]).cast("int").alias("stop"),
+            byte.alias("start_byte"),
+            (byte + size["found_bytes"]).alias("stop_byte"),
+        )
+
+    return _let(sizes, spans)
+
+
+# A match by places of characters, and by those of bytes.
+SPANS = "array<struct<start:int,kind:int,stop:int,start_byte:bigint,stop_byte:bigint>>"
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -134,7 +190,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         marks = written(found, "candidates").withColumnsRenamed({"doc_id": "mark_id", "text_hash": "mark_hash"})
         same = F.col("doc_id").eqNullSafe(F.col("mark_id")) & (F.col("text_hash") == F.col("mark_hash"))
         keyed = keyed.join(marks, same, "left")
-    none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
+    none = F.array().cast(SPANS)
     spans = []
     for number, rule in enumerate(rules):
         may = F.col("text").rlike(rule.pattern) if rule.kind in everywhere else F.coalesce(f"may_{rule.kind}", F.lit(False))
@@ -166,17 +222,18 @@ def secret_digest(docs: DataFrame) -> DataFrame:
 def masked(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span of ``text``, overlaps merged, replaced by ``mark``; null stays null."""
     found = find_secrets(docs)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        parts = F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
-        return F.struct(
-            F.greatest(acc["at"], s["stop"]).alias("at"),
-            F.when(fresh, parts).otherwise(acc["parts"]).alias("parts"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    rest = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    clean = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(F.col("text"))
+    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+
+    def cut(raw: Column, spans: Column) -> Column:
+        """The text between spans, cut by bytes, which needs no walk from its start."""
+        # How far all spans before one reach: it is marked unless it begins before that.
+        reach = running(F.transform(spans, lambda s: s["stop_byte"]), F.greatest)
+        piece = lambda s, at: F.concat(F.substring(raw, (at + 1).cast("int"), (s["start_byte"] - at).cast("int")).cast("string"), F.lit(mark))
+        kept = F.zip_with(spans, reach, lambda s, at: F.when(s["start_byte"] >= at, piece(s, at)).otherwise(""))
+        end = F.array_max(F.transform(spans, lambda s: s["stop_byte"]))
+        rest = F.substring(raw, (end + 1).cast("int"), F.octet_length(raw)).cast("string")
+        return F.concat(F.array_join(kept, ""), rest)
+
+    clean = _let(raw, lambda r: _let(F.col("spans"), lambda s: cut(r, s)))
+    clean = F.when(F.size("spans") > 0, clean).otherwise(F.col("text"))
     return found.select(*[clean.alias("text") if c == "text" else F.col(c) for c in found.columns if c != "spans"])
