@@ -17,8 +17,9 @@ Scale: rows are batch-distinct lines times a dozen keys of three numbers; one sh
 keys of a single line vanish there. A line that occurs in a third of all documents is one node. All pairs
 of a bucket are compared, since the links of each line are counted; two lines whose bitmaps of
 neighbouring characters differ in more places than the edits could change are no candidates, so their texts
-never meet. Links are joined between distinct lines, with counts of their occurrences. Lines are known by
-64-bit hashes of their whole content; their texts are fetched only for buckets.
+never meet. Links are joined between distinct lines, with counts of their occurrences. Lines are numbered by a
+64-bit hash of their whole content, and are equal if a second one agrees as well; two lines under one number are
+never taken for each other. Their texts are fetched only for buckets.
 
 Defined results: a line ends at ``\\n`` or at the end of its text; a null text stays null and has no
 lines; an empty text is one empty line; null ids come last; rows equal in id and text are one
@@ -57,6 +58,9 @@ EVERY_LINE = LineSettings(exact_from=1)
 
 _hasher = SpanHasher()
 
+# What sets a line's second hash apart from its first.
+_SECOND = 0x5851F42D
+
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = "".join(texts).encode("utf-32-le", "surrogatepass")
@@ -223,7 +227,7 @@ def line_classes(docs: DataFrame, s: LineSettings = LineSettings()) -> DataFrame
         _keyed(docs)
         .select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
         .where(F.length("line") >= min(s.exact_from, s.least_chars))
-        .withColumn("node", F.xxhash64("line"))
+        .withColumns({"node": F.xxhash64("line"), "check": F.xxhash64(F.lit(_SECOND), "line")})
     )
     every, lines = lines, lines.where(F.length("line") >= s.least_chars)
     members = written(shared_buckets(line_keys(lines, s)), "buckets")
@@ -231,36 +235,42 @@ def line_classes(docs: DataFrame, s: LineSettings = LineSettings()) -> DataFrame
     indexed = members.groupBy("bucket").agg(F.max("center").alias("some")).where("some = 1").select("bucket")
     members = written(members.join(indexed, "bucket", "left_semi"), "members")
     nodes = written(members.select("node").distinct(), "nodes")
-    texts = lines.select("node", "line").join(if_small(nodes, 24), "node", "left_semi").dropDuplicates(["node"])
+    texts = lines.select("node", "check", "line").join(if_small(nodes, 24), "node", "left_semi").dropDuplicates(["node"])
     texts = written(texts, "texts")
     members = members.join(with_sketch(texts), "node").select(
         "bucket", "node", (F.col("center") == 1).alias("center"), F.lit(0).alias("weight"), "sketch"
     )
     links = all_links(
         written(members, "members"),
-        lambda pairs: close_lines(pairs, texts, s.edits),
+        lambda pairs: close_lines(pairs, texts.select("node", "line"), s.edits),
         # Necessary: an edit takes away at most two pairs of neighbours and adds at most two.
         lambda x, y: differing_bits(x("sketch"), y("sketch"), SKETCH) <= 4 * s.edits,
     )
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "line_no")
-    places = written(every.select("doc_id", "text_hash", "line_no", "node"), "places")
+    places = written(every.select("doc_id", "text_hash", "line_no", "node", "check"), "places")
     # One row per distinct line: its occurrences, and those of the lines linked with it.
-    distinct = places.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+    line = ["node", "check"]
+    distinct = places.groupBy(*line).agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     if links is None:
         distinct = written(distinct.where("copies > 1"), "distinct")
-        shared = distinct.select("node", F.col("node").alias("class"), "first", (F.col("copies") - 1).alias("links"))
+        shared = distinct.select(*line, F.col("node").alias("class"), "first", (F.col("copies") - 1).alias("links"))
     else:
-        roots = written(components(links).toDF("node", "class"), "roots")
+        # Links are those of the line that was compared, not of another one under the same number.
+        roots = components(links).toDF("node", "class").join(texts.select(*line), "node")
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("node", "other")
-        distinct = distinct.join(roots, "node", "left").where("copies > 1 or class is not null")
-        distinct = written(distinct.withColumn("class", F.coalesce("class", "node")), "distinct")
-        others = both.join(distinct.select(F.col("node").alias("other"), "copies"), "other")
-        others = others.groupBy("node").agg(F.sum("copies").alias("others"))
-        classes = distinct.groupBy("class").agg(F.min("first").alias("first"))
-        shared = distinct.select("node", "class", "copies").join(others, "node", "left").join(classes, "class")
-        shared = shared.select("node", "class", "first", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+        distinct = distinct.join(written(roots.withColumn("linked", F.lit(True)), "roots"), line, "left")
+        distinct = distinct.where("copies > 1 or linked").withColumns(
+            {"class": F.coalesce("class", "node"), "apart": F.when(F.col("linked"), 0).otherwise(F.col("check"))}
+        )
+        distinct = written(distinct, "distinct")
+        linked = distinct.where("linked")
+        others = both.join(linked.select(F.col("node").alias("other"), "copies"), "other")
+        others = others.groupBy("node").agg(F.sum("copies").alias("others")).withColumn("linked", F.lit(True))
+        classes = distinct.groupBy("class", "apart").agg(F.min("first").alias("first"))
+        shared = distinct.drop("first").join(others, ["node", "linked"], "left").join(classes, ["class", "apart"])
+        shared = shared.select(*line, "class", "first", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
     # Written, so that the join can split a line that is a large share of all lines.
-    return places.join(written(shared, "shared"), "node").select(
+    return places.join(written(shared, "shared"), line).select(
         "doc_id", "text_hash", "line_no", "class", "links", (place == F.col("first")).alias("stays")
     )
 
