@@ -206,7 +206,8 @@ def mark_near_copies(docs: DataFrame, settings: NearSettings = NearSettings()) -
     # Full sets again, of one document for each node that shares a bucket. The more buckets a node
     # shares, the more central it is.
     weights = written(members.groupBy("node").agg((-F.count("*")).alias("weight")).join(nodes, "node"), "weights")
-    one = named.join(weights.select("hi", "lo"), ["hi", "lo"], "left_semi").groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
+    one = named.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
+    one = one.join(weights.select("hi", "lo"), ["hi", "lo"], "left_semi")
     keys = written(one.select(F.col("key.doc_id").alias("one_id"), F.col("key.text_hash").alias("one_hash")), "representatives")
     chosen = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash"))
     sets = full_sets(texts.join(if_small(keys, 64), chosen, "left_semi"), settings)

@@ -6,11 +6,14 @@ paired, the pairs sorted and named in the same way, until each document is down
 are equal exactly if they took the same number of rounds and ended with the same name: contents
 are compared by sorting, no hash decides.
 
-Scale: before the sort every task gathers the equal blocks of its batch into one row with the list
-of places, so a block that a third of all rows share is one row per batch. A hash only chooses the
-part, which needs no sample of contents at the driver; each sorted part is named in one streaming
-pass, so nothing needs a global count. Later rounds carry integers only, and only of
-documents with more than one block left. Blocks are cut by byte positions, linear in the text.
+Scale: before the sort every task gathers the equal blocks of its batch into one row, and these rows are
+written. Only the block itself travels to its part, once per batch, with the row's number; the places where
+it occurs stay in the written table and meet the name by that unique number. So a block that a third of
+all rows share loads its part with one copy per batch and nothing of its documents. A hash only chooses
+the part, which needs no sample of contents at the driver; there are as many parts as the bytes ask for,
+and each sorted part is named in one streaming pass, so nothing needs a global count. Later rounds carry
+integers only, and only of documents with more than one block left. Blocks are cut by byte positions,
+linear in the text.
 
 Defined results: null counts as empty; the empty text is one empty block and all empty texts are
 equal; of rows with equal text the smallest ``doc_id`` stays, null last; rows that share that
@@ -19,21 +22,25 @@ equal; of rows with equal text the smallest ``doc_id`` stays, null last; rows th
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineforge.llm.tables import written
+from lineforge.storage import shuffle_tasks
 
 BLOCK_BYTES = 8192
 
+# Bytes of blocks that one task sorts.
+PART_BYTES = 128 << 20
+
 
 def normalised(text: F.Column) -> F.Column:
     """Each run of white space becomes one space; null becomes empty."""
@@ -41,16 +48,19 @@ def normalised(text: F.Column) -> F.Column:
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch one row for each distinct block, with the list of its places."""
+    """Per batch one numbered row for each distinct block, with the list of its places."""
+    number = TaskContext.get().partitionId() << 40
     for batch in batches:
         blocks = batch.column(0).dictionary_encode()
-        which = blocks.indices.to_numpy(zero_copy_only=False)
+        which, n = blocks.indices.to_numpy(zero_copy_only=False), len(blocks.dictionary)
         order = np.argsort(which, kind="stable")
-        ends = np.cumsum(np.bincount(which, minlength=len(blocks.dictionary)))
+        ends = np.cumsum(np.bincount(which, minlength=n))
         lists = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], ends]), pa.int32()), batch.column(1).take(pa.array(order))
         )
-        yield pa.RecordBatch.from_arrays([blocks.dictionary, lists], names=["block", "at"])
+        numbers = pa.array(np.arange(number, number + n))
+        number += n
+        yield pa.RecordBatch.from_arrays([numbers, blocks.dictionary, lists], names=["number", "block", "at"])
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,20 +73,20 @@ def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = batch.column(0).dictionary_encode()
         names = blocks.indices.to_numpy(zero_copy_only=False).astype(np.int64) + name + (blocks.dictionary[0].as_py() != last)
         name, last = int(names[-1]), blocks.dictionary[-1].as_py()
-        lists = batch.column(1)
-        fields = lists.flatten()
-        named = pa.array(np.repeat(names, pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
-        yield pa.RecordBatch.from_arrays([*fields.flatten(), named], names=[*(f.name for f in fields.type), "name"])
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(names)], names=["number", "name"])
 
 
 def name_blocks(blocks: DataFrame) -> DataFrame:
-    """Rows (block, at) as the fields of ``at`` and a ``name``, equal for equal blocks. Runs a job."""
+    """Rows (block, at) as the fields of ``at`` and a ``name``, equal for equal blocks. Runs jobs."""
     kind = blocks.schema["at"].dataType
-    listed = T.StructType([blocks.schema["block"], T.StructField("at", T.ArrayType(kind))])
-    named = T.StructType([*kind.fields, T.StructField("name", T.LongType())])
-    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = blocks.mapInArrow(_gather, listed).repartition(tasks, "block").sortWithinPartitions("block")
-    return written(parts.mapInArrow(_name, named), "names")
+    listed = [T.StructField("number", T.LongType()), blocks.schema["block"], T.StructField("at", T.ArrayType(kind))]
+    gathered = written(blocks.mapInArrow(_gather, T.StructType(listed)), "blocks")
+    size = gathered.agg(F.coalesce(F.sum(F.octet_length("block").cast("long")), F.lit(0))).first()[0]
+    tasks = max(shuffle_tasks(blocks.sparkSession), math.ceil(size / PART_BYTES))
+    parts = gathered.select("block", "number").repartition(tasks, "block").sortWithinPartitions("block")
+    names = written(parts.mapInArrow(_name, "number long, name long"), "numbered")
+    placed = gathered.select("number", "at").join(names, "number").select(F.explode("at").alias("at"), "name")
+    return written(placed.select("at.*", "name"), "names")
 
 
 def identities(rows: DataFrame) -> DataFrame:
