@@ -496,6 +496,13 @@ def oracle_sql() -> dict[str, str]:
             """SELECT market, count(*) AS lines, avg(late_delivery_risk) AS late_rate
                FROM silver GROUP BY market"""
         ),
+        "dash_late_levels": _silver(
+            """SELECT shipping_mode, market, CAST(0 AS BIGINT) AS level, count(*) AS lines, avg(late_delivery_risk) AS late_rate
+               FROM silver GROUP BY shipping_mode, market
+               UNION ALL SELECT shipping_mode, NULL, 1, count(*), avg(late_delivery_risk) FROM silver GROUP BY shipping_mode
+               UNION ALL SELECT NULL, market, 2, count(*), avg(late_delivery_risk) FROM silver GROUP BY market
+               UNION ALL SELECT NULL, NULL, 3, count(*), avg(late_delivery_risk) FROM silver"""
+        ),
         "dash_unprofitable_share": _star(
             """SELECT count(*) AS lines,
                       avg(CASE WHEN profit_per_order < 0 THEN 1.0 ELSE 0.0 END) AS unprofitable_share

@@ -427,6 +427,7 @@ _QUERIES: dict[str, Query] = {
         dashboard.late_by, "dim_shipping_mode", key="shipping_mode_key", level="shipping_mode"
     ),
     "dash_late_by_market": _silver(dashboard.late_by_market),
+    "dash_late_levels": _silver(dashboard.late_levels),
     "dash_unprofitable_share": _star(dashboard.unprofitable_share),
     "dash_category_margin": _star(dashboard.category_margin, "dim_product"),
     "dash_segment_margin": _star(dashboard.segment_margin, "dim_customer"),
