@@ -122,9 +122,10 @@ class Lakehouse:
     ``source`` gives the raw lines whenever bronze is built. ``prefix`` names the schemas
     ``<prefix>_bronze``, ``_silver`` and ``_gold``, plain layer names if it is empty. The tables
     are a snapshot, stored under names of their own; ``refresh`` begins another one. ``build``
-    makes every table and then lets the plain names, which are views, show that build; until then
-    they show the one before, and so they do if a build fails. So the keys of a stored fact never
-    meet a dimension of another build. ``open`` reads what the plain names show. With ``keep_keys``
+    makes every table and then lets one view, ``current_build``, name that build, and the plain names,
+    which are views as well, show it; until then they show the one before, and so they do if a build
+    fails. ``open`` reads the build that is named, so the keys of a stored fact never meet a dimension
+    of another build. With ``keep_keys``
     a natural key that any build under ``prefix`` has numbered keeps its number; without, every build
     numbers from 1 in the order of natural keys.
     """
@@ -175,13 +176,20 @@ class Lakehouse:
 
     @classmethod
     def open(cls, spark: SparkSession, prefix: str, settings: Settings | None = None) -> Lakehouse:
-        """The last build under ``prefix``, read through its plain names; nothing is built."""
+        """The last build under ``prefix``; nothing is built.
+
+        Which one that is is read once, from one view, so all tables are of one build, also while
+        another one is being shown.
+        """
 
         def nothing() -> DataFrame:
             raise ValueError("an opened lakehouse has no source to build from")
 
         opened = cls(spark, nothing, prefix, settings)
-        opened._suffix = ""
+        shown = spark.table(opened._pointer()).first() if spark.catalog.tableExists(opened._pointer()) else None
+        if shown is None:
+            raise ValueError(f"no build to open, missing {opened._pointer()}")
+        opened._suffix = shown.suffix
         missing = [table for table in opened._shown() if not spark.catalog.tableExists(opened.name(table))]
         if missing:
             raise ValueError(f"no build to open, missing {', '.join(missing)}")
@@ -246,6 +254,10 @@ class Lakehouse:
         known, now = self._known_keys(dimension), self.gold(dimension)
         return now.select(*on, name) if known is None else extend_keys(known, now, on, name)
 
+    def _pointer(self) -> str:
+        """View of one row that names the build shown."""
+        return f"{self.schemas['gold']}.current_build"
+
     def _shown(self) -> list[str]:
         """Tables that stay and have a plain name."""
         return [table for step in self._steps for table in step if table != SORTED_TABLE]
@@ -294,7 +306,8 @@ class Lakehouse:
         return {table: self.counts[table] for table in self._shown() if table in self.counts}
 
     def _show(self) -> None:
-        """Let the plain names show this build, and remove the tables of those before."""
+        """Let the pointer, then the plain names, show this build, and remove the tables of those before."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self._pointer()} AS SELECT '{self._suffix}' AS suffix")
         tables = [table.partition(".") for table in self._shown()]
         for layer, _, short in tables:
             schema = self.schemas[layer]

@@ -95,3 +95,30 @@ def test_a_second_build_with_more_products_renumbers_none(spark, small_dir, tmp_
         missing = lake.fact().where("product_key is null or customer_key is null or shipping_mode_key is null")
         assert missing.isEmpty()
     lake.drop()
+
+
+def test_a_reader_between_two_views_sees_one_build(spark, small_dir, tmp_path, monkeypatch):
+    """A build that stops after its first view: what opens then is of that build, table by table."""
+    lines = order_lines(spark, small_dir)
+    options = {"settings": TABLE_SETTINGS, "location": str(tmp_path / "lake")}
+    first = Lakehouse(spark, lambda: lines.where("order_item_id % 40 = 0"), "halfway", **options)
+    first.build()
+    second = Lakehouse(spark, lambda: lines, "halfway", **options)
+    sql, shown = type(spark).sql, []
+
+    def stopping(self, query, *args, **kwargs):
+        if "CREATE OR REPLACE VIEW" in query:
+            shown.append(query)
+            if len(shown) > 2:
+                raise RuntimeError("stopped")
+        return sql(self, query, *args, **kwargs)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", stopping)
+        with pytest.raises(RuntimeError, match="stopped"):
+            second.build()
+    opened = Lakehouse.open(spark, "halfway", TABLE_SETTINGS)
+    assert opened.fact().count() == opened.silver().count() == second.silver().count()
+    assert opened.gold("dim_product").count() == second.gold("dim_product").count() > first.gold("dim_product").count()
+    assert same_rows(opened.plan_fact(), opened.fact())
+    second.drop()
