@@ -73,12 +73,12 @@ def connect(
     ``center`` says whether a node may be the left side of a pair in that bucket; pairs of two nodes
     that may not are no candidates. Centers of small ``weight`` come first. ``possible(x, y)`` is a
     necessary condition on two members' columns, ``verified`` keeps the true links of pairs (a, b).
-    ``first`` picks the buckets of an opening round, a few that hold most links, so that later rounds
-    find most nodes connected. Both results are None without any link.
+    ``first`` picks the buckets of the opening round, a few that hold most links, so that later rounds
+    find most nodes connected; without it that round takes all. Both results are None without any link.
     """
     roots = links = tested = None
     carried = [c for c in members.columns if c not in ("bucket", "center")]
-    rounds = [(first, CENTERS[0])] * (first is not None) + [(None, n) for n in CENTERS] + [(None, None)]
+    rounds = [(first, CENTERS[0]), *((None, n) for n in CENTERS[1:]), (None, None)]
     for picked, salts in rounds:
         now = members if picked is None else members.where(picked)
         if roots is None:

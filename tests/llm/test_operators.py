@@ -537,5 +537,5 @@ def test_block_names_against_sql(spark, small_dir, tmp_path):
 
 def test_queries_are_named_by_number():
     names = list(registry.queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert registry.oracle_sql().keys() <= set(names)
