@@ -28,9 +28,9 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,9 +147,18 @@ def in_segments(turns: DataFrame, settings: ChatSettings) -> DataFrame:
 WINDOW = "segment int, window int, formatted string, loss array<struct<start:int,stop:int>>, repeated int, tokens long"
 
 
-def cut_windows(turns: pd.DataFrame, settings: ChatSettings) -> list[tuple]:
-    """(window, formatted, loss spans, number of repeated turns, tokens) of one segment."""
-    rows = list(turns.sort_values(["prefix"], kind="stable")[["kind", "role", "text", "tokens", "prefix"]].itertuples(index=False))
+class Turn(NamedTuple):
+    """A turn as one segment has it."""
+
+    role: str
+    text: str
+    tokens: int
+    prefix: int
+    kind: str
+
+
+def cut_windows(rows: list[Turn], settings: ChatSettings) -> list[tuple]:
+    """(window, formatted, loss spans, number of repeated turns, tokens) of one segment, its turns by ``prefix``."""
     own = [r for r in rows if r.kind == "own"]
     earlier = [r for r in rows if r.kind == "history"]
     lead = [r for r in rows if r.kind == "system"]
@@ -186,20 +195,47 @@ def cut_windows(turns: pd.DataFrame, settings: ChatSettings) -> list[tuple]:
 
 def format_chats(turns: DataFrame, tokenizer_path: str, settings: ChatSettings = ChatSettings()) -> DataFrame:
     """One row per window: the formatted text, spans under the loss mask (code points), repeated turns."""
-    placed = in_segments(with_prefix(with_tokens(turns, tokenizer_path), settings), settings)
+    counted = written(with_tokens(turns, tokenizer_path), "turns")
+    placed = in_segments(with_prefix(counted, settings), settings)
     key = turns.select("conv_id").schema.fields
     schema = T.StructType([*key, *T.StructType.fromDDL(WINDOW).fields])
+    columns = ["conv_id", "segment", "role", "text", "tokens", "prefix", "kind"]
 
-    def cut(group: pd.DataFrame) -> pd.DataFrame:
-        windows = cut_windows(group, settings)
-        conv, segment = group["conv_id"].iloc[0], group["segment"].iloc[0]
-        rows = [
-            (conv, segment, number, text, [{"start": a, "stop": b} for a, b in loss], repeated, tokens)
-            for number, text, loss, repeated, tokens in windows
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            out = []
+            for conv, segment, *turn in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and (conv, segment) != at:
+                    out += [(*at, *window) for window in cut_windows(held, settings)]
+                    held = []
+                at = (conv, segment)
+                held.append(Turn(*turn))
+            if out:
+                yield as_batch(out, batch.schema.field(0).type)
+        # A segment without turns of its own, only copies, has no windows.
+        out = [(*at, *window) for window in cut_windows(held, settings)] if held else []
+        if out:
+            yield as_batch(out, batch.schema.field(0).type)
+
+    spans = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+
+    def as_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        conv, segment, number, text, loss, repeated, tokens = zip(*rows, strict=True)
+        marks = [[{"start": a, "stop": b} for a, b in x] for x in loss]
+        arrays = [
+            pa.array(conv, kind),
+            pa.array(segment, pa.int32()),
+            pa.array(number, pa.int32()),
+            pa.array(text, pa.string()),
+            pa.array(marks, spans),
+            pa.array(repeated, pa.int32()),
+            pa.array(tokens, pa.int64()),
         ]
-        return pd.DataFrame(rows, columns=[f.name for f in schema])
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return placed.groupBy("conv_id", "segment").applyInPandas(cut, schema)
+    dealt = placed.select(*columns).repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "prefix")
+    return dealt.mapInArrow(cut, schema)
 
 
 DIGEST = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
