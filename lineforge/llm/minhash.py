@@ -108,10 +108,7 @@ def describe(docs: DataFrame, settings: NearSettings) -> DataFrame:
 
 
 def shared_tables(described: DataFrame, settings: NearSettings) -> tuple[DataFrame, DataFrame]:
-    """Nodes (node, hi, lo) that may be in a table with others, and (bucket, node) of the tables. Runs jobs.
-
-    The lowest byte of a bucket counts j - i, 0 the diagonal.
-    """
+    """Nodes (node, hi, lo) that may be in a table with others, and (bucket, node) of the tables. Runs jobs."""
     n = settings.halves
     bands = described.where("n_shingles > 0").select("hi", "lo", F.posexplode("bands").alias("i", "band"))
     several = bands.groupBy("i", "band").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("hi", "lo")])
@@ -121,10 +118,7 @@ def shared_tables(described: DataFrame, settings: NearSettings) -> tuple[DataFra
     alive = alive.withColumns({"a": side(0), "b": side(n)}).where("size(a) > 0 and size(b) > 0").drop("bands")
     nodes = written(alive.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    def key(x: Column, y: Column) -> Column:
-        shift = F.least(F.pmod(y["i"] - x["i"], F.lit(n)), F.lit(255))
-        return F.xxhash64(x["i"], x["band"], y["i"], y["band"]).bitwiseAND(F.lit(~255)).bitwiseOR(shift.cast("long"))
-
+    key = lambda x, y: F.xxhash64(x["i"], x["band"], y["i"], y["band"])
     keys = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: key(x, y))))
     members = nodes.select("node", F.explode(keys).alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
@@ -229,7 +223,7 @@ def mark_near_copies(docs: DataFrame, settings: NearSettings = NearSettings()) -
         both = F.size(F.array_intersect("set_a", "set_b"))
         return near.where(_similar(both, F.size("set_a"), F.size("set_b"), settings.percent)).select("a", "b")
 
-    roots, _ = connect(members, verified, possible, first=F.col("bucket").bitwiseAND(F.lit(255)) == 0)
+    roots, _ = connect(members, verified, possible)
     if roots is None:
         placed = named.withColumns({"root_hi": F.col("hi"), "root_lo": F.col("lo")})
     else:
