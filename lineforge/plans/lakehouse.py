@@ -48,6 +48,9 @@ FIRST_TABLE = "bronze.order_lines"
 # Raw lines by outcome, from which both tables of silver are read; gone once a build is shown.
 SORTED_TABLE = "silver.sorted_lines"
 
+# Tables that ``buckets`` deals alike, and by what: those of the one join whose sides may both be large.
+BUCKETED = {"silver.order_lines": "customer_id", "gold.dim_customer": "customer_id"}
+
 # Natural key and number of the dimensions that are numbered.
 NUMBERED = {
     "dim_product": (("product_card_id",), "product_key"),
@@ -127,7 +130,9 @@ class Lakehouse:
     fails. ``open`` reads the build that is named, so the keys of a stored fact never meet a dimension
     of another build. With ``keep_keys``
     a natural key that any build under ``prefix`` has numbered keeps its number; without, every build
-    numbers from 1 in the order of natural keys.
+    numbers from 1 in the order of natural keys. ``buckets`` stores the lines and the customers dealt
+    by customer into that many files, so that they join without a shuffle; leave it out where a few
+    customers have a large share of the lines, whose bucket one task would read.
     """
 
     def __init__(
@@ -138,8 +143,10 @@ class Lakehouse:
         settings: Settings | None = None,
         location: str | None = None,
         keep_keys: bool = False,
+        buckets: int = 0,
     ) -> None:
         self.spark = spark
+        self._buckets = buckets
         self._steps = (*STEPS, KEY_STEP) if keep_keys else STEPS
         self.settings = settings or Settings()
         before = f"{prefix}_" if prefix else ""
@@ -236,7 +243,9 @@ class Lakehouse:
                     create_layers(self.spark, self.schemas.values(), self._location)
                 with scratch(self.spark):
                     parts = [OUTCOME] if table == SORTED_TABLE else []
-                    self.counts[table] = write_counted(self._builders[table](), self.name(table), parts)
+                    by = BUCKETED.get(table)
+                    buckets = self._buckets if by else 0
+                    self.counts[table] = write_counted(self._builders[table](), self.name(table), parts, buckets, by)
                 fit_shuffle(self.spark, self.counts[table])
         return self.spark.table(self.name(table))
 

@@ -22,9 +22,20 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def write_counted(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
-    """As ``write_table``; the number of rows, counted by the tasks that write them."""
+def write_counted(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), buckets: int = 0, bucket_by: str | None = None
+) -> int:
+    """As ``write_table``; the number of rows, counted by the tasks that write them.
+
+    ``buckets`` and ``bucket_by`` store the table dealt by a key, one file per bucket, so that
+    tables dealt alike join on that key without a shuffle.
+    """
     written = Observation()
+    if buckets:
+        df = df.repartition(buckets, bucket_by)
     counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    writer = counted.write.mode("overwrite").partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    writer.saveAsTable(name)
     return written.get["n"]

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import same_rows
+from conftest import final_plan, same_rows
 from lineforge.operators import dense_key, extend_keys, stable_key
+from lineforge.plans.fact import customer_fk
 from lineforge.plans.lakehouse import NUMBERED, SORTED_TABLE, STEPS, Lakehouse
 from lineforge.plans.silver import clean_orders, rejected_orders, sort_orders, sorted_clean, sorted_rejected
 from lineforge.settings import Settings
@@ -122,3 +123,19 @@ def test_a_reader_between_two_views_sees_one_build(spark, small_dir, tmp_path, m
     assert opened.gold("dim_product").count() == second.gold("dim_product").count() > first.gold("dim_product").count()
     assert same_rows(opened.plan_fact(), opened.fact())
     second.drop()
+
+
+def test_bucketed_lines_and_customers_join_where_they_lie(spark, conf, lake, tmp_path):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="4",
+    )
+    built = Lakehouse(spark, lake.bronze, "dealt", TABLE_SETTINGS, str(tmp_path / "lake"), buckets=6)
+    counts = built.build()
+    assert counts["silver.order_lines"] == lake.silver().count()
+    joined = customer_fk(built.silver(), built.gold("dim_customer"), dim_rows=counts["gold.dim_customer"])
+    plan = final_plan(joined)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert same_rows(built.fact(), lake.fact())
+    built.drop()

@@ -16,6 +16,18 @@ def test_constant_columns(spark):
     }
 
 
+def test_one_scan_settles_all_but_constant_text(spark, tmp_path):
+    """Texts that are all equal are compared by value; everything else is known after one pass."""
+    path = str(tmp_path / "t")
+    spark.range(500).selectExpr("id", "id % 1 as same", "cast(id as string) as text", "'x' as one", "id / 3.0 as d").write.parquet(path)
+    read = spark.read.parquet(path)
+    plan = profile_constant_columns(read)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "one" in plan.split("Relation [")[0]
+    assert "Relation [" not in profile_constant_columns(read.drop("one"))._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.column_name: tuple(r)[1:] for r in profile_constant_columns(read.limit(0)).collect()}
+    assert set(got.values()) == {(0, True)} and len(got) == 5
+
+
 def test_constant_agrees_with_distinct_counts(lake):
     bronze = lake.bronze()
     counted = profile_distinct(bronze, bronze.columns).first().asDict()
