@@ -488,6 +488,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dash_top_units": _star(_top("quantity", "units", as_double=False)),
         "dash_top_revenue": _star(_top("sales", "sales", as_double=True)),
+        "distinct_keys_by_year": _star(
+            "\nUNION ALL ".join(
+                f"""SELECT CAST(order_date_key // 10000 AS INTEGER) AS order_year, '{key}' AS column_name,
+                           count(DISTINCT {key}) AS n_distinct
+                    FROM fact WHERE {key} IS NOT NULL GROUP BY 1"""
+                for key in ("customer_key", "product_key", "geo_key", "shipping_mode_key", "ship_date_key")
+            )
+        ),
         "dash_late_overall": _star(
             "SELECT count(*) AS lines, avg(late_delivery_risk) AS late_rate FROM fact"
         ),

@@ -19,10 +19,12 @@ from pyspark.sql import types as T
 from lineforge.functions import parse_timestamp
 from lineforge.operators import (
     Spread,
+    code_bitmaps,
     current_versions,
     date_bounds,
     date_spine,
     day_observations,
+    distinct_codes,
     former_versions,
     key_report,
     merge_snapshots,
@@ -260,6 +262,17 @@ def _foreign_key(
     return run
 
 
+FACT_KEYS = ("customer_key", "product_key", "geo_key", "shipping_mode_key", "ship_date_key")
+
+
+def distinct_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Different keys in the fact per year of order, merged from the bitmaps of months."""
+    month = F.expr("order_date_key div 100").cast("int").alias("month")
+    months = code_bitmaps(lakehouse_for(spark, folder).fact().select(month, *FACT_KEYS), FACT_KEYS, ["month"])
+    years = months.withColumn("order_year", F.expr("month div 100").cast("int"))
+    return distinct_codes(years, ["order_year"])
+
+
 # --- round trips ------------------------------------------------------------------------
 
 
@@ -419,6 +432,7 @@ _QUERIES: dict[str, Query] = {
     "kpi_segment_as_was": _star(kpi.segment_kpi, "dim_customer", mode="as_was"),
     "kpi_segment_as_is": _star(kpi.segment_kpi, "dim_customer", mode="as_is"),
     "sql_market_summary": market_summary,
+    "distinct_keys_by_year": distinct_keys,
     "dash_department_share": _star(dashboard.department_share, "dim_product"),
     "dash_top_units": _star(dashboard.top_products, "dim_product", by="units"),
     "dash_top_revenue": _star(dashboard.top_products, "dim_product", by="sales"),

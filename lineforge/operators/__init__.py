@@ -1,5 +1,6 @@
 """Reusable operators, each a function from DataFrames to a DataFrame."""
 
+from lineforge.operators.bitmaps import code_bitmaps, distinct_codes
 from lineforge.operators.calendar import build_date_dimension, date_bounds, date_spine
 from lineforge.operators.dedup import first_per_key, latest_per_key
 from lineforge.operators.dimension import build_dimension, natural_rows
@@ -19,11 +20,13 @@ __all__ = [
     "Spread",
     "build_date_dimension",
     "build_dimension",
+    "code_bitmaps",
     "current_versions",
     "date_bounds",
     "date_spine",
     "day_observations",
     "dense_key",
+    "distinct_codes",
     "extend_keys",
     "first_per_key",
     "former_versions",

@@ -1,4 +1,4 @@
-from lineforge.operators import profile_constant_columns, profile_distinct
+from lineforge.operators import code_bitmaps, distinct_codes, profile_constant_columns, profile_distinct
 
 
 def test_exact_and_sketched_distinct_counts(spark):
@@ -34,3 +34,14 @@ def test_constant_agrees_with_distinct_counts(lake):
     constant = {r.column_name: r.is_constant for r in profile_constant_columns(bronze).collect()}
     assert constant == {name: n <= 1 for name, n in counted.items()}
     assert constant["customer_email"] and constant["product_description"] and not constant["product_image"]
+
+
+def test_bitmaps_count_what_distinct_counts_do(spark, lake):
+    fact = lake.fact()
+    keys = [c for c in fact.columns if c.endswith("_key")]
+    whole = {r.column_name: r.n_distinct for r in distinct_codes(code_bitmaps(fact, keys, ["order_status"])).collect()}
+    assert whole == profile_distinct(fact, keys).first().asDict()
+    odd = spark.createDataFrame([(x, g) for x in (None, -70000, -1, 0, 1, 32768, 32769, 2**40, 1) for g in ("a", None)], "x long, g string")
+    parts = distinct_codes(code_bitmaps(odd, ["x"], ["g"]), ["g"]).collect()
+    assert {(r.g, r.n_distinct) for r in parts} == {("a", 7), (None, 7)}
+    assert distinct_codes(code_bitmaps(odd.limit(0), ["x"])).isEmpty()
