@@ -66,18 +66,21 @@ def connect(
     members: DataFrame,
     verified: Callable[[DataFrame], DataFrame],
     possible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    first: Column | None = None,
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Components (node, root) and links (a, b) of written ``members`` (bucket, node, center, weight, ...).
 
     ``center`` says whether a node may be the left side of a pair in that bucket; pairs of two nodes
     that may not are no candidates. Centers of small ``weight`` come first. ``possible(x, y)`` is a
     necessary condition on two members' columns, ``verified`` keeps the true links of pairs (a, b).
-    Both results are None without any link.
+    ``first`` picks the buckets of an opening round, a few that hold most links, so that later rounds
+    find most nodes connected. Both results are None without any link.
     """
     roots = links = tested = None
     carried = [c for c in members.columns if c not in ("bucket", "center")]
-    for salts in (*CENTERS, None):
-        now = members
+    rounds = [(first, CENTERS[0])] * (first is not None) + [(None, n) for n in (*CENTERS, None)]
+    for picked, salts in rounds:
+        now = members if picked is None else members.where(picked)
         if roots is None:
             now = now.withColumn("root", F.col("node"))
         else:
@@ -91,7 +94,7 @@ def connect(
             .agg(F.min(F.struct("weight", *[c for c in carried if c != "weight"], "root")).alias("c"), F.count("*").alias("n"))
         )
         centers = written(centers, "centers")
-        last = centers.where("n > 1").isEmpty()
+        last = picked is None and centers.where("n > 1").isEmpty()
         pairs = (
             now.join(centers.select("bucket", "c"), "bucket")
             .where((F.col("root") != F.col("c.root")) & possible(F.col, lambda name: F.col(f"c.{name}")))
