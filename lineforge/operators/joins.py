@@ -18,8 +18,8 @@ from lineforge.operators.sweep import sweep_join
 from lineforge.storage import materialise, shuffle_tasks
 
 # Up to this many counted rows, and this many bytes of their columns, go to every executor.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 100 << 20
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 128 << 20
 
 # What a value of fixed size takes in a row, and a text beside its letters.
 VALUE_BYTES = 8

@@ -28,13 +28,14 @@ def write_counted(
     """As ``write_table``; the number of rows, counted by the tasks that write them.
 
     ``buckets`` and ``bucket_by`` store the table dealt by a key, one file per bucket, so that
-    tables dealt alike join on that key without a shuffle.
+    tables dealt alike join on that key without a shuffle. Files are compressed by zstd, which takes
+    clearly fewer bytes than the default for texts and amounts.
     """
     written = Observation()
     if buckets:
         df = df.repartition(buckets, bucket_by)
     counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-    writer = counted.write.mode("overwrite").partitionBy(*partition_by)
+    writer = counted.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by)
     if buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)

@@ -107,3 +107,11 @@ def test_few_but_wide_rows_are_not_broadcast(spark, conf):
     assert "broadcast" not in plan(broadcast_bytes=40_000)
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     assert "broadcast" not in plan()
+
+
+def test_many_narrow_rows_are_broadcast(spark):
+    """A key and a number of 1.2 million rows are 19 MB: no reason to move the lines."""
+    fact, dim = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).selectExpr("id", "id + 1 as n")
+    plan = lambda rows: lookup_join(fact, dim, {"k": "id"}, ["n"], dim_rows=rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(1_200_000)
+    assert "broadcast" not in plan(20_000_000)

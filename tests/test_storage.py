@@ -63,3 +63,8 @@ def test_a_cluster_on_one_machine_is_a_cluster():
     session = FakeSession(**{"spark.master": "local-cluster[2,1,512]", "spark.app.id": "b"})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.shared_folder(session)
+
+
+def test_stored_tables_are_compressed_by_zstd(spark, tmp_path):
+    create_layers(spark, ["z_silver"], str(tmp_path))
+    assert all(".zstd." in path for path in write_table(spark.range(5), "z_silver.numbers").inputFiles())
