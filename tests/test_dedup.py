@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from conftest import final_plan, same_rows
-from lineforge.operators import first_per_key, latest_per_key
+from lineforge.operators import dedup, first_per_key, latest_per_key
 
 SCHEMA = "k string, n int, at timestamp_ntz, id long, b string, x double"
 
@@ -75,3 +75,25 @@ def test_nothing(spark, size):
     none = spark.createDataFrame([], SCHEMA)
     assert first_per_key(none, ["k"], ["b"]).isEmpty() and first_per_key(none, ["k"], ["id"]).isEmpty()
     assert latest_per_key(none, ["k"], "at", "id").isEmpty()
+
+
+def test_whole_rows_move_once_if_repeated_keys_are_many(spark, conf, monkeypatch):
+    """By key, with no join between, unless a key is hot."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    lines = spark.range(3000).select((F.col("id") % 2000).alias("k"), F.col("id").cast("string").alias("s"))
+    kept = first_per_key(lines, ["k"])
+    plan = final_plan(kept).partition("Initial Plan")[0]
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(k") == 1
+    assert kept.count() == 2000 and kept.where("int(s) % 2000 = k").count() == 2000
+
+
+def test_latest_by_the_tie_break_itself_counts_no_single_rows(rows):
+    rest = [F.desc(c) for c in rows.columns if c not in ("k", "id")]
+    got = latest_per_key(rows, ["k"], "id", "id")
+    assert same_rows(got, by_window(rows, ["k"], F.desc_nulls_last("id"), *rest))
+    jobs = []
+    held = dedup._holders
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(dedup, "_holders", lambda df, best, *a: jobs.append(best._jdf.queryExecution().optimizedPlan().toString()) or held(df, best, *a))
+        latest_per_key(rows, ["k"], "id", "id")
+    assert jobs[0].count("Aggregate") == 1
