@@ -219,8 +219,9 @@ MODE = ["shipping_mode"]
 
 
 def _mode_observations(spark: SparkSession, folder: str) -> DataFrame:
-    """How each customer's last line of a day was shipped."""
-    return day_observations(lakehouse_for(spark, folder).silver(), "customer_id", "order_date", MODE, GRAIN)
+    """How each customer's last line of a day was shipped; stored, since a history reads it several times."""
+    seen = day_observations(lakehouse_for(spark, folder).silver(), "customer_id", "order_date", MODE, GRAIN)
+    return materialise(seen, "observed-days")
 
 
 def mode_versions(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,7 +232,7 @@ def mode_versions(spark: SparkSession, folder: str) -> DataFrame:
 def mode_versions_merged(spark: SparkSession, folder: str) -> DataFrame:
     """The same history, its second half merged into what the first half gave."""
     seen, late = _mode_observations(spark, folder), F.col("order_date") >= F.to_date(F.lit(MERGED_FROM))
-    stored = scd2_from_snapshots(seen.where(~late), "customer_id", "order_date", MODE)
+    stored = materialise(scd2_from_snapshots(seen.where(~late), "customer_id", "order_date", MODE), "mode-versions")
     return merge_snapshots(stored, seen.where(late), "customer_id", "order_date", MODE)
 
 

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import final_plan, same_rows
+from lineforge.catalogue import registry
+from lineforge.operators import sweep
 from lineforge.operators import day_observations, merge_snapshots, scd2_from_snapshots, sweep_join, temporal_join
 from lineforge.operators.joins import lookup_join
 
@@ -118,3 +120,19 @@ def test_many_versions_of_one_entity_meet_linearly(spark):
     plan = final_plan(joined)
     assert "_range" in plan and "Join" in plan
     assert not any("c#" in line for line in plan.splitlines() if "Join" in line)
+
+
+def test_histories_read_stored_observations(spark, lake, small_dir):
+    """The lines are reduced to days once, however often the days are read."""
+    merged = registry.mode_versions_merged(spark, small_dir)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "order_item_id" not in plan
+    assert same_rows(merged, registry.mode_versions(spark, small_dir))
+
+
+def test_swept_rows_are_stored_without_their_deal(spark, lines, monkeypatch):
+    stored = []
+    keep = sweep.materialise
+    monkeypatch.setattr(sweep, "materialise", lambda df, label: stored.append(df.columns) or keep(df, label))
+    sweep_join(lines, built(lines), *ON, {"city": "was"})
+    assert stored == [["_key", "_day", "_kind", "_line", "_version", "_seq"]]
