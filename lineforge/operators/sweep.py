@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from lineforge.operators.keys import ROW_BITS
 from lineforge.storage import materialise
 
+# Fixed value: parts that the lines of one entity and day are dealt into, for ranges to be cut between.
+DEALT = 1 << 12
+
 
 def sweep_join(
     lines: DataFrame,
@@ -51,11 +54,11 @@ def sweep_join(
         F.col(at).alias("_day"),
         F.lit(1).alias("_kind"),
         # Parts the lines of one entity and day, so that they can lie in several ranges.
-        F.xxhash64(*lines.columns).alias("_deal"),
+        F.pmod(F.xxhash64(*lines.columns), F.lit(DEALT)).alias("_deal"),
         F.struct(*lines.columns).alias("_line"),
     )
     both = asked.unionByName(known, allowMissingColumns=True)
-    ordered = both.orderBy("_key", "_day", "_kind", "_deal").withColumn("_seq", F.monotonically_increasing_id())
+    ordered = both.orderBy("_key", "_day", "_kind", "_deal").drop("_deal").withColumn("_seq", F.monotonically_increasing_id())
     placed = materialise(ordered, "sweep").withColumn("_range", F.shiftright("_seq", ROW_BITS))
 
     last_of_range = placed.groupBy("_range").agg(F.max(F.when(F.col("_version").isNotNull(), F.col("_seq"))).alias("_last"))
