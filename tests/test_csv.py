@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import same_rows
 from lineforge.functions import parse_timestamp
 from lineforge.operators import profile_distinct
 from lineforge.sinks import export_csv
@@ -108,3 +109,10 @@ def test_doubled_quotes_and_line_breaks_both_ways(spark, tmp_path):
     assert sorted(map(tuple, back.select("id", "name").collect())) == rows
     (tmp_path / "one.csv").write_text('id,name\n1,"5"" tee, red"\n')
     assert ingest_csv(spark, f"{tmp_path}/one.csv").first().name == '5" tee, red'
+
+
+def test_compressed_export_gives_the_same_rows(spark, tmp_path):
+    df = spark.range(50).selectExpr("id", "concat('é ', id) as t")
+    export_csv({"t": df}, str(tmp_path), compression="gzip")
+    assert list((tmp_path / "t").glob("*.csv.gz")) and not list((tmp_path / "t").glob("*.csv"))
+    assert same_rows(spark.read.schema(df.schema).csv(str(tmp_path / "t"), header=True), df)
