@@ -51,6 +51,7 @@ from lineforge.plans.lakehouse import (
 from lineforge.plans.silver import clean_orders, rejected_orders
 from lineforge.settings import GEO_COLUMNS, JUNK_COLUMNS
 from lineforge.sinks import export_csv, write_table
+from lineforge.sinks.csv import FAST
 from lineforge.sources import ingest_csv, order_lines
 from lineforge.sources.schemas import LINE_SCHEMA
 from lineforge.sources.tables import TABLE_SETTINGS
@@ -61,6 +62,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 HISTORY = TABLE_SETTINGS.history
 GRAIN = TABLE_SETTINGS.grain
 
+# Files as a source system sends them, compressed: the lines as plain text take several times the stored bytes.
+SOURCE_FILES = {"header": True, "encoding": "ISO-8859-1", "compression": "gzip", **FAST}
+
 # Between the first and the second half of the days, for what goes on from an earlier state.
 MERGED_FROM = "1995-06-17"
 
@@ -107,7 +111,7 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     lines = raw_lines(spark, folder)
     path = new_path(spark, "csv-ingest")
     headed = lines.toDF(*[file_header(c) for c in lines.columns])
-    headed.write.options(header=True, encoding="ISO-8859-1").csv(path)
+    headed.write.options(**SOURCE_FILES).csv(path)
     bronze = ingest_csv(spark, path, LINE_SCHEMA)
     from_file = F.col("_source_file").contains("csv-ingest").alias("has_source_file")
     return bronze.select(*LINE_SCHEMA.names, from_file)
@@ -133,7 +137,7 @@ def csv_ingest_faults(spark: SparkSession, folder: str) -> DataFrame:
     }
     path = new_path(spark, "csv-faults")
     headed = lines.withColumns(spoilt).toDF(*[file_header(c) for c in lines.columns])
-    headed.write.options(header=True, encoding="ISO-8859-1").csv(path)
+    headed.write.options(**SOURCE_FILES).csv(path)
     found = rejected_orders(ingest_csv(spark, path), replace(TABLE_SETTINGS, schema=LINE_SCHEMA))
     shown = [GRAIN, "order_id", "sales", "order_item_quantity", "order_item_profit_ratio"]
     # Ratios are shown where they are spoilt: engines write other doubles in different ways.
