@@ -12,6 +12,9 @@ MOST_DIGITS = 38
 # Significant digits that survive a float or double in any case, and the least normal value.
 SURE_DIGITS = {T.FloatType: (6, 1.17549435e-38), T.DoubleType: (15, 2.2250738585072014e-308)}
 
+# How many digits an integer of the type has room for, whichever they are.
+WHOLE_DIGITS = {T.ByteType: 2, T.ShortType: 4, T.IntegerType: 9, T.LongType: 18}
+
 
 def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with the columns of ``schema`` in its types; a text that does not fit becomes null."""
@@ -35,11 +38,27 @@ def _significant(text: Column) -> Column:
     return F.regexp_replace(digits, "^0+|0+$", "")
 
 
+def _plain(text: Column, kind: T.DataType) -> Column:
+    """Whether a text is a number of so few digits that ``kind`` keeps all of them, by one pattern."""
+    if isinstance(kind, T.DecimalType):
+        whole, places = kind.precision - kind.scale, kind.scale
+    elif type(kind) in SURE_DIGITS:
+        places = SURE_DIGITS[type(kind)][0] // 2
+        whole = SURE_DIGITS[type(kind)][0] - places
+    else:
+        whole, places = WHOLE_DIGITS.get(type(kind), 0), 0
+    if not whole:
+        return F.lit(False)
+    fraction = rf"(\.[0-9]{{1,{places}}})?" if places else ""
+    return text.rlike(rf"\A-?[0-9]{{1,{whole}}}{fraction}\z")
+
+
 def unfit(text: Column, kind: T.DataType) -> Column:
     """Whether a text says something that a cast to ``kind`` would lose, digits included.
 
     A null, or a text of white space only, says nothing. A float or double keeps up to 6 or 15
-    digits; of longer texts it loses those that it would not be written with itself.
+    digits; of longer texts it loses those that it would not be written with itself. Plain short numbers,
+    which most texts are, are settled by one pattern before anything is cast.
     """
     value = typed(text, kind)
     lost = value.isNull()
@@ -53,4 +72,4 @@ def unfit(text: Column, kind: T.DataType) -> Column:
         more_digits = text.rlike(rf"\.[0-9]{{{kind.scale}}}[0-9]*[1-9]")
         power = text.rlike("[eE]") & (text.try_cast("double") != value.cast("double"))
         lost = lost | more_digits | power | (text.try_cast(finer) != value)
-    return F.coalesce(text.rlike(r"\S") & lost, F.lit(False))
+    return F.when(_plain(text, kind), False).otherwise(F.coalesce(text.rlike(r"\S") & lost, F.lit(False)))

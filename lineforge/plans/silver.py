@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,4 +104,5 @@ def _faults(df: DataFrame, settings: Settings) -> Column:
     ]
     faults += [(text, unreadable(text)) for text in DATE_COLUMNS]
     named = F.concat_ws(",", *[F.when(fault, F.lit(column)) for column, fault in faults])
-    return F.when(reduce(Column.__or__, [fault for _, fault in faults]), named)
+    # The names are made once a row; a row without any has the empty text.
+    return F.get(F.filter(F.array(named), lambda names: names != ""), F.lit(0))

@@ -1,7 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from conftest import same_rows
+from lineforge.functions import casts
+from lineforge.plans import silver
 from lineforge.plans.silver import clean_orders
 from lineforge.settings import Settings
 
@@ -68,3 +72,26 @@ def test_hot_order_line_leaves_each_map_task_once(spark):
     assert clean.filter("order_item_id = 0").first().sales == 0
     plan = clean._jdf.queryExecution().executedPlan().toString()
     assert plan.index("[min(") < plan.index("Exchange hashpartitioning") < plan.index("partial_min") < plan.index("LeftSemi")
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "decimal(6,2)", "decimal(2,2)", "double", "float", "boolean"])
+def test_plain_numbers_are_settled_as_the_others_are(spark, kind):
+    """By one pattern, with what a cast and its digits would say."""
+    given = [None, "", " ", "0", "-0", "7", "-12", "007", "12.5", "1234.56", "12345.6", "12.345", "1e3", "5.", ".5", " 5 ", "5\n", "x",
+             "123456789", "9999999999", "1234567890123456789", "0.1", "12345678.1234567", "123.456", "0.0000001", "NaN", "1,5"]
+    texts = spark.createDataFrame([(t,) for t in given], "t string").repartition(1)
+    kind = T._parse_datatype_string(kind)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(casts, "_plain", lambda text, kind: F.lit(False))
+        slow = texts.select("t", casts.unfit(F.col("t"), kind).alias("lost"))
+    fast = texts.select("t", casts.unfit(F.col("t"), kind).alias("lost"))
+    assert same_rows(fast, slow)
+    names = texts.select(casts._plain(F.col("t"), kind).alias("p")).where("p").count()
+    assert names >= 3 or str(kind) in ("DecimalType(2,2)", "BooleanType()")
+
+
+def test_faults_are_named_once(bronze):
+    """The text of the names says whether there are any; no condition is worked out a second time."""
+    marked = bronze.select(silver._faults(bronze, SETTINGS).alias("f"))
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("isnull(order_item_id") == 1
