@@ -2,12 +2,15 @@
 
 A code is one bit of the bitmap of its bucket, so equal codes vanish where they are read and a
 group's bitmaps are bounded by its largest code, not by its rows. Bitmaps of months give those of years by
-an *or*, which distinct counts themselves cannot do, and no row is copied per counted column and group.
+an *or*, which distinct counts themselves cannot do. Each counted column is read by tasks of its own, so a
+task sorts as many narrow rows as its part of the table has, however many columns are counted; give a
+stored table, of which each such task reads only its column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +18,8 @@ from pyspark.sql import functions as F
 
 def code_bitmaps(df: DataFrame, codes: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column_name, bucket, bits) of the integer columns ``codes``; null is no code."""
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("_code")) for c in codes]
-    narrow = df.select(*by, F.inline(F.array(*entries))).where("_code is not null")
+    each = [df.select(*by, F.lit(c).alias("column_name"), F.col(c).cast("long").alias("_code")) for c in codes]
+    narrow = reduce(DataFrame.unionAll, each).where("_code is not null")
     bucket = F.bitmap_bucket_number("_code").alias("bucket")
     return narrow.groupBy(*by, "column_name", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_code")).alias("bits"))
 

@@ -45,3 +45,13 @@ def test_bitmaps_count_what_distinct_counts_do(spark, lake):
     parts = distinct_codes(code_bitmaps(odd, ["x"], ["g"]), ["g"]).collect()
     assert {(r.g, r.n_distinct) for r in parts} == {("a", 7), (None, 7)}
     assert distinct_codes(code_bitmaps(odd.limit(0), ["x"])).isEmpty()
+
+
+def test_each_counted_column_is_read_apart(spark, tmp_path):
+    """No task holds a copy of its rows for every counted column."""
+    path = str(tmp_path / "keys")
+    spark.range(3000).selectExpr("id % 7 as a", "id as b", "id % 2 as g").write.parquet(path)
+    bitmaps = code_bitmaps(spark.read.parquet(path), ["a", "b"], ["g"])
+    assert "Generate" not in bitmaps._jdf.queryExecution().optimizedPlan().toString()
+    counts = {(r.g, r.column_name): r.n_distinct for r in distinct_codes(bitmaps, ["g"]).collect()}
+    assert counts == {(0, "a"): 7, (1, "a"): 7, (0, "b"): 1500, (1, "b"): 1500}
