@@ -26,6 +26,9 @@ from lineforge.llm.tables import written
 # Centers per bucket in the rounds before the last one, in which every node is a center.
 CENTERS = (1, 64)
 
+# Up to this many edges, of 16 bytes each, one task takes a step faster than a shuffle is begun.
+FEW_EDGES = 100_000
+
 
 def differing_bits(x: Column, y: Column, words: int) -> Column:
     """In how many places two bitmaps, arrays of ``words`` longs, differ."""
@@ -43,21 +46,28 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): root is the component's smallest node. Runs jobs.
 
     Alternates two steps until all nodes point at roots: all larger neighbours of a node move to its
-    smallest neighbour, then all smaller ones do. The number of rounds is logarithmic in the nodes.
+    smallest neighbour, then all smaller ones do. The number of rounds is logarithmic in the nodes. Steps never
+    add edges beyond a constant factor, so ``FEW_EDGES`` at the start stay few and are not dealt out anew.
     """
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = written(now, "edges")
+    few = now.count() <= FEW_EDGES
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        return written(df, label).coalesce(1) if few else written(df, label)
+
+    now = now.coalesce(1) if few else now
     while not _is_done(now):
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
         # Written, so that the join can split a node with very many neighbours.
-        lowest = written(lowest.withColumn("low", F.least("n", "low")), "lowest")
+        lowest = kept(lowest.withColumn("low", F.least("n", "low")), "lowest")
         large = now.join(lowest, F.col("b") == F.col("n")).select("a", F.col("low").alias("b")).where("a <> b").distinct()
-        large = written(large, "edges")
+        large = kept(large, "edges")
         lowest = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
         small = large.join(lowest, F.col("a") == F.col("n"))
         small = small.select("b", "low").unionAll(small.select("a", "low")).toDF("a", "b")
-        now = written(small.where("a <> b").distinct(), "edges")
+        now = kept(small.where("a <> b").distinct(), "edges")
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.toDF("node", "root").unionAll(roots.select("node", F.col("node").alias("root")))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from conftest import final_plan, same_rows
 from lineforge.llm import bpe, chat, graph, lines, minhash, naming, packing, quality, registry, secrets, topk, warc
 from lineforge.llm.tables import written
 from lineforge.llm.tokens import fast_tokenizer, read_ranks
@@ -433,6 +434,14 @@ def test_components(spark):
     assert got == label
 
 
+def test_few_edges_are_not_dealt_out(spark, monkeypatch):
+    edges = spark.range(300).selectExpr("id as a", "id + 1 + id % 2 as b")
+    dealt = graph.components(edges)
+    assert "Exchange" not in final_plan(dealt)
+    monkeypatch.setattr(graph, "FEW_EDGES", 10)
+    assert same_rows(graph.components(edges), dealt)
+
+
 # --- 8: byte pairs ------------------------------------------------------------------------
 
 
