@@ -97,3 +97,44 @@ def test_latest_by_the_tie_break_itself_counts_no_single_rows(rows):
         patch.setattr(dedup, "_holders", lambda df, best, *a: jobs.append(best._jdf.queryExecution().optimizedPlan().toString()) or held(df, best, *a))
         latest_per_key(rows, ["k"], "id", "id")
     assert jobs[0].count("Aggregate") == 1
+
+
+@pytest.fixture
+def stored(rows, tmp_path, conf, monkeypatch):
+    """The rows in files of several row groups, too many keys for any broadcast of keys."""
+    rows.write.option("parquet.block.size", 1024).parquet(str(tmp_path / "rows"))
+    monkeypatch.setattr(dedup, "KEY_BYTES", 800)
+    monkeypatch.setattr(dedup, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(dedup, "PIECE", 64)
+    conf(spark__sql__files__maxPartitionBytes="4000", spark__sql__files__openCostInBytes="0")
+    return rows.sparkSession.read.parquet(str(tmp_path / "rows"))
+
+
+@pytest.mark.parametrize("key", [["k"], ["k", "n"]])
+@pytest.mark.parametrize("order", [["id"], ["x"], ["b", "id"], ["at", "id", "x"]])
+def test_stored_rows_stay_where_they_lie(stored, key, order):
+    """Also those of a selection, and with keys whose best rows tie."""
+    some = stored.where("id is null or id < 5").withColumn("id", F.col("id") * 2)
+    rest = [c for c in some.columns if c not in key and c not in order]
+    got = first_per_key(some, key, order, stored=True)
+    assert got.columns == some.columns
+    assert same_rows(got, by_window(some, key, *order, *rest))
+
+
+@pytest.mark.parametrize("by", ["at", "id"])
+def test_latest_of_stored_rows(stored, by):
+    rest = [F.desc(c) for c in stored.columns if c not in ("k", by)]
+    order = [F.desc_nulls_last(by), *([] if by == "id" else [F.asc_nulls_last("id")]), *rest]
+    assert same_rows(latest_per_key(stored, ["k"], by, "id", stored=True), by_window(stored, ["k"], *order))
+
+
+def test_stored_rows_are_not_shuffled(stored, spark, tmp_path):
+    """No exchange of the rows themselves, which have a wide column; other rows than stored ones take the other way."""
+    lines = spark.range(4000).select((F.col("id") % 1500).alias("k"), F.col("id").alias("at"), F.repeat(F.lit("x"), 50).alias("wide"))
+    lines.repartition(5).write.parquet(str(tmp_path / "lines"))
+    read = spark.read.parquet(str(tmp_path / "lines"))
+    for order in (["at"], ["at", "wide"]):
+        kept = first_per_key(read, ["k"], order, stored=True)
+        assert kept.count() == 1500 and kept.where("at <> k").isEmpty()
+        assert "Exchange hashpartitioning" not in final_plan(kept)
+        assert same_rows(kept, first_per_key(lines, ["k"], order, stored=True))
