@@ -224,7 +224,7 @@ MODE = ["shipping_mode"]
 
 def _mode_observations(spark: SparkSession, folder: str) -> DataFrame:
     """How each customer's last line of a day was shipped; stored, since a history reads it several times."""
-    seen = day_observations(lakehouse_for(spark, folder).silver(), "customer_id", "order_date", MODE, GRAIN)
+    seen = day_observations(lakehouse_for(spark, folder).silver(), "customer_id", "order_date", MODE, GRAIN, stored=True)
     return materialise(seen, "observed-days")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineforge.operators.sweep import sweep_join
-from lineforge.storage import materialise, shuffle_tasks
+from lineforge.storage import ROWS_PER_TASK, materialise, shuffle_tasks
 
 # Up to this many counted rows, and this many bytes of their columns, go to every executor.
 BROADCAST_ROWS = 2_000_000
@@ -124,11 +124,16 @@ def temporal_join(
 
     A join by entity alone lets a line meet all versions of its entity. With an entity of more than
     ``many_versions``, counted by a job that runs when this is called, lines and versions are swept
-    in the order of days instead; versions of an entity must not overlap then.
+    in the order of days instead; versions of an entity must not overlap then. Of more lines than one task
+    takes, those of entities which one task can take move by entity alone.
     """
     versions = dim.groupBy(key).count().where(F.col(key).isNotNull()).agg(F.max("count")).first()[0]
     if versions and versions > many_versions:
-        return sweep_join(fact, dim, key, at, start, end, take, how)
+        rows, hot = fact.count(), None
+        if rows > ROWS_PER_TASK and may_broadcast(fact.select(), 0, BROADCAST_BYTES):
+            found = hot_keys(options.get("spread") or Spread(fact, by=[at], rows=rows), [key])
+            hot = found.select(f"_hot_{key}")
+        return sweep_join(fact, dim, key, at, start, end, take, how, hot)
     return lookup_join(fact, dim, {key: key}, take, during=(at, start, end), how=how, **options)
 
 

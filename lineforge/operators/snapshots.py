@@ -24,14 +24,14 @@ VALIDITY = ("start_date", "end_date", "is_current", "last_seen")
 
 
 def day_observations(
-    lines: DataFrame, key: str, at: str, tracked: Sequence[str], tie_break: str
+    lines: DataFrame, key: str, at: str, tracked: Sequence[str], tie_break: str, stored: bool = False
 ) -> DataFrame:
     """(key, at, tracked...): what the line with the largest ``tie_break`` of each entity and day says.
 
-    Lines without a day say nothing; a null key is an entity like any other.
+    Lines without a day say nothing; a null key is an entity like any other. ``stored`` as for ``first_per_key``.
     """
     dated = lines.where(F.col(at).isNotNull()).select(key, at, *tracked, tie_break)
-    return latest_per_key(dated, [key, at], tie_break, tie_break).drop(tie_break)
+    return latest_per_key(dated, [key, at], tie_break, tie_break, stored).drop(tie_break)
 
 
 def scd2_from_snapshots(observations: DataFrame, key: str, at: str, tracked: Sequence[str]) -> DataFrame:

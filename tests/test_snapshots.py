@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import final_plan, same_rows
 from lineforge.catalogue import registry
-from lineforge.operators import sweep
+from lineforge.operators import joins, sweep
 from lineforge.operators import day_observations, merge_snapshots, scd2_from_snapshots, sweep_join, temporal_join
 from lineforge.operators.joins import lookup_join
 
@@ -136,3 +136,29 @@ def test_swept_rows_are_stored_without_their_deal(spark, lines, monkeypatch):
     monkeypatch.setattr(sweep, "materialise", lambda df, label: stored.append(df.columns) or keep(df, label))
     sweep_join(lines, built(lines), *ON, {"city": "was"})
     assert stored == [["_key", "_day", "_kind", "_line", "_version", "_seq"]]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot", [0, 1, 3])
+def test_sweep_of_ordinary_entities_by_key(spark, lines, how, hot):
+    """Given the entities with too many lines, the others move once and are not stored."""
+    lines, versions = sweep.materialise(lines, "lines"), sweep.materialise(built(lines), "versions")
+    take = {"city": "was", "last_seen": "until"}
+    few = lines.select("who").distinct().orderBy("who").limit(hot)
+    few = spark.createDataFrame(few.collect(), few.schema)
+    swept = sweep_join(lines, versions, *ON, take, how, few)
+    assert same_rows(swept, sweep_join(lines, versions, *ON, take, how))
+    if not hot:
+        plan = final_plan(swept).partition("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 1 and "_range" not in plan
+
+
+def test_large_tables_are_swept_by_entity(spark, lines, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 3)
+    monkeypatch.setattr(joins, "LEAST_HOT_ROWS", 3)
+    take = {"city": "was"}
+    given = []
+    keep = joins.sweep_join
+    monkeypatch.setattr(joins, "sweep_join", lambda *a: given.append(a[-1].count()) or keep(*a))
+    joined = temporal_join(lines, built(lines), *ON, take, many_versions=0)
+    assert given and same_rows(joined, sweep_join(lines, built(lines), *ON, take))
