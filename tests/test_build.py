@@ -139,3 +139,21 @@ def test_bucketed_lines_and_customers_join_where_they_lie(spark, conf, lake, tmp
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert same_rows(built.fact(), lake.fact())
     built.drop()
+
+
+def test_silver_alone_needs_no_sorted_copy(spark, lake, tmp_path):
+    """Only a build, which makes both tables of silver, stores all lines once more for them."""
+    made = Lakehouse(spark, lake.bronze, "alone", TABLE_SETTINGS, str(tmp_path / "lake"))
+    assert same_rows(made.silver(), lake.silver()) and same_rows(made.table("silver.rejected_lines"), lake.table("silver.rejected_lines"))
+    assert SORTED_TABLE not in made.counts
+    rows = made.rows(["dim_geo"])
+    assert rows == {"silver": lake.silver().count(), "dim_geo": lake.gold("dim_geo").count()}
+    assert not any("dim_customer" in table or "dim_product" in table for table in made.counts)
+    made.drop()
+
+
+def test_lines_are_stored_by_order(spark, small_dir, conf):
+    """Where both parts and orders make the lines move, orders do so last."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    plan = order_lines(spark, small_dir, broadcast_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(l_orderkey") < plan.index("Exchange hashpartitioning(l_partkey")
