@@ -58,10 +58,14 @@ def unfit(text: Column, kind: T.DataType) -> Column:
 
     A null, or a text of white space only, says nothing. A float or double keeps up to 6 or 15
     digits; of longer texts it loses those that it would not be written with itself. Plain short numbers,
-    which most texts are, are settled by one pattern before anything is cast.
+    which most texts are, are settled by one pattern before anything is cast, longer ones that are
+    written as the type writes them by that text. Other types lose nothing of a text that they take.
     """
     value = typed(text, kind)
     lost = value.isNull()
+    blank = ~F.coalesce(text.rlike(r"\S"), F.lit(False))
+    if type(kind) not in SURE_DIGITS and not isinstance(kind, T.DecimalType):
+        return F.when(~lost, False).otherwise(~blank)
     if type(kind) in SURE_DIGITS:
         sure, normal = SURE_DIGITS[type(kind)]
         written, kept = _significant(text), _significant(value.cast("string"))
@@ -72,4 +76,7 @@ def unfit(text: Column, kind: T.DataType) -> Column:
         more_digits = text.rlike(rf"\.[0-9]{{{kind.scale}}}[0-9]*[1-9]")
         power = text.rlike("[eE]") & (text.try_cast("double") != value.cast("double"))
         lost = lost | more_digits | power | (text.try_cast(finer) != value)
-    return F.when(_plain(text, kind), False).otherwise(F.coalesce(text.rlike(r"\S") & lost, F.lit(False)))
+    settled = F.when(_plain(text, kind), False)
+    if type(kind) in SURE_DIGITS:
+        settled = settled.when(value.cast("string") == text, False)
+    return settled.otherwise(~blank & F.coalesce(lost, F.lit(False)))

@@ -95,3 +95,18 @@ def test_faults_are_named_once(bronze):
     marked = bronze.select(silver._faults(bronze, SETTINGS).alias("f"))
     plan = marked._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("isnull(order_item_id") == 1
+
+
+def test_rows_at_fault_are_found_and_named_by_one_evaluation(bronze):
+    rejected = silver.rejected_orders(bronze, SETTINGS)
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("isnull(order_item_id") == 1
+    assert rejected.columns == [*bronze.columns, "_faults"] and rejected.count() == 3
+
+
+def test_whole_numbers_need_no_pattern_and_long_doubles_one(spark):
+    given = [("0.30000000000000004", True), ("-1.25E-5", True), ("0.300000000000000045", False), ("1e400", False)]
+    texts = spark.createDataFrame(given, "t string, fits boolean")
+    assert texts.where(casts.unfit(F.col("t"), T.DoubleType()) == F.col("fits")).isEmpty()
+    plan = texts.select(casts.unfit(F.col("t"), T.IntegerType()))._jdf.queryExecution().optimizedPlan().toString()
+    assert "[0-9]" not in plan
